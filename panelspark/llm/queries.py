@@ -73,12 +73,142 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(spark, path)
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_sources
+
+    return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embedding_dedup import near_vectors
+
+    return near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality_scores
+
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"), k=5, percent=85)
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extract_main_text
+
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_chat_format, op6_token_counts, op10_token_store)}
+    ops = (op1_line_dedup, op2_decontamination, op3_chat_format, op4_source_mixing, op5_embedding_dedup, op6_token_counts, op7_quality, op8_minhash_dedup, op9_html_text, op10_token_store)
+    return {f.__name__: f for f in ops}
 
 
 _FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_OP1 = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents
+), keyed AS (
+  SELECT *, {_FOLD.format("trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS k FROM lines
+), often AS (
+  SELECT k FROM keyed WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(o.k)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE o.k IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN often o USING (k) GROUP BY doc_id
+"""
+
+_WORDS = "regexp_extract_all(" + _FOLD + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_OP2 = f"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS.format("text")}, []) AS w FROM documents),
+b AS (SELECT item_id, {_WORDS.format("text")} AS w FROM benchmark WHERE text IS NOT NULL),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS x
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS x
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)
+), found AS (SELECT doc_id, i, n, item_id FROM doc_windows JOIN item_windows USING (n, x)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_CONTROL = r"(### System:|### User:|### Assistant:|</turn>)"
+_OP3 = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), parts AS (
+  SELECT *, length('### ' || CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' WHEN 'assistant' THEN 'Assistant' ELSE '%:' || role END || ':' || chr(10))
+    + length(regexp_replace(text, '(\\*){_CONTROL}', '\1\1\\\2', 'g')) + length(chr(10) || '</turn>' || chr(10)) AS chars
+  FROM turns
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars
+FROM parts GROUP BY conv_id
+"""
+
+_OP4 = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), keyed AS (
+  SELECT *, -ln((('0x' || substr(md5(doc_id::VARCHAR || ':' || md5(t) || ':17'), 1, 13))::UBIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+    / ((1.0 + strlen(regexp_replace(t, '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', '', 'g'))) / (1.0 + strlen(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')))) AS k
+  FROM d
+), src AS (
+  SELECT source, sum(size)::BIGINT AS source_size, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w FROM d GROUP BY source
+), fill AS (
+  SELECT *, source_size * 2.0::DOUBLE AS cap, sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(source_size * 2.0::DOUBLE) OVER o, 0.0) AS rest, sum(w) OVER () - coalesce(sum(w) OVER o, 0.0) AS ws
+  FROM src WINDOW o AS (ORDER BY source_size * 2.0::DOUBLE / w, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), opened AS (SELECT arg_min(rest, cap / w) AS rest0, arg_min(ws, cap / w) AS ws0 FROM fill WHERE rest * w / ws < cap),
+targets AS (SELECT source, source_size, CASE WHEN rest * w / ws >= cap THEN cap ELSE rest0 * w / ws0 END AS target FROM fill, opened),
+plan AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM targets),
+picked AS (
+  SELECT k.doc_id, k.size, p.source_size, p.target, p.epochs,
+    (sum(k.size) OVER (PARTITION BY k.source ORDER BY k.k, k.doc_id) - k.size / 2.0::DOUBLE <= p.target - p.epochs * p.source_size) AS more
+  FROM keyed k JOIN plan p ON k.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target::DOUBLE AS target, CASE WHEN size > 0 THEN (epochs + more::INT) * size ELSE 0 END::BIGINT AS taken FROM picked
+"""
+
+_OP5 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.9
+), reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id)::BIGINT AS n_links, least(vec_id, coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id)) AS component_id,
+  vec_id <= coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id) AS kept
+FROM embeddings
+"""
+
+_OP8 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all({_FOLD.format("text")}, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM d)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (x) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_of AS (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, doc_id <= coalesce(m, doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_of USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Tokenizers, the classifier, page trees and compressed files have no SQL; tests hold them against brute force."""
+    return {"op1_line_dedup": _OP1, "op2_decontamination": _OP2, "op3_chat_format": _OP3, "op4_source_mixing": _OP4, "op5_embedding_dedup": _OP5, "op8_minhash_dedup": _OP8}
