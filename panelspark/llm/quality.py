@@ -6,8 +6,9 @@ A softmax layer turns the average into class probabilities; vectors and layer ar
 gradient descent. The layer is linear, so after training each bucket is worth one number, the model is a table of
 ``BUCKETS`` floats, and scoring a text sums the worth of its words. Texts are scored where they are read.
 
-Training is done on the driver on a bounded sample: ``TRAIN_DOCS`` labelled documents at most, those with the least hash
-of their id, and none longer than ``TRAIN_BYTES``; documents in training are used whole. Scoring covers every whole text.
+Training is done on the driver on a bounded sample: about ``TRAIN_DOCS`` labelled documents, those whose hash of the id is
+under a bound set by their number, and none longer than ``TRAIN_BYTES``; documents in training are used whole. Scoring
+covers every whole text.
 
 Defined results: null or empty text has no feature and gets the score of the bias; without labels of both classes
 every score is 0.5; several labels of an id are averaged (0.5 and more counts as 1), null labels are left out; a null id is
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrowtext import NOT_SPACE, Words, buffers, hashes, mix, slices, words
-from .shared import checked
+from .shared import checked, hash_share
 
 TRAIN_DOCS, TRAIN_BYTES = 3000, 40_000
 BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 18, 8, 6, 0.3
@@ -156,9 +157,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = checked(labels, id_col, label_col).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("y")).filter("id IS NOT NULL AND y IS NOT NULL").filter(~held_out("id"))
     known = known.groupBy("id").agg((F.avg("y") >= 0.5).cast("int").alias("y"))
     texts = checked(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("t")).filter(F.octet_length("t").between(1, TRAIN_BYTES))
-    # ids are drawn before texts are joined; twice as many as needed, since some have no text of a fit length
-    chosen = known.orderBy(F.xxhash64("id"), "id").limit(2 * TRAIN_DOCS)
-    rows = texts.join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id"), "id", "t").limit(TRAIN_DOCS).select("t", "y").collect()
+    # ids are drawn before texts are joined, so what is broadcast and collected is bounded
+    chosen = known.filter(hash_share(F.xxhash64("id"), TRAIN_DOCS, known.count())).limit(2 * TRAIN_DOCS)
+    rows = texts.join(F.broadcast(chosen), "id").select("id", "t", "y").limit(2 * TRAIN_DOCS).collect()
+    rows.sort(key=lambda r: (str(r.id), r.t))
     return train([r.t for r in rows], np.array([r.y for r in rows], np.int64))
 
 

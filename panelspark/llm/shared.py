@@ -57,3 +57,10 @@ def checked(df: DataFrame, *columns: str) -> DataFrame:
     if missing:
         raise ValueError(f"missing columns {missing}; there are {df.columns}")
     return df.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def hash_share(h: Column, wanted: int, rows: int) -> Column:
+    """Whether a 64-bit hash is among about ``wanted`` of ``rows``: under a bound, so nothing is sorted or gathered to draw them."""
+    if rows <= wanted:
+        return F.lit(True)
+    return h < F.lit(int(-(2**63) + 2**64 * wanted // rows))

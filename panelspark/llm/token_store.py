@@ -2,8 +2,8 @@
 
 File format, in a folder:
 * ``dictionary``: one row (dict_hash, dictionary, id_bytes, end_id). The dictionary is trained on the serialized ids of
-  ``TRAIN_DOCS`` documents at most, none longer than ``TRAIN_BYTES`` of text, those with the least hash of their text;
-  it changes the size of frames and nothing else. Too few to train on: an empty dictionary.
+  about ``TRAIN_DOCS`` documents, none longer than ``TRAIN_BYTES`` of text, those whose hash of id and text is under a bound
+  set by their number; it changes the size of frames and nothing else. Too few to train on: an empty dictionary.
 * ``blocks``: rows (part, block, dict_hash, doc_ids, n_tokens, offsets, frames). ``frames`` holds the zstandard frames of
   consecutive documents, that of document i from offsets[i] to offsets[i + 1]; a frame has the ids as little-endian
   unsigned numbers of ``id_bytes`` bytes. (part, block) is the order of blocks, ascending by doc_id (null first).
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .arrowtext import NOT_SPACE, buffers, slices, words
 from .pretokens import PieceCache, PieceEncoder, distinct, tokenizer_of
-from .shared import checked
+from .shared import checked, hash_share
 
 TRAIN_DOCS, TRAIN_BYTES, DICTIONARY_BYTES = 400, 50_000, 32_768
 BLOCK_IDS = 2_000_000
@@ -78,9 +78,9 @@ def encode_batch(column: pa.Array, definition: str) -> tuple[np.ndarray, np.ndar
     return ids, total[w.first]
 
 
-def _train(docs: DataFrame, text_col: str, definition: str, end_id: int, id_bytes: int) -> bytes:
-    t = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(t.alias("t")).filter(F.octet_length("t").between(1, TRAIN_BYTES)).orderBy(F.xxhash64("t"), "t").limit(TRAIN_DOCS).collect()
+def _train(docs: DataFrame, id_col: str, text_col: str, definition: str, end_id: int, id_bytes: int) -> bytes:
+    drawn = hash_share(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), TRAIN_DOCS, docs.count())
+    rows = docs.filter(drawn & F.octet_length(f"`{text_col}`").between(1, TRAIN_BYTES)).select(F.col(f"`{text_col}`").alias("t")).limit(2 * TRAIN_DOCS).collect()
     tokenizer = tokenizer_of(definition)
     samples = [np.array([*e.ids, end_id], f"<u{id_bytes}").tobytes() for e in tokenizer.encode_batch_fast([r.t for r in rows], add_special_tokens=False)]
     try:
@@ -104,7 +104,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
         definition = f.read()
     id_bytes = 2 if max(tokenizer_of(definition).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     source = checked(docs, id_col, text_col)
-    dictionary = _train(source, text_col, definition, end_id, id_bytes)
+    dictionary = _train(source, id_col, text_col, definition, end_id, id_bytes)
     dict_hash = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(dict_hash, bytearray(dictionary), id_bytes, end_id)], "dict_hash string, dictionary binary, id_bytes int, end_id long").coalesce(1).write.parquet(f"{path}/dictionary")
     shared = spark.sparkContext.broadcast((definition, dictionary))
