@@ -172,7 +172,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """For each row: id, n_shingles, component_id, kept. Links need 100 * intersection >= percent * union."""
     spark = docs.sparkSession
     sig = stored(signatures(docs, id_col, text_col, k, percent / 100), "signatures")
-    classes = sig.filter("n > 0 AND id IS NOT NULL").groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
+    # stored, so that the join of rows to classes has plain exchanges on both sides and a class of very many copies is split
+    classes = stored(sig.filter("n > 0 AND id IS NOT NULL").groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "classes")
     buckets = classes.select("rep", "k1", "n", F.explode("bands").alias("bucket"))
     order = F.xxhash64("bucket", "rep", "k1")
     hubs = buckets.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("n").alias("total"), F.min(F.struct(order.alias("o"), "rep", "k1")).alias("hub")).filter("size > 1")
