@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def bracket_of(value: Column, table: Column) -> Column:
     """The last bracket (array of struct lower, upper, fixed, rate, ascending) whose lower bound isn't above the value; else the first."""
-    return F.coalesce(F.element_at(F.filter(table, lambda b: b["lower"] <= value), -1), F.get(table, F.lit(0)))
+    return F.coalesce(F.try_element_at(F.filter(table, lambda b: b["lower"] <= value), F.lit(-1)), F.get(table, F.lit(0)))
 
 
 def progressive_tax(value: Column, table: Column, signed_excess: bool = False) -> Column:

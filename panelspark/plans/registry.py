@@ -6,14 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelspark.plans import document_queries, panel_queries
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """The balanced panel with imputation, event-study variables and names."""
+    imputed = panel_queries.impute_full_balanced(spark, sf_dir)
+    study = panel_queries.event_study_panel(spark, sf_dir).drop("tipo")
+    names = panel_queries.catalog_enrichment(spark, sf_dir).withColumnRenamed("c_custkey", "entity")
+    return imputed.join(study, ["entity", "year"]).join(names, "entity", "left")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return panel_queries.QUERIES | document_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return panel_queries.SQL | document_queries.SQL
