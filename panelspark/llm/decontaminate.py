@@ -201,15 +201,15 @@ def test_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, b
 test_blocks.__test__ = False
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES, keep: list[str] | None = None) -> DataFrame:
-    """For each row of ``docs``: id, n_words, n_hit, n_items, items_sha256, contaminated. keep: further columns to return."""
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES, clean_rows: bool = False) -> DataFrame:
+    """For each row of ``docs``: id, n_words, n_hit, n_items, items_sha256, contaminated. clean_rows: whole rows without a hit instead."""
     spark: SparkSession = docs.sparkSession
-    kept = [id_col, *[c for c in keep or [] if c != id_col]]
+    kept = docs.columns if clean_rows else [id_col]
     carry = [c for c in kept if c != text_col]
     blocks = [spark.sparkContext.broadcast(b) for b in test_blocks(benchmark, item_id, item_text, window, block_bytes)]
     source = checked(docs, *carry, text_col)
     schema = checked(docs, *kept).schema
-    for name, kind in (("n_words", "long"), ("n_hit", "long"), ("n_items", "long"), ("items_sha256", "string"), ("contaminated", "boolean")):
+    for name, kind in () if clean_rows else (("n_words", "long"), ("n_hit", "long"), ("n_items", "long"), ("items_sha256", "string"), ("contaminated", "boolean")):
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,8 +225,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                         names[r].add(test.names[i])
                 total = np.concatenate([[0], np.cumsum(hits)])
                 n_hit = total[first[1:]] - total[first[:-1]]
-                sha = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in names]
                 columns = dict(zip(carry, part.columns, strict=False)) | {text_col: column}
+                if clean_rows:
+                    yield pa.RecordBatch.from_arrays([columns[c] for c in kept], names=kept).filter(pa.array(n_hit == 0))
+                    continue
+                sha = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in names]
                 yield pa.RecordBatch.from_arrays([*[columns[c] for c in kept], pa.array(count), pa.array(n_hit), pa.array([len(x) for x in names], pa.int64()), pa.array(sha, pa.string()), pa.array(n_hit > 0)], names=schema.names)
 
     return source.mapInArrow(run, schema)
@@ -257,5 +260,4 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` without those that hold a window of a test item."""
-    flagged = contamination(docs, benchmark, keep=docs.columns, **options)
-    return flagged.filter(~F.col("contaminated")).select(*docs.columns)
+    return contamination(docs, benchmark, clean_rows=True, **options)

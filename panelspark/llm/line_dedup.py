@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import checked, lower_ascii
+from .shared import checked, lower_ascii, packed
 
 SPACE = " \t\n\x0b\f\r"
 #: Salts of a document. A line held by every document is dealt to as many groups.
@@ -88,10 +88,10 @@ def line_keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the kept lines as text, and n_lines, n_dropped. Rows without a bitmap keep all lines."""
-    left = docs.withColumns({"_doc": F.col(f"`{id_col}`"), "_text": F.xxhash64(f"`{text_col}`")})
+    left = packed(docs, _doc=F.col(f"`{id_col}`"), _text=F.xxhash64(f"`{text_col}`"))
     right = bitmaps.select(F.col("_doc").alias("_doc2"), F.col("_text").alias("_text2"), F.col("n_dropped").alias("_dropped"), "bitmap")
     both = left.join(right, F.col("_doc").eqNullSafe(F.col("_doc2")) & (F.col("_text") == F.col("_text2")), "left")
-    lines = lines_of(F.col(f"`{text_col}`"))
+    text = F.col(f"_row.`{text_col}`")
     runs = runs_of(F.col("bitmap"))
     # kept runs stand at even places; each begins where the runs before it end
     spans = F.aggregate(
@@ -105,17 +105,14 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
         lambda acc: acc["out"],
     )
     kept = F.flatten(F.transform(spans, lambda s: F.slice(F.col("_l"), s["at"] + 1, s["n"])))
-    return (
-        both.withColumn("_l", lines)
-        .withColumns(
-            {
-                text_col: F.when(F.col("bitmap").isNull(), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).otherwise(F.array_join(kept, "\n")),
-                "n_lines": F.size("_l").cast("long"),
-                "n_dropped": F.coalesce(F.col("_dropped"), F.lit(0)).cast("long"),
-            }
-        )
-        .drop("_doc", "_text", "_doc2", "_text2", "_dropped", "bitmap", "_l")
-    )
+    new = {
+        text_col: F.when(F.col("bitmap").isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(kept, "\n")),
+        "n_lines": F.size("_l").cast("long"),
+        "n_dropped": F.coalesce(F.col("_dropped"), F.lit(0)).cast("long"),
+    }
+    old = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in new]
+    done = both.withColumn("_l", lines_of(text)).select("_row", *[c.alias(f"_new{i}") for i, c in enumerate(new.values())])
+    return done.select(*old, *[F.col(f"_new{i}").alias(k) for i, k in enumerate(new)])
 
 
 def drop_common_lines(docs: DataFrame, min_docs: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .arrowtext import NOT_SPACE, buffers, hashes, mix, shingles, slices, words
 from .components import components
-from .shared import checked, drop_stored, stored
+from .shared import checked, drop_stored, packed, stored
 from .sketch import band_keys, bands_for, sketch
 
 ROWS, MISS = 4, 1e-7
@@ -219,4 +219,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def near_deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without those whose component has a smaller id; all columns are kept."""
     gone = near_duplicates(docs, id_col, text_col, k, percent).filter(~F.col("kept")).select(F.col(f"`{id_col}`").alias("_gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("_gone"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return packed(docs, _id=F.col(f"`{id_col}`").cast("long")).join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("_row.*")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrowtext import ALNUM, NOT_SPACE, buffers, slices, words
-from .shared import checked, stored
+from .shared import checked, packed, stored
 
 #: Bits of a key's mantissa that tell ranges apart: 256 ranges for each doubling of the key.
 MANTISSA_BITS = 8
@@ -117,6 +117,6 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     """The rows of ``docs``, each as often as the mix takes it."""
     taken = mix_sources(docs, id_col=id_col, source_col=source_col, text_col=text_col, **options)
     taken = taken.select(F.col(f"`{id_col}`").alias("_i"), F.col("source").alias("_s"), F.col("_tie").alias("_t"), F.col("copies").alias("_n")).filter("_n > 0").dropDuplicates(["_i", "_s", "_t"])
-    left = docs.withColumn("_tie", F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")))
-    both = left.join(taken, F.col(f"`{id_col}`").eqNullSafe(F.col("_i")) & F.col(f"`{source_col}`").eqNullSafe(F.col("_s")) & (F.col("_tie") == F.col("_t")))
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    left = packed(docs, _id=F.col(f"`{id_col}`"), _source=F.col(f"`{source_col}`"), _tie=F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")))
+    both = left.join(taken, F.col("_id").eqNullSafe(F.col("_i")) & F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_tie") == F.col("_t")))
+    return both.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select("_row.*")

@@ -164,14 +164,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train([r.t for r in rows], np.array([r.y for r in rows], np.int64))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", keep: list[str] | None = None) -> DataFrame:
-    """For each row of ``docs``: id, held_out, score, predicted. keep: further columns to return."""
+def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", least: float | None = None) -> DataFrame:
+    """For each row of ``docs``: id, held_out, score, predicted. least: whole rows that score so much or more instead."""
     worth, bias = fit(docs, labels, id_col, text_col, label_col)
     shared = docs.sparkSession.sparkContext.broadcast((worth, bias))
-    kept = [id_col, *[c for c in keep or [] if c != id_col]]
+    kept = [id_col] if least is None else docs.columns
     carry = [c for c in kept if c != text_col]
     source = checked(docs, *carry, text_col)
-    schema = checked(docs, *kept).schema.add("score", "double")
+    schema = checked(docs, *kept).schema
+    if least is None:
+        schema = schema.add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worth, bias = shared.value
@@ -179,12 +181,17 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
             for part in slices(batch, len(carry)):
                 columns = dict(zip(carry, part.columns, strict=False)) | {text_col: part.column(len(carry))}
                 scores = score_column(part.column(len(carry)), worth, bias)
-                yield pa.RecordBatch.from_arrays([*[columns[c] for c in kept], pa.array(scores)], names=schema.names)
+                if least is None:
+                    yield pa.RecordBatch.from_arrays([*[columns[c] for c in kept], pa.array(scores)], names=schema.names)
+                else:
+                    yield pa.RecordBatch.from_arrays([columns[c] for c in kept], names=kept).filter(pa.array(scores >= least))
 
     out = source.mapInArrow(run, schema)
+    if least is not None:
+        return out
     return out.withColumn("held_out", held_out(id_col)).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5, **options) -> DataFrame:
     """The rows of ``docs`` that score ``least`` or more, with their columns."""
-    return quality_scores(docs, labels, keep=docs.columns, **options).filter(F.col("score") >= least).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return quality_scores(docs, labels, least=least, **options)

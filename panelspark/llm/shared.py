@@ -59,6 +59,11 @@ def checked(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def packed(df: DataFrame, **keys: Column) -> DataFrame:
+    """All columns of ``df`` as one struct ``_row``, and keys; so no name of a key can clash with a column."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[c.alias(k) for k, c in keys.items()])
+
+
 def hash_share(h: Column, wanted: int, rows: int) -> Column:
     """Whether a 64-bit hash is among about ``wanted`` of ``rows``: under a bound, so nothing is sorted or gathered to draw them."""
     if rows <= wanted:
