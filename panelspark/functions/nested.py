@@ -45,12 +45,12 @@ def keyed_diff(before: Column, after: Column, key: Callable[[Column], Column], v
     k0, k1 = F.transform(before, key), F.transform(after, key)
     keys = F.array_sort(F.array_distinct(F.concat(k0, k1)))
 
-    def at(keys_of: Column, rows: Column, k: Column) -> Column:
-        return F.get(rows, (F.array_position(keys_of, k) - 1).cast("int"))
+    def at(rows: Column, k: Column) -> Column:
+        return F.get(F.filter(rows, lambda r: key(r).eqNullSafe(k)), F.lit(0))
 
     def one(k: Column) -> Column:
-        old, new = value(at(k0, before, k)), value(at(k1, after, k))
-        has0, has1 = F.array_contains(k0, k), F.array_contains(k1, k)
+        old, new = value(at(before, k)), value(at(after, k))
+        has0, has1 = F.exists(k0, lambda x: x.eqNullSafe(k)), F.exists(k1, lambda x: x.eqNullSafe(k))
         what = F.when(~has0, "added").when(~has1, "removed").when(~F.coalesce(F.abs(old - new) <= tolerance, old.isNull() & new.isNull()), "changed")
         return F.struct(k.alias("key"), what.alias("what"), old.alias("old"), new.alias("new"))
 

@@ -61,9 +61,10 @@ def shorten(c: Column, n: int) -> Column:
 
 def mojibake_repaired(c: Column) -> Column:
     """UTF-8 that was read as Latin-1, read again, where that lowers the number of tell-tale characters."""
-    again = F.decode(F.encode(c, "ISO-8859-1"), "UTF-8")
+    latin = F.when(c.rlike("^[\\x00-\\xff]*$"), c).otherwise(F.lit(""))
+    again = F.encode(latin, "ISO-8859-1").cast("string")
     bad = lambda x: F.length(x) - F.length(F.regexp_replace(x, "[ÃÂ�]", ""))
-    return F.when(c.rlike("[ÃÂ]") & (bad(again) < bad(c)), again).otherwise(c)
+    return F.when(c.rlike("[ÃÂ]") & (latin != "") & F.is_valid_utf8(again) & (bad(again) < bad(c)), again).otherwise(c)
 
 
 def text_quality(c: Column) -> Column:
