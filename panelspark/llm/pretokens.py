@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -17,7 +18,9 @@ import numpy as np
 from .arrowtext import NOT_SPACE, Words, hashes, words
 
 #: Entries of a generation of a worker's cache; two generations are held at most.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 500_000
+#: Bare words whose ids are held while the same word stands with different marks.
+KNOWN_WORDS = 200_000
 
 
 def tokenizer_of(definition: str):
@@ -89,16 +92,26 @@ def byte_letters() -> dict[int, str]:
 
 
 class PieceEncoder:
-    """Token ids of pieces. Plain words go to the library's model directly, all others through the whole library."""
+    """Token ids of pieces, as little-endian 4-byte numbers. Plain words go to the library's model directly, all others through the whole library."""
 
     def __init__(self, definition: str, fold: bool):
         self.tokenizer, self.fold = tokenizer_of(definition), fold
-        self.model, self.letters = self.tokenizer.model, byte_letters()
-
-    def word(self, text: str) -> list[int]:
-        return [t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, (text.lower() if self.fold else text).encode())))]
-
-    def __call__(self, pieces: list[str]) -> list[list[int]]:
+        self.model, self.letters, self.known = self.tokenizer.model, byte_letters(), {}
+
+    def word(self, text: str) -> bytes:
+        if self.fold:
+            text = text.lower()
+        found = self.known.get(text)
+        if found is None:
+            # printable ASCII stands for itself in a byte-level vocabulary
+            shown = text.replace(" ", self.letters[0x20]) if text.isascii() else "".join(map(self.letters.__getitem__, text.encode()))
+            found = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+            if len(self.known) >= KNOWN_WORDS:
+                self.known.clear()
+            self.known[text] = found
+        return found
+
+    def __call__(self, pieces: list[str]) -> list[bytes]:
         out: list = [None] * len(pieces)
         rest = []
         for i, p in enumerate(pieces):
@@ -108,7 +121,7 @@ class PieceEncoder:
             else:
                 rest.append(i)
         for i, e in zip(rest, self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False), strict=True):
-            out[i] = e.ids
+            out[i] = array("I", e.ids).tobytes()
         return out
 
 

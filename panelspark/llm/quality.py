@@ -90,8 +90,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> tuple[np.ndarr
     if len(set(labels.tolist())) < 2:
         return worth, bias
     bags = []
-    for i in range(0, len(texts), 200):
-        raw, offsets = buffers(pa.array(texts[i : i + 200], pa.large_string()))
+    everything = pa.record_batch([pa.array(texts, pa.large_string())], ["t"])
+    for part in slices(everything, 0, 1 << 18):  # features of a part take a few hundred bytes for each of its letters
+        raw, offsets = buffers(part.column(0))
         w, one, kinds, inverse = _distinct_words(raw, offsets)
         features, at = word_features(raw, one, kinds)
         for a, b, again in zip(w.first[:-1], w.first[1:], _again(inverse, w.first).tolist(), strict=True):

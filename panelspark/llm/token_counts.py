@@ -64,7 +64,7 @@ def count_batch(batch: pa.RecordBatch, text: int, definition: str, table: tuple[
     key = hash(definition)
     if key not in _WORKER:
         encoder = PieceEncoder(definition, fold=False)
-        _WORKER[key] = (encoder.tokenizer, PieceCache(lambda pieces: list(map(len, encoder(pieces)))), special_strings(definition), is_byte_level(definition))
+        _WORKER[key] = (encoder.tokenizer, PieceCache(lambda pieces: [len(x) >> 2 for x in encoder(pieces)]), special_strings(definition), is_byte_level(definition))
     tokenizer, cache, specials, pieces_hold = _WORKER[key]
     encode = lambda texts: [len(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
     column = batch.column(text)

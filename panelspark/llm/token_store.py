@@ -58,7 +58,7 @@ def encode_batch(column: pa.Array, definition: str) -> tuple[np.ndarray, np.ndar
     key = hash(definition)
     if key not in _WORKER:
         encoder = PieceEncoder(definition, fold=True)
-        _WORKER[key] = (encoder.tokenizer, PieceCache(lambda pieces: [np.array(x, np.uint32) for x in encoder(pieces)]), _pieces_hold(definition) and _folds(definition))
+        _WORKER[key] = (encoder.tokenizer, PieceCache(encoder), _pieces_hold(definition) and _folds(definition))
     tokenizer, cache, pieces_hold = _WORKER[key]
     if not pieces_hold:
         got = [e.ids for e in tokenizer.encode_batch_fast([x or "" for x in column.to_pylist()], add_special_tokens=False)]
@@ -70,8 +70,8 @@ def encode_batch(column: pa.Array, definition: str) -> tuple[np.ndarray, np.ndar
     first, inverse = distinct(raw, w)
     data = raw.tobytes()
     kinds = cache.get([data[a:b] for a, b in zip(w.start[first], w.end[first], strict=True)])
-    size = np.array([len(k) for k in kinds], np.int64)
-    flat, at = np.concatenate(kinds), np.cumsum(size) - size
+    size = np.fromiter(map(len, kinds), np.int64, len(kinds)) >> 2
+    flat, at = np.frombuffer(b"".join(kinds), "<u4"), np.cumsum(size) - size
     n = size[inverse]
     total = np.concatenate([[0], np.cumsum(n)])
     ids = flat[np.repeat(at[inverse] - total[:-1], n) + np.arange(total[-1])]
