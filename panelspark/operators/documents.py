@@ -95,3 +95,46 @@ def year_differences(docs: DataFrame, entity: str, year: str, rows: str, key: st
 def corpus_comparison_flags(a: Column, b: Column, other: str = "otro_no_clasificado") -> Column:
     """regression: classified before, the escape hatch now; gain: the reverse; changed; same."""
     return F.when(a.isNull() | b.isNull(), "unpaired").when((a != other) & (b == other), "regression").when((a == other) & (b != other), "gain").when(a != b, "changed").otherwise("same")
+
+
+def deep_values(document: DataFrame, keys: list[str], json: str) -> DataFrame:
+    """Every value of a JSON text two levels down, whatever its keys: keys, path, value as text."""
+    v = document.select(*keys, F.try_parse_json(json).alias("_v"))
+    v.createOrReplaceTempView("_deep_values")
+    spark = document.sparkSession
+    names = ", ".join(f"d.`{k}`" for k in keys)
+    one = spark.sql(f"SELECT {names}, e.key AS path, e.value AS v FROM _deep_values d, LATERAL variant_explode(d._v) e")
+    flat = one.filter("schema_of_variant(v) NOT LIKE 'OBJECT%' AND schema_of_variant(v) NOT LIKE 'ARRAY%'").select(*keys, "path", F.col("v").cast("string").alias("value"))
+    one.createOrReplaceTempView("_deep_values_2")
+    two = spark.sql(f"SELECT {names}, concat_ws('.', d.path, coalesce(e.key, cast(e.pos AS string))) AS path, e.value AS v FROM _deep_values_2 d, LATERAL variant_explode(d.v) e")
+    return flat.unionByName(two.select(*keys, "path", F.col("v").cast("string").alias("value")))
+
+
+def rescue_needed(variants: Column, scheme: str, description: str, phrases: str) -> Column:
+    """Whether any variant is the escape hatch and its description lacks the phrases that explain it."""
+    return F.exists(variants, lambda v: (v[scheme] == "otro_no_clasificado") & ~F.lower(F.coalesce(v[description], F.lit(""))).rlike(phrases))
+
+
+def adapted(rows: Column, fixed_factor: float = 1.0, rate_factor: float = 1.0) -> Column:
+    """Rows of a hard-coded table in the library's units, with upper bounds from the next lower ones."""
+    scaled = F.transform(rows, lambda r: r.withField("fixed", r["fixed"] * fixed_factor).withField("rate", r["rate"] * rate_factor))
+    return nested.upper_from_next(scaled)
+
+
+def imputed_document(document: Column, method: Column, strict: tuple[str, ...], emptied: list[str]) -> Column:
+    """A donor's document: whole for strict methods, without the fields named for the others."""
+    skeleton = document
+    for f in emptied:
+        skeleton = skeleton.withField(f, F.when(F.lit(False), document[f]))
+    return F.when(method.isin(*strict), document).otherwise(skeleton)
+
+
+def struct_diff(a: Column, b: Column, fields: list[str]) -> Column:
+    """The names of the fields that differ, null equal to null."""
+    return F.array_compact(F.array(*[F.when(~a[f].eqNullSafe(b[f]), F.lit(f)) for f in fields]))
+
+
+def mixed_columns(as_map: Column, as_list: Column) -> Column:
+    """Columns given as a map or as a list of (name, value), as a list in order of name."""
+    from_map = F.transform(F.map_entries(as_map), lambda e: F.struct(e["key"].alias("name"), e["value"].alias("value")))
+    return F.array_sort(F.coalesce(as_list, from_map))

@@ -104,3 +104,41 @@ def is_pdf(content: Column) -> Column:
 def scanned_documents(pages: DataFrame, document: str, text: str, least: int = 100) -> DataFrame:
     """Mean characters of a document's pages, and whether they are too few for a text document."""
     return pages.groupBy(document).agg(F.avg(F.length(F.coalesce(F.col(text), F.lit("")))).alias("mean_chars")).withColumn("scanned", F.col("mean_chars") < least)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``; one of our own only where it is unset)."""
+    import tempfile
+    import uuid
+
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = "file://" + tempfile.mkdtemp(prefix="panelspark-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def write_documents(df: DataFrame, path: str, state: str, year: str) -> None:
+    """JSON documents by state and year; pruning by folder needs no index."""
+    df.write.partitionBy(state, year).json(path)
+
+
+def append_log(df: DataFrame, path: str) -> None:
+    """Rows are only added; the writer's commit protocol shows a batch whole or not at all."""
+    df.write.mode("append").parquet(path)
+
+
+def markdown_table(df: DataFrame, most: int = 200) -> str:
+    """A small result as a Markdown table; ``most`` rows, since it is a report."""
+    rows = df.limit(most).collect()
+    head = "| " + " | ".join(df.columns) + " |\n|" + "---|" * len(df.columns)
+    return "\n".join([head, *["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows]])
+
+
+def latex_table(df: DataFrame, most: int = 200) -> str:
+    """A small result as a LaTeX tabular."""
+    from panelspark.functions.text import escaped_latex
+
+    shown = df.select(*[escaped_latex(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))).alias(c) for c in df.columns]).limit(most).collect()
+    body = " \\\\\n".join(" & ".join(r) for r in shown)
+    return "\\begin{tabular}{" + "l" * len(df.columns) + "}\n" + " & ".join(df.columns) + " \\\\\n\\hline\n" + body + " \\\\\n\\end{tabular}"
