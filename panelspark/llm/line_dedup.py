@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import checked, lower_ascii, packed
+from .shared import checked, lower_ascii, packed, stored
 
 SPACE = " \t\n\x0b\f\r"
 #: Salts of a document. A line held by every document is dealt to as many groups.
@@ -69,6 +69,8 @@ def line_keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         .select("_doc", "_text", "_n", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit("second"), "_key").alias("_h2"))
         .withColumn("_salt", F.pmod(F.xxhash64("_doc"), F.lit(SALTS)).cast("int"))
     )
+    # hashes, not texts, are stored: sampling the ranges, streaming them and marking lines would read and hash the texts three times
+    keys = stored(keys, "line-keys")
     group = Window.partitionBy("_h1", "_h2", "_salt").orderBy(F.col("_doc").asc_nulls_first(), "_pos", "_text")
     streamed = keys.repartitionByRange("_h1", "_h2", "_salt").withColumn("_seen", F.row_number().over(group))
     if min_docs is None:
