@@ -13,7 +13,8 @@ The number of blocks is bounded (``MOST_BLOCKS``), so the table of boxes that is
 the table instead. The axes come from sums of squares of all vectors, d x d numbers.
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite components, link with nothing: n_links 0,
-component_id their own id, kept true. Vectors of different lengths don't link (1000 lengths at most). Rows that share a vec_id are one node, and their links add up. A null vec_id links with
+component_id their own id, kept true. Vectors of different lengths don't link; each length is
+a join of its own. Rows that share a vec_id are one node, and their links add up. A null vec_id links with
 nothing and has component_id null, kept true. An empty table gives an empty table; other columns are left out.
 """
 
@@ -30,14 +31,18 @@ from .components import components
 from .shared import checked, stored
 
 #: Axes of the grid, axes of the boxes, vectors of a block at least, blocks at most, vectors of an interval inside a task.
-GRID_AXES, BOX_AXES, BLOCK, MOST_BLOCKS, INTERVAL = 4, 16, 2048, 8192, 256
+GRID_AXES, BOX_AXES, BLOCK, MOST_BLOCKS, INTERVAL = 4, 16, 8192, 4096, 256
 #: Partner blocks that share one copy of a block.
 RUN = 8
 
 
 def _matrix(column: pa.Array, d: int) -> np.ndarray:
     """Unit vectors of a list column without nulls, in double precision."""
-    x = np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, d)
+    return _unit(column.flatten().to_numpy(zero_copy_only=False).reshape(-1, d))
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -90,14 +95,17 @@ def near_intervals(low: np.ndarray, high: np.ndarray, box_low: np.ndarray, box_h
     return np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-def join_blocks(x: np.ndarray, y: np.ndarray, cosine: float, same: bool, eps2: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (i, j) of rows of x and y with cosine >= ``cosine``; with ``same`` only i < j. Works interval by interval."""
-    p = min(BOX_AXES, x.shape[1])
+def join_blocks(x: np.ndarray, y: np.ndarray, axes: np.ndarray, cosine: float, same: bool, eps2: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (i, j) of unit vectors x and y with cosine >= ``cosine``; with ``same`` only i < j. Works interval by interval.
+
+    axes: the leading principal axes, on which the boxes of intervals are taken.
+    """
+    px, py = x @ axes, y @ axes
     ends = lambda m: [(a, min(a + INTERVAL, len(m))) for a in range(0, len(m), INTERVAL)]
     spans_x, spans_y = ends(x), ends(y)
-    low, high = (np.stack([f(y[a:b, :p], 0) for a, b in spans_y]) for f in (np.min, np.max))
+    low, high = (np.stack([f(py[a:b], 0) for a, b in spans_y]) for f in (np.min, np.max))
     for k, (a, b) in enumerate(spans_x):
-        for m in near_intervals(low, high, x[a:b, :p].min(0), x[a:b, :p].max(0), eps2, k if same else 0):
+        for m in near_intervals(low, high, px[a:b].min(0), px[a:b].max(0), eps2, k if same else 0):
             c, e = spans_y[m]
             hit = x[a:b] @ y[c:e].T >= cosine
             i, j = np.nonzero(hit)
@@ -137,13 +145,16 @@ def _links(vectors: DataFrame, d: int, cosine: float) -> DataFrame:
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            y = _matrix(batch.column(2), d) @ axes.value
+            y = _matrix(batch.column(2), d) @ axes.value[:, :box]
             cells = np.floor(y[:, :grid] / width).astype(np.int32)
-            flat = pa.FixedSizeListArray.from_arrays(pa.array(y.reshape(-1)), d).cast(pa.list_(pa.float64()))
+            head = pa.FixedSizeListArray.from_arrays(pa.array(y[:, :2].copy().reshape(-1)), y[:, :2].shape[1]).cast(pa.list_(pa.float64()))
             cell = pa.FixedSizeListArray.from_arrays(pa.array(cells.reshape(-1)), grid).cast(pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), flat, cell], names=["rep", "m", "y", "cell"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), head, cell], names=["rep", "m", "x", "y", "cell"])
 
-    turned = stored(vectors.select("rep", "m", "embedding").mapInArrow(turn, "rep long, m long, y array<double>, cell array<int>"), "turned")
+    # vectors travel as they came, in single precision if so; tasks compute in double precision
+    element = vectors.schema["embedding"].dataType.elementType.simpleString()
+    kind = np.dtype("<f4" if element == "float" else "<f8")
+    turned = stored(vectors.select("rep", "m", "embedding").mapInArrow(turn, f"rep long, m long, x array<{element}>, y array<double>, cell array<int>"), "turned")
     n = turned.count()
     size = max(BLOCK, -(-n // MOST_BLOCKS))
     n_parts = max(1, min(MOST_BLOCKS // 2, -(-n // size)))
@@ -155,10 +166,11 @@ def _links(vectors: DataFrame, d: int, cosine: float) -> DataFrame:
         part, number, rows = TaskContext.get().partitionId(), 0, []
 
         def block(rows: list[pa.RecordBatch]):
-            y = np.concatenate([np.asarray(r.column(2).flatten()).reshape(-1, d) for r in rows])
+            x = np.concatenate([r.column(2).flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(-1, d) for r in rows])
+            y = _unit(x) @ axes.value[:, :box]
             rep, m = (np.concatenate([r.column(i).to_numpy() for r in rows]) for i in (0, 1))
-            lists = [pa.array([v.tolist()]) for v in (y[:, :box].min(0), y[:, :box].max(0))]
-            return pa.RecordBatch.from_arrays([pa.array([part * 1_000_000 + number]), pa.array([rep.tobytes()], pa.binary()), pa.array([m.tobytes()], pa.binary()), pa.array([y.tobytes()], pa.binary()), *lists], names=["block", "reps", "ms", "ys", "low", "high"])
+            lists = [pa.array([v.tolist()]) for v in (y.min(0), y.max(0))]
+            return pa.RecordBatch.from_arrays([pa.array([part * 1_000_000 + number]), pa.array([rep.tobytes()], pa.binary()), pa.array([m.tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary()), *lists], names=["block", "reps", "ms", "xs", "low", "high"])
 
         held = 0
         for batch in batches:
@@ -174,7 +186,7 @@ def _links(vectors: DataFrame, d: int, cosine: float) -> DataFrame:
             yield block(rows)
 
     sequence = turned.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
-    blocks = stored(sequence.mapInArrow(cut, "block long, reps binary, ms binary, ys binary, low array<double>, high array<double>"), "blocks")
+    blocks = stored(sequence.mapInArrow(cut, "block long, reps binary, ms binary, xs binary, low array<double>, high array<double>"), "blocks")
     # MOST_BLOCKS and one more for each part at most, of 2 * BOX_AXES numbers
     boxes = blocks.select("block", "low", "high").orderBy("block").collect()
     ids = np.array([r.block for r in boxes], np.int64)
@@ -200,14 +212,14 @@ def _links(vectors: DataFrame, d: int, cosine: float) -> DataFrame:
             for i in range(batch.num_rows):
                 block, key, side = batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), batch.column(3)[i].as_py()
                 rep, m = (np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in (4, 5))
-                y = np.frombuffer(batch.column(6)[i].as_py(), np.float64).reshape(-1, d)
+                x = _unit(np.frombuffer(batch.column(6)[i].as_py(), kind).reshape(-1, d))
                 if side == 0:
-                    left = (key, rep, m, y)
+                    left = (rep, m, x)
                     continue
-                _, rep_l, m_l, y_l = left
+                rep_l, m_l, x_l = left
                 found, more_l, more_r = _Forest(), np.zeros(len(rep_l), np.int64), np.zeros(len(rep), np.int64)
                 links: list[tuple[int, int]] = []
-                for a, b in join_blocks(y_l, y, cosine, key == block, eps2):
+                for a, b in join_blocks(x_l, x, axes.value[:, :box], cosine, key == block, eps2):
                     np.add.at(more_l, a, m[b])
                     np.add.at(more_r, b, m_l[a])
                     links += [(p, q) for p, q in zip(rep_l[a].tolist(), rep[b].tolist(), strict=True) if found.join(p, q)]
@@ -219,18 +231,19 @@ def _links(vectors: DataFrame, d: int, cosine: float) -> DataFrame:
                     a, b, c = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64())], names=["a", "b", "n"])
 
-    return groups.select("block", "left", "run", "side", "reps", "ms", "ys").mapInArrow(compare, "a long, b long, n long")
+    return groups.select("block", "left", "run", "side", "reps", "ms", "xs").mapInArrow(compare, "a long, b long, n long")
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """For each row: id, n_links, component_id, kept."""
-    source = checked(vectors, id_col, vector_col).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("embedding"))
-    norm2 = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
+    single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
+    source = checked(vectors, id_col, vector_col).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<float>" if single else "array<double>").alias("embedding"))
+    norm2 = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     usable = F.coalesce(fine & (norm2 > 0) & (norm2 < F.lit(float("inf"))), F.lit(False)) & F.col("id").isNotNull()
     keyed = source.select("id", "embedding", usable.alias("ok"), F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit("second"), "embedding").alias("k2"), F.size("embedding").alias("d"))
     classes = stored(keyed.filter("ok").groupBy("d", "k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("m"), F.first("embedding").alias("embedding")), "classes")
-    lengths = [r.d for r in classes.select("d").distinct().orderBy("d").limit(1000).collect()]
+    lengths = [r.d for r in classes.select("d").distinct().orderBy("d").collect()]
     spark = vectors.sparkSession
     links = spark.createDataFrame([], "a long, b long, n long")
     for d in lengths:
