@@ -37,6 +37,8 @@ from .shared import checked, hash_share
 
 TRAIN_DOCS, TRAIN_BYTES, DICTIONARY_BYTES = 400, 50_000, 32_768
 BLOCK_IDS = 2_000_000
+#: Starts of blocks are broadcast up to so many; beyond it, blocks are joined to them by a shuffle.
+BROADCAST_BLOCKS = 1_000_000
 _WORKER: dict = {}
 
 
@@ -190,6 +192,8 @@ def read_digests(spark: SparkSession, path: str, id_col: str = "doc_id") -> Data
                 before = get("start").as_py() + np.cumsum(n) - n
                 yield pa.RecordBatch.from_arrays([get("doc_ids").values, pa.array(before, pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64())], names=[id_col, "start", "n_tokens", "ids_crc32"])
 
+    # a row for each block, so blocks themselves need not move
+    starts = F.broadcast(starts) if totals.count() <= BROADCAST_BLOCKS else starts
     return blocks.join(starts, ["part", "block"]).select("dict_hash", "doc_ids", "offsets", "frames", "start").mapInArrow(run, schema)
 
 
