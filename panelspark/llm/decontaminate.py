@@ -6,8 +6,8 @@ that shares a whole window with the suffix holds all occurrences. Suffixes of th
 suffix can match nothing and are left out of the array. No text is moved: documents are read once, and a document's
 matches are found in the task that reads it.
 
-Test items are sent to the tasks in blocks of at most ``BLOCK_BYTES`` of text, so what is broadcast at a time is bounded;
-each block is one more pass over the documents, and passes are summed for each document.
+Test items are sent to the tasks in blocks of at most ``BLOCK_BYTES`` of text, so what a task holds is bounded. A benchmark of
+several blocks takes a pass over the documents for each; rows with hits alone are then brought together, their flags joined.
 
 Defined results
 * words are lower-cased (A-Z) runs of digits, ASCII letters and all code points from 0x80. Null or empty text has no words.
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrowtext import ALNUM, buffers, hashes, slices, words
-from .shared import checked
+from .shared import checked, packed
 
 BLOCK_BYTES = 32 << 20
 #: Words by which suffixes are picked for the array.
@@ -201,53 +201,113 @@ def test_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, b
 test_blocks.__test__ = False
 
 
+RESULTS = (("n_words", "long"), ("n_hit", "long"), ("n_items", "long"), ("items_sha256", "string"), ("contaminated", "boolean"))
+
+
+def _names_sha(names: set[str]) -> str:
+    return hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES, clean_rows: bool = False) -> DataFrame:
     """For each row of ``docs``: id, n_words, n_hit, n_items, items_sha256, contaminated. clean_rows: whole rows without a hit instead."""
     spark: SparkSession = docs.sparkSession
+    blocks = [spark.sparkContext.broadcast(b) for b in test_blocks(benchmark, item_id, item_text, window, block_bytes)]
+    if len(blocks) > 1:
+        return _in_passes(docs, blocks, id_col, text_col, clean_rows)
+    block = blocks[0]
     kept = docs.columns if clean_rows else [id_col]
     carry = [c for c in kept if c != text_col]
-    blocks = [spark.sparkContext.broadcast(b) for b in test_blocks(benchmark, item_id, item_text, window, block_bytes)]
     source = checked(docs, *carry, text_col)
     schema = checked(docs, *kept).schema
-    for name, kind in () if clean_rows else (("n_words", "long"), ("n_hit", "long"), ("n_items", "long"), ("items_sha256", "string"), ("contaminated", "boolean")):
+    for name, kind in () if clean_rows else RESULTS:
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = block.value
         for batch in batches:
             for part in slices(batch, len(carry)):
-                column = part.column(len(carry))
-                hits, names = None, [set() for _ in range(part.num_rows)]
-                for b in blocks:
-                    test = b.value
-                    count, hit, first, pairs, _ = matches(column, test)
-                    hits = hit if hits is None else hits | hit
-                    for r, i in pairs.tolist():
-                        names[r].add(test.names[i])
-                total = np.concatenate([[0], np.cumsum(hits)])
-                n_hit = total[first[1:]] - total[first[:-1]]
-                columns = dict(zip(carry, part.columns, strict=False)) | {text_col: column}
+                count, n_hit, _, names = _rows(part.column(len(carry)), test)
                 if clean_rows:
+                    columns = dict(zip(carry, part.columns, strict=False)) | {text_col: part.column(len(carry))}
                     yield pa.RecordBatch.from_arrays([columns[c] for c in kept], names=kept).filter(pa.array(n_hit == 0))
-                    continue
-                sha = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in names]
-                yield pa.RecordBatch.from_arrays([*[columns[c] for c in kept], pa.array(count), pa.array(n_hit), pa.array([len(x) for x in names], pa.int64()), pa.array(sha, pa.string()), pa.array(n_hit > 0)], names=schema.names)
+                else:
+                    sha = [_names_sha(x) for x in names]
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(count), pa.array(n_hit), pa.array([len(x) for x in names], pa.int64()), pa.array(sha, pa.string()), pa.array(n_hit > 0)], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
 
+def _rows(column: pa.Array, test: TestSuffixes):
+    """For each row of a shard: words, hit words, packed flags of the words (None without a hit), names of items."""
+    count, hit, first, pairs, _ = matches(column, test)
+    total = np.concatenate([[0], np.cumsum(hit)])
+    n_hit = total[first[1:]] - total[first[:-1]]
+    names: list[set[str]] = [set() for _ in range(len(count))]
+    for r, i in pairs.tolist():
+        names[r].add(test.names[i])
+    bits = [np.packbits(hit[a:b]).tobytes() if n else None for a, b, n in zip(first[:-1], first[1:], n_hit, strict=True)]
+    return count, n_hit, bits, names
+
+
+def _in_passes(docs: DataFrame, blocks: list, id_col: str, text_col: str, clean_rows: bool) -> DataFrame:
+    """One pass over the documents for each block of items; only rows with hits are brought together by id and hash of the text."""
+    keyed = packed(docs, _id=F.col(f"`{id_col}`"), _h=F.xxhash64(f"`{text_col}`"))
+    slim = checked(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("_id"), F.xxhash64(f"`{text_col}`").alias("_h"), F.col(f"`{text_col}`").alias("_text"))
+    kind = slim.schema["_id"].dataType.simpleString()
+
+    def hits_of(block):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            test = block.value
+            for batch in batches:
+                for part in slices(batch, 2):
+                    _, n_hit, bits, names = _rows(part.column(2), test)
+                    out = pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bits, pa.binary()), pa.array([sorted(x) for x in names], pa.list_(pa.string()))], names=["_id", "_h", "bits", "names"])
+                    yield out.filter(pa.array(n_hit > 0))
+
+        return slim.mapInArrow(run, f"_id {kind}, _h long, bits binary, names array<string>")
+
+    found = hits_of(blocks[0])
+    for b in blocks[1:]:
+        found = found.unionByName(hits_of(b))
+    same = F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_h") == F.col("_h2"))
+    if clean_rows:
+        gone = found.select(F.col("_id").alias("_id2"), F.col("_h").alias("_h2"))
+        return keyed.join(gone, same, "left_anti").select("_row.*")
+
+    def combine(group: pa.Table) -> pa.Table:
+        flags = None
+        for b in group.column("bits").to_pylist():
+            x = np.frombuffer(b, np.uint8)
+            flags = x if flags is None else flags | x
+        names = {n for x in group.column("names").to_pylist() for n in x}
+        return pa.table({"_id2": group.column("_id")[:1], "_h2": group.column("_h")[:1], "n_hit": pa.array([int(np.bitwise_count(flags).sum())], pa.int64()), "n_items": pa.array([len(names)], pa.int64()), "items_sha256": pa.array([_names_sha(names)])})
+
+    hits = found.groupBy("_id", "_h").applyInArrow(combine, f"_id2 {kind}, _h2 long, n_hit long, n_items long, items_sha256 string")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 2):
+                n = np.diff(words(*buffers(part.column(2)), ALNUM).first)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n.astype(np.int64))], names=["_id", "_h", "n_words"])
+
+    base = slim.mapInArrow(count, f"_id {kind}, _h long, n_words long")
+    return base.join(hits, same, "left").select(
+        F.col("_id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items_sha256", F.lit(_names_sha(set()))).alias("items_sha256"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated")
+    )
+
+
 def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", least: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The longest verbatim match of each item in each row of ``docs``, of ``least`` words or more: id, item_id, first_word, n_words."""
     spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast(b) for b in test_blocks(benchmark, item_id, item_text, least, block_bytes)]
     source = checked(docs, id_col, text_col)
     schema = checked(docs, id_col).schema.add("item_id", "string").add("first_word", "long").add("n_words", "long")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):  # a document is a shard of its own here, for a match in each
-                part = batch.slice(i, 1)
-                for b in blocks:
-                    test = b.value
+    def one_pass(block) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            test = block.value
+            for batch in batches:
+                for i in range(batch.num_rows):  # a document is a shard of its own here, for a match in each
+                    part = batch.slice(i, 1)
                     best = matches(part.column(1), test, longest=True)[4]
                     best = best[best[:, 2] >= least]
                     if len(best):
@@ -255,7 +315,13 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
                         best = best[np.concatenate([[True], best[1:, 3] != best[:-1, 3]])]
                         yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(best[:, 0])), pa.array([test.names[j] for j in best[:, 3]], pa.string()), pa.array(best[:, 1]), pa.array(best[:, 2])], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+        return source.mapInArrow(run, schema)
+
+    out = None
+    for b in test_blocks(benchmark, item_id, item_text, least, block_bytes):
+        found = one_pass(spark.sparkContext.broadcast(b))
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

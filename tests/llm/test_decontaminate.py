@@ -43,10 +43,11 @@ def test_against_brute_force(spark, sf):
     for block in (1 << 25, 2000):
         got = decontaminate.contamination(docs.withColumn("n_hit", F.lit("x")), bench, block_bytes=block).collect()
         assert sorted((tuple(r) for r in got), key=str) == want
-    kept = decontaminate.decontaminated(edge.docs(spark), bench)
-    assert kept.columns == edge.docs(spark).columns
     clean = [w for w in brute([(r[0], r[1]) for r in edge.ROWS], [(r.item_id, r.text) for r in bench.collect()], 10) if not w[5]]
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted((w[0] for w in clean), key=str)
+    for block in (1 << 25, 2000):
+        kept = decontaminate.decontaminated(edge.docs(spark), bench, block_bytes=block)
+        assert kept.columns == edge.docs(spark).columns
+        assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted((w[0] for w in clean), key=str)
 
 
 def test_longest_matches(spark):
