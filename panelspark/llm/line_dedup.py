@@ -4,7 +4,7 @@ Method. Each line becomes a 128-bit hash of its key. Hashes are range-partitione
 the document and sorted within a partition by document and position, so that one pass over each partition
 streams the first occurrence and the number of documents of a hash. The salt splits a line that a third of
 all documents hold over all partitions; what each salt found is a row at most, and those rows are summed
-for each hash. Texts never travel with the hashes: the result is a run-length bitmap for each document that
+for each hash. Texts never travel with the hashes: the result is a compressed bitmap for each document that
 loses lines.
 
 Defined results
@@ -40,17 +40,16 @@ def _row_keys(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.withColumn("_doc", F.col(f"`{id_col}`")).withColumn("_text", F.xxhash64(f"`{text_col}`"))
 
 
-def bitmap_of(n_lines: Column, dropped: Column) -> Column:
-    """Run lengths of kept and dropped lines in turn, kept first, as 4-byte numbers; ``dropped``: sorted positions."""
+def bitmap_of(dropped: Column) -> Column:
+    """A compressed bitmap of sorted positions: the lines at which keeping turns to dropping and back, as 4-byte numbers."""
     start = F.filter(dropped, lambda x, i: (i == 0) | (F.get(dropped, i - 1) != x - 1))
     end = F.filter(dropped, lambda x, i: (i == F.size(dropped) - 1) | (F.get(dropped, i + 1) != x + 1))
-    edges = F.concat(F.array(F.lit(-1)), F.flatten(F.zip_with(start, end, lambda a, b: F.array(a - 1, b))), F.array(n_lines - 1))
-    runs = F.transform(F.slice(edges, 2, F.size(edges) - 1), lambda x, i: F.lpad(F.hex((x - F.get(edges, i)).cast("long")), 8, "0"))
-    return F.unhex(F.array_join(runs, ""))
+    turns = F.flatten(F.zip_with(start, end, lambda a, b: F.array(a, b + 1)))
+    return F.unhex(F.array_join(F.transform(turns, lambda x: F.lpad(F.hex(x.cast("long")), 8, "0")), ""))
 
 
-def runs_of(bitmap: Column) -> Column:
-    """The run lengths of a bitmap as numbers."""
+def turns_of(bitmap: Column) -> Column:
+    """The turns of a bitmap as numbers: dropped from the first to before the second, kept to before the third, and so on."""
     n = (F.length(bitmap) / 4).cast("int")
     return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.conv(F.hex(F.substring(bitmap, i * 4 + 1, F.lit(4))), 16, 10).cast("int"))
 
@@ -85,7 +84,7 @@ def line_keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         often = per_salt.groupBy("_h1", "_h2").agg(F.sum("_docs").alias("_docs"), F.collect_list("_salt").alias("_all")).filter(F.col("_docs") >= min_docs)
         gone = keys.join(often.select("_h1", "_h2", F.explode("_all").alias("_salt")), ["_h1", "_h2", "_salt"])
     dropped = gone.groupBy("_doc", "_text").agg(F.first("_n").alias("n_lines"), F.sort_array(F.collect_set("_pos")).alias("_dropped"))
-    return dropped.select("_doc", "_text", "n_lines", F.size("_dropped").alias("n_dropped"), bitmap_of(F.col("n_lines"), F.col("_dropped")).alias("bitmap"))
+    return dropped.select("_doc", "_text", "n_lines", F.size("_dropped").alias("n_dropped"), bitmap_of(F.col("_dropped")).alias("bitmap"))
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -94,26 +93,17 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
     right = bitmaps.select(F.col("_doc").alias("_doc2"), F.col("_text").alias("_text2"), F.col("n_dropped").alias("_dropped"), "bitmap")
     both = left.join(right, F.col("_doc").eqNullSafe(F.col("_doc2")) & (F.col("_text") == F.col("_text2")), "left")
     text = F.col(f"_row.`{text_col}`")
-    runs = runs_of(F.col("bitmap"))
-    # kept runs stand at even places; each begins where the runs before it end
-    spans = F.aggregate(
-        runs,
-        F.struct(F.lit(0).alias("at"), F.lit(True).alias("keep"), F.array().cast("array<struct<at:int,n:int>>").alias("out")),
-        lambda acc, n: F.struct(
-            (acc["at"] + n).alias("at"),
-            (~acc["keep"]).alias("keep"),
-            F.when(acc["keep"] & (n > 0), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("at"), n.alias("n"))))).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    kept = F.flatten(F.transform(spans, lambda s: F.slice(F.col("_l"), s["at"] + 1, s["n"])))
+    # kept lines stand before the first turn, between the second and third, and so on, and after the last
+    ends = F.concat(F.array(F.lit(0)), F.col("_turns"), F.array(F.size("_l")))
+    starts, stops = F.filter(ends, lambda x, i: i % 2 == 0), F.filter(ends, lambda x, i: i % 2 == 1)
+    kept = F.flatten(F.zip_with(starts, stops, lambda a, b: F.slice(F.col("_l"), a + 1, b - a)))
     new = {
         text_col: F.when(F.col("bitmap").isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(kept, "\n")),
         "n_lines": F.size("_l").cast("long"),
         "n_dropped": F.coalesce(F.col("_dropped"), F.lit(0)).cast("long"),
     }
     old = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in new]
-    done = both.withColumn("_l", lines_of(text)).select("_row", *[c.alias(f"_new{i}") for i, c in enumerate(new.values())])
+    done = both.withColumns({"_l": lines_of(text), "_turns": turns_of(F.col("bitmap"))}).select("_row", *[c.alias(f"_new{i}") for i, c in enumerate(new.values())])
     return done.select(*old, *[F.col(f"_new{i}").alias(k) for i, k in enumerate(new)])
 
 

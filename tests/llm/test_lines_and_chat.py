@@ -43,11 +43,17 @@ def test_bitmap_round_trip(spark):
     text = "\n".join(["x", "dup", "dup", "y", "dup", "z", "dup"])
     df = spark.createDataFrame([(1, text), (2, "dup"), (3, "dup")], "doc_id long, text string")
     maps = line_dedup.line_keep_bitmaps(df, min_docs=3)
-    runs = {r._doc: r.runs for r in maps.withColumn("runs", line_dedup.runs_of(F.col("bitmap"))).collect()}
-    assert runs == {1: [1, 2, 1, 1, 1, 1, 0], 2: [0, 1, 0], 3: [0, 1, 0]}
+    turns = {r._doc: r.turns for r in maps.withColumn("turns", line_dedup.turns_of(F.col("bitmap"))).collect()}
+    assert turns == {1: [1, 3, 4, 5, 6, 7], 2: [0, 1], 3: [0, 1]}
     assert {r.doc_id: r.text for r in line_dedup.apply_bitmaps(df, maps).collect()} == {1: "x\ny\nz", 2: "", 3: ""}
 
 
+def test_many_turns_in_a_long_document(spark):
+    rows = [(i, "\n".join(x for n in range(30_000) for x in (f"own {i} {n}", f"shared {n}"))) for i in range(2)]
+    got = line_dedup.drop_common_lines(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert all(r.n_dropped == 30_000 and r.text == "\n".join(f"own {r.doc_id} {n}" for n in range(30_000)) for r in got)
+
+
 def test_empty_tables_and_hot_line(spark):
     assert line_dedup.drop_common_lines(edge.empty(spark), 10).count() == 0
     hot = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("hot line\nown "), F.col("id").cast("string")).alias("text"))
