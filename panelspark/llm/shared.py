@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,8 +53,29 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Spark this package for its workers, once for each application; they need not find it in a folder of their own."""
+    context = spark.sparkContext
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if context.applicationId in _SHIPPED or not os.path.isdir(package):
+        return
+    _SHIPPED.add(context.applicationId)
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="panelspark-")), "panelspark.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+
+
 def checked(df: DataFrame, *columns: str) -> DataFrame:
     """Only ``columns`` of ``df``; a clear error when one is missing. Extra columns, whatever their names, are left behind."""
+    ship_package(df.sparkSession)
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}; there are {df.columns}")
