@@ -92,6 +92,17 @@ def year_differences(docs: DataFrame, entity: str, year: str, rows: str, key: st
     return x.select(entity, year, "prev_year", "scheme_changed", "added", "removed", "changed", F.array_max(codes).alias("label"), F.array_min(codes).alias("worst"))
 
 
+def diff_by_scheme(before: Column, after: Column, scheme: Column, differs: dict[str, tuple[str, str]]) -> Column:
+    """Keyed differences by the rule of the document's scheme: a registry of scheme to (key field, value field); null for others."""
+    text_of = lambda f: lambda r: r[f].cast("string")
+    field_of = lambda f: lambda r: r[f]
+    out = None
+    for name, (key, value) in differs.items():
+        diff = nested.keyed_diff(before, after, text_of(key), field_of(value))
+        out = F.when(scheme == name, diff) if out is None else out.when(scheme == name, diff)
+    return out
+
+
 def corpus_comparison_flags(a: Column, b: Column, other: str = "otro_no_clasificado") -> Column:
     """regression: classified before, the escape hatch now; gain: the reverse; changed; same."""
     return F.when(a.isNull() | b.isNull(), "unpaired").when((a != other) & (b == other), "regression").when((a == other) & (b != other), "gain").when(a != b, "changed").otherwise("same")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +20,9 @@ class SectionPatterns:
     least: int = 50
     most: int = 20_000
     signals: list[str] = field(default_factory=list)
+    #: Hooks: whether the text before a start will do, and whether a section will do; a refused start leaves the next pattern its turn.
+    context_ok: Callable[[Column], Column] | None = None
+    section_ok: Callable[[Column], Column] | None = None
 
 
 def locate(text: Column, p: SectionPatterns) -> Column:
@@ -30,11 +34,16 @@ def locate(text: Column, p: SectionPatterns) -> Column:
         if p.blacklist:
             before = F.substring(text, F.greatest(at - p.look_back, F.lit(1)), F.least(F.lit(p.look_back), at - 1))
             ok = ok & ~before.rlike(p.blacklist)
+        if p.context_ok:
+            ok = ok & p.context_ok(F.substring(text, F.greatest(at - p.look_back, F.lit(1)), F.least(F.lit(p.look_back), at - 1)))
         tail = F.substring(text, at + p.least, F.length(text))
         ends = [F.when(F.regexp_instr(tail, F.lit(e)) > 0, F.regexp_instr(tail, F.lit(e))) for e in p.ends]
         nearest = F.least(*ends) if len(ends) > 1 else ends[0]
         end = F.least(at - 1 + p.least + nearest - 1, at - 1 + p.most, F.length(text))
-        hit = F.struct(F.lit(True).alias("found"), F.lit(name).alias("method"), (at - 1).alias("start"), F.coalesce(end, F.least(at - 1 + p.most, F.length(text))).alias("end"), F.when(nearest.isNotNull(), F.lit(confidence)).otherwise(F.lit(round(confidence * 0.8, 4))).alias("confidence"))
+        last = F.coalesce(end, F.least(at - 1 + p.most, F.length(text)))
+        if p.section_ok:
+            ok = ok & p.section_ok(F.substring(text, at, last - at + 1))
+        hit = F.struct(F.lit(True).alias("found"), F.lit(name).alias("method"), (at - 1).alias("start"), last.alias("end"), F.when(nearest.isNotNull(), F.lit(confidence)).otherwise(F.lit(round(confidence * 0.8, 4))).alias("confidence"))
         out = F.when(ok, hit) if out is None else F.when(ok, hit).otherwise(out)
     none = F.struct(F.lit(False).alias("found"), F.lit("none").alias("method"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"), F.lit(0.0).alias("confidence"))
     return F.coalesce(out, none)

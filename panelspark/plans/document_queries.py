@@ -392,7 +392,7 @@ def json_diff_paths(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_TARIFFS} SELECT l_orderkey, i::INT AS position, n, lower, fixed, rate, upper FROM rows")
 def nested_flatten(spark: SparkSession, sf: str) -> DataFrame:
-    """NST06, NST07, NST11: array rows with their positions."""
+    """NST06, NST07, NST11, UDX09: array rows with their positions."""
     return documents.flatten(_tariffs(spark, sf), ["l_orderkey"], "rows").select("l_orderkey", "position", "n", "lower", "fixed", "rate", "upper")
 
 

@@ -333,3 +333,37 @@ def uniform_group_audit(spark: SparkSession, sf: str) -> DataFrame:
     """OTH06, AGG01."""
     k = F.when(F.col("monto") > 250000, 3).when(F.col("monto") > 100000, 2).otherwise(1).cast("long")
     return aggregates.counts(order_rows(spark, sf).withColumn("k", k), "year", "k")
+
+
+@query("""WITH x AS (SELECT doc_id, text, instr(text, '. ') AS a FROM documents), y AS (SELECT *, instr(substr(text, a + 10), chr(10)) AS e FROM x),
+z AS (SELECT *, least(CASE WHEN e > 0 THEN a - 1 + 10 + e - 1 ELSE a - 1 + 500 END, a - 1 + 500, length(text)) AS last FROM y)
+SELECT doc_id, a > 1 AND a <= 60 AND regexp_matches(substr(text, a, last - a + 1), '[aeiou]') AS found FROM z""")
+def section_locator_hooks(spark: SparkSession, sf: str) -> DataFrame:
+    """UDX01, UDX02: hooks on the text before a start and on the section itself."""
+    p = segment.SectionPatterns(starts=[("period", "\\. ", 0.9)], ends=["\n"], least=10, most=500, look_back=800, context_ok=lambda c: F.length(c).between(1, 59), section_ok=lambda c: c.rlike("[aeiou]"))
+    return table(spark, sf, "documents").select("doc_id", segment.locate(F.col("text"), p)["found"].alias("found"))
+
+
+@query("""WITH l AS (SELECT l_orderkey, l_linenumber AS k, l_quantity AS q, l_discount AS d FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_quantity, l_discount) = 1),
+p AS (SELECT a.l_orderkey, a.k, CASE WHEN a.l_orderkey % 2 = 0 THEN abs(a.q - b.q) > 0.01 ELSE abs(a.d - b.d) > 0.01 END AS changed, b.k IS NULL AS added FROM l a LEFT JOIN l b ON b.l_orderkey = a.l_orderkey + 1 AND b.k = a.k)
+SELECT l_orderkey, count(*) FILTER (WHERE added)::BIGINT AS removed, count(*) FILTER (WHERE changed)::BIGINT AS changed FROM p WHERE l_orderkey IN (SELECT l_orderkey - 1 FROM l) GROUP BY 1""")
+def differ_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """UDX07: the rule of difference depends on the document's scheme."""
+    first = panel.keep_first(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount"), ["l_orderkey", "l_linenumber"], [F.col("l_quantity"), F.col("l_discount")])
+    docs = first.groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").alias("k"), F.col("l_quantity").alias("q"), F.col("l_discount").alias("d"))).alias("rows"))
+    nxt = docs.select((F.col("l_orderkey") - 1).alias("l_orderkey"), F.col("rows").alias("next"))
+    scheme = F.when(F.col("l_orderkey") % 2 == 0, "even").otherwise("odd")
+    d = documents.diff_by_scheme(F.col("rows"), F.col("next"), scheme, {"even": ("k", "q"), "odd": ("k", "d")})
+    n = lambda what: F.size(F.filter("_d", lambda x: x["what"] == what)).cast("long")
+    return docs.join(nxt, "l_orderkey").withColumn("_d", d).select("l_orderkey", n("removed").alias("removed"), n("changed").alias("changed"))
+
+
+@query(f"WITH {OBS} SELECT year, tipo, count(*)::BIGINT AS n FROM obs WHERE monto > 100000 GROUP BY 1, 2")
+def step_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """UDX04, UDX08: named steps chained by a runner, planned as one."""
+    from panelspark.plans import steps
+
+    if "large" not in steps.STEPS:
+        steps.step("large")(lambda df: df.filter("monto > 100000"))
+        steps.step("count")(lambda df: df.groupBy("year", "tipo").agg(F.count("*").alias("n")))
+    return steps.run_steps(observations(spark, sf), ["large", "count"])

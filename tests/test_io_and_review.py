@@ -97,3 +97,27 @@ def test_decision_stream(spark, tmp_path):
     q = stream.writeStream.outputMode("complete").format("memory").queryName("latest_decisions").trigger(availableNow=True).start()
     q.awaitTermination()
     assert {r.id: r.decision for r in spark.table("latest_decisions").collect()} == {"1": "c", "2": "b"}
+
+
+def test_reports(spark):
+    df = spark.createDataFrame([("a_b", 1), (None, 2)], "k string, n int")
+    assert files.markdown_table(df) == "| k | n |\n|---|---|\n| a_b | 1 |\n|  | 2 |"
+    assert "a\\_b & 1 \\\\" in files.latex_table(df)
+
+
+def test_steps(spark):
+    import pytest
+
+    from panelspark.plans import steps
+
+    steps.step("plus")(lambda df: df.withColumn("id", F.col("id") + 1))
+    assert [r.id for r in steps.run_steps(spark.range(2), ["plus", "plus"]).collect()] == [2, 3]
+    with pytest.raises(ValueError):
+        steps.run_steps(spark.range(2), ["plus", "none"])
+    with pytest.raises(ValueError):
+        steps.step("plus")(lambda df: df)
+
+
+def test_deep_values(spark):
+    df = spark.createDataFrame([(1, '{"a": {"b": 25, "c": "x"}, "d": [1, 30]}'), (2, "broken")], "k int, j string")
+    assert {(r.k, r.path, r.value) for r in documents.deep_values(df, ["k"], "j").collect()} >= {(1, "a.b", "25"), (1, "a.c", "x"), (1, "d.0", "1"), (1, "d.1", "30")}
