@@ -45,31 +45,32 @@ def match_names(names: DataFrame, catalog: DataFrame, block: str, name: str, key
     """For each distinct (block, name): key, score, stage. names and catalog hold slugs; aliases: block, name, key."""
     todo = names.select(block, name).distinct()
     cat = catalog.groupBy(block, F.col(name).alias("_slug")).agg(F.min(key).alias(key))
-    done = []
 
-    def take(found: DataFrame) -> None:
-        nonlocal todo
-        best = found.groupBy(block, name).agg(F.min_by(F.struct(key, "score", "stage"), F.struct(-F.col("score"), F.col("_slug"))).alias("_m")).select(block, name, "_m.*")
-        done.append(best)
-        todo = todo.join(best.select(block, name), [block, name], "left_anti")
+    def best(found: DataFrame) -> DataFrame:
+        """The first stage that matches a name, its best score, the least catalog name."""
+        order = F.struct("_order", -F.col("score"), F.col("_slug"))
+        return found.groupBy(block, name).agg(F.min_by(F.struct(key, "score", "stage"), order).alias("_m")).select(block, name, "_m.*")
 
-    take(todo.withColumn("_slug", F.col(name)).join(cat, [block, "_slug"]).select(block, name, "_slug", key, F.lit(1.0).alias("score"), F.lit("exact").alias("stage")))
+    def stage(df: DataFrame, number: int, label: str, score) -> DataFrame:
+        return df.select(block, name, "_slug", key, score.cast("double").alias("score"), F.lit(label).alias("stage"), F.lit(number).alias("_order"))
+
+    # stages that are plain equi-joins, in one pass
+    cut = todo.withColumn("_slug", F.regexp_replace(name, suffix, "")).filter(F.col("_slug") != F.col(name))
+    plain = stage(todo.withColumn("_slug", F.col(name)).join(cat, [block, "_slug"]), 0, "exact", F.lit(1.0)).unionByName(stage(cut.join(cat, [block, "_slug"]), 2, "suffix", F.lit(SUFFIX_SCORE)))
     if aliases is not None:
-        take(todo.join(aliases.select(block, name, key), [block, name]).select(block, name, F.col(name).alias("_slug"), key, F.lit(1.0).alias("score"), F.lit("alias").alias("stage")))
-    take(todo.withColumn("_slug", F.regexp_replace(name, suffix, "")).filter(F.col("_slug") != F.col(name)).join(cat, [block, "_slug"]).select(block, name, "_slug", key, F.lit(SUFFIX_SCORE).alias("score"), F.lit("suffix").alias("stage")))
+        plain = plain.unionByName(stage(todo.join(aliases.select(block, name, key), [block, name]).withColumn("_slug", F.col(name)), 1, "alias", F.lit(1.0)))
+    found = best(plain)
+    rest = todo.join(found.select(block, name), [block, name], "left_anti")
     # names that share a word with a catalog name: an equi-join on words, not on all pairs
     word = lambda df, c: df.withColumn("_w", F.explode(F.array_distinct(F.split(c, "_"))))
-    pairs = word(todo, name).join(word(cat, "_slug"), [block, "_w"]).drop("_w").distinct()
-    take(pairs.withColumn("score", words_shared(F.col(name), F.col("_slug"))).filter(F.col("score") >= LEAST_WORDS).withColumn("stage", F.lit("words")))
+    pairs = word(rest, name).join(word(cat, "_slug"), [block, "_w"]).drop("_w").distinct()
+    by_words = best(stage(pairs, 3, "words", words_shared(F.col(name), F.col("_slug"))).filter(F.col("score") >= LEAST_WORDS))
+    done = found.unionByName(by_words)
     if by_ratio:
-        near = todo.join(cat, block).filter(F.abs(F.length(name) - F.length("_slug")) <= F.greatest(F.length(name), F.length("_slug")) * 0.3)
-        scored = similarity(near, name, "_slug").filter(F.col("ratio") >= LEAST_RATIO)
-        take(scored.select(block, name, "_slug", key, F.col("ratio").alias("score"), F.lit("ratio").alias("stage")))
-    rest = todo.select(block, name, F.lit(None).cast(catalog.schema[key].dataType).alias(key), F.lit(0.0).alias("score"), F.lit("none").alias("stage"))
-    out = rest
-    for d in done:
-        out = out.unionByName(d)
-    return out
+        last = rest.join(by_words.select(block, name), [block, name], "left_anti")
+        near = last.join(cat, block).filter(F.abs(F.length(name) - F.length("_slug")) <= F.greatest(F.length(name), F.length("_slug")) * 0.3)
+        done = done.unionByName(best(stage(similarity(near, name, "_slug").filter(F.col("ratio") >= LEAST_RATIO), 4, "ratio", F.col("ratio"))))
+    return todo.join(done, [block, name], "left").select(block, name, key, F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("stage", F.lit("none")).alias("stage"))
 
 
 def with_floor(matches: DataFrame, key: str, floor: float = 0.85) -> DataFrame:
