@@ -20,33 +20,56 @@ class SectionPatterns:
     least: int = 50
     most: int = 20_000
     signals: list[str] = field(default_factory=list)
-    #: Hooks: whether the text before a start will do, and whether a section will do; a refused start leaves the next pattern its turn.
+    #: Hooks: whether the text before a start will do, and whether a section will do; a refused start leaves the next match its turn, then the next pattern.
     context_ok: Callable[[Column], Column] | None = None
     section_ok: Callable[[Column], Column] | None = None
 
 
-def locate(text: Column, p: SectionPatterns) -> Column:
-    """Struct found, method, start, end, confidence (characters from 0): the first start pattern that holds, the nearest end after it."""
-    out = None
-    for name, pattern, confidence in reversed(p.starts):
-        at = F.regexp_instr(text, F.lit(pattern))
-        ok = at > 0
+def match_sizes(text: Column, pattern: str) -> Column:
+    """For each match of a pattern: gap (characters between the match before and this one) and size."""
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pieces = F.split(text, pattern, -1)
+    # an empty match at the very start splits nothing off
+    pieces = F.when(F.size(pieces) == F.size(matches), F.concat(F.array(F.lit("")), pieces)).otherwise(pieces)
+    both = F.zip_with(pieces, matches, lambda a, m: F.struct(F.length(a).alias("gap"), F.length(m).alias("size")))
+    return F.filter(both, lambda x: x["size"].isNotNull())
+
+
+def _first_hit(text: Column, p: SectionPatterns, name: str, pattern: str, confidence: float) -> Column:
+    """The section at the first match of a start pattern that holds, or null."""
+
+    def hit_at(at: Column) -> Column:
+        before = F.substring(text, F.greatest(at - p.look_back, F.lit(1)), F.least(F.lit(p.look_back), at - 1))
+        ok = F.lit(True)
         if p.blacklist:
-            before = F.substring(text, F.greatest(at - p.look_back, F.lit(1)), F.least(F.lit(p.look_back), at - 1))
             ok = ok & ~before.rlike(p.blacklist)
         if p.context_ok:
-            ok = ok & p.context_ok(F.substring(text, F.greatest(at - p.look_back, F.lit(1)), F.least(F.lit(p.look_back), at - 1)))
+            ok = ok & p.context_ok(before)
         tail = F.substring(text, at + p.least, F.length(text))
         ends = [F.when(F.regexp_instr(tail, F.lit(e)) > 0, F.regexp_instr(tail, F.lit(e))) for e in p.ends]
         nearest = F.least(*ends) if len(ends) > 1 else ends[0]
-        end = F.least(at - 1 + p.least + nearest - 1, at - 1 + p.most, F.length(text))
-        last = F.coalesce(end, F.least(at - 1 + p.most, F.length(text)))
+        last = F.coalesce(at - 1 + p.least + nearest - 1, F.least(at - 1 + p.most, F.length(text)))
         if p.section_ok:
             ok = ok & p.section_ok(F.substring(text, at, last - at + 1))
         hit = F.struct(F.lit(True).alias("found"), F.lit(name).alias("method"), (at - 1).alias("start"), last.alias("end"), F.when(nearest.isNotNull(), F.lit(confidence)).otherwise(F.lit(round(confidence * 0.8, 4))).alias("confidence"))
-        out = F.when(ok, hit) if out is None else F.when(ok, hit).otherwise(out)
+        return F.when(ok, hit)
+
+    def step(acc: Column, m: Column) -> Column:
+        at = acc["next"] + m["gap"]
+        return F.when(acc["hit"].isNotNull(), acc).otherwise(F.struct((at + m["size"]).alias("next"), hit_at(at).alias("hit")))
+
+    state = F.struct(F.lit(1).alias("next"), F.lit(None).cast("struct<found:boolean,method:string,start:int,end:int,confidence:double>").alias("hit"))
+    return F.aggregate(match_sizes(text, pattern), state, step, lambda acc: acc["hit"])
+
+
+def locate(text: Column, p: SectionPatterns) -> Column:
+    """Struct found, method, start, end, confidence (characters from 0).
+
+    Patterns are tried in order, and all matches of a pattern in theirs; the first that holds is the start. The nearest end
+    ``least`` or more after it closes the section; ``most`` is its size only where there is no end.
+    """
     none = F.struct(F.lit(False).alias("found"), F.lit("none").alias("method"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"), F.lit(0.0).alias("confidence"))
-    return F.coalesce(out, none)
+    return F.coalesce(*[_first_hit(text, p, name, pattern, confidence) for name, pattern, confidence in p.starts], none)
 
 
 def lines(df: DataFrame, key: str, text: str) -> DataFrame:

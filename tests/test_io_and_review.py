@@ -121,3 +121,17 @@ def test_steps(spark):
 def test_deep_values(spark):
     df = spark.createDataFrame([(1, '{"a": {"b": 25, "c": "x"}, "d": [1, 30]}'), (2, "broken")], "k int, j string")
     assert {(r.k, r.path, r.value) for r in documents.deep_values(df, ["k"], "j").collect()} >= {(1, "a.b", "25"), (1, "a.c", "x"), (1, "d.0", "1"), (1, "d.1", "30")}
+
+
+def test_section_after_refused_matches(spark):
+    p = segment.SectionPatterns(starts=[("strict", "IMPUESTO PREDIAL", 0.9), ("loose", "PREDIAL", 0.6)], ends=["CAPITULO"], blacklist="INDICE", look_back=30, least=10, most=60)
+    far = "x" * 40
+    rows = [("INDICE IMPUESTO PREDIAL 3 " + far + " IMPUESTO PREDIAL tasa CAPITULO",), ("😀 INDICE PREDIAL " + far + " PREDIAL tasa CAPITULO",), ("INDICE PREDIAL PREDIAL",), ("IMPUESTO PREDIAL" + "y" * 90 + "CAPITULO",), (None,)]
+    got = [r.s for r in spark.createDataFrame(rows, "t string").select(segment.locate(F.col("t"), p).alias("s")).collect()]
+    assert [(r.found, r.method, r.start) for r in got] == [(True, "strict", 67), (True, "loose", 58), (False, "none", None), (True, "strict", 0), (False, "none", None)]
+    assert (got[3].end, got[3].confidence) == (106, 0.9)
+    hooks = segment.SectionPatterns(starts=[("period", "\\. ", 0.9)], ends=["\n"], least=3, most=8, context_ok=lambda c: F.length(c).between(1, 59), section_ok=lambda c: c.rlike("[aeiou]"))
+    texts = [(". b. tasa\n",), ("x. bcd\n. tasa\n",), ("x. bcd\n",)]
+    assert [r.s.start for r in spark.createDataFrame(texts, "t string").select(segment.locate(F.col("t"), hooks).alias("s")).collect()] == [3, 7, None]
+    empty = segment.match_sizes(F.col("t"), "(?=a)")
+    assert [(x.gap, x.size) for x in spark.createDataFrame([("aba",)], "t string").select(empty.alias("m")).first().m] == [(0, 0), (2, 0)]
