@@ -306,10 +306,16 @@ def slugify_names(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(r"""SELECT doc_id, lower(trim(translate(substr(text, 1, 60), 'ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy'))) AS head, floor(length(text) / 4)::BIGINT AS tokens FROM documents""")
 def normalize_text(spark: SparkSession, sf: str) -> DataFrame:
-    """STR01, STR02, STR09, STR18: the head of each text without accents, a token estimate. The head is the feature."""
+    """STR02, STR09, STR18: the head of each text without accents, a token estimate; ``normalize_whole_text`` has the rest of the text."""
     return table(spark, sf, "documents").select("doc_id", F.trim(text.norm_light(F.substring("text", 1, 60))).alias("head"), text.token_estimate(F.col("text")).alias("tokens"))
 
 
+@query(r"""WITH x AS (SELECT doc_id, trim(translate(text, 'ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy')) AS plain FROM documents) SELECT doc_id, lower(plain) AS norm_light, upper(replace(plain, 'ß', 'SS')) AS norm FROM x""")
+def normalize_whole_text(spark: SparkSession, sf: str) -> DataFrame:
+    """STR01, STR02: whole texts without accents, in lower and in upper case."""
+    return table(spark, sf, "documents").select("doc_id", F.trim(text.norm_light(F.col("text"))).alias("norm_light"), text.norm(F.col("text")).alias("norm"))
+
+
 @query("SELECT p_partkey, p_size || ',' || (p_size + 2) || '-' || (p_size + 4) || ', x' AS raw, p_size || ';' || (p_size + 2) || ';' || (p_size + 3) || ';' || (p_size + 4) AS pages FROM part")
 def page_range_parse(spark: SparkSession, sf: str) -> DataFrame:
     """STR11."""

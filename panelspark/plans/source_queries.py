@@ -222,9 +222,15 @@ def title_marks_escape(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(r"SELECT doc_id, (length(text) - length(regexp_replace(text, '[\p{L}\p{N}]', '', 'g')))::BIGINT AS quality, len(list_filter(list_transform(string_split(regexp_replace(substr(text, 1, 200), '\s+y\s+', ',', 'g'), ','), lambda x: trim(x)), lambda x: length(x) >= 3))::BIGINT AS names FROM documents")
 def text_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """STR07, STR08, STR10, STR14: quality score and repair of mis-read text; names of a list in the head (the head is the feature)."""
-    good = text.text_quality(F.regexp_replace(text.mojibake_repaired(F.col("text")), "[ÃÂ�]", ""))
-    return table(spark, sf, "documents").select("doc_id", good.cast("long").alias("quality"), F.size(text.split_names(F.substring("text", 1, 200), 3)).cast("long").alias("names"))
+    """STR07, STR08, STR14: quality score of repaired text; names of a list in the head (``listed_names`` reads whole texts)."""
+    quality = text.text_quality(text.mojibake_repaired(F.col("text")))
+    return table(spark, sf, "documents").select("doc_id", quality.cast("long").alias("quality"), F.size(text.split_names(F.substring("text", 1, 200), 3)).cast("long").alias("names"))
+
+
+@query(r"SELECT doc_id, len(list_filter(list_transform(string_split(regexp_replace(text, '\s+y\s+', ',', 'g'), ','), lambda x: trim(x)), lambda x: length(x) >= 3))::BIGINT AS names FROM documents")
+def listed_names(spark: SparkSession, sf: str) -> DataFrame:
+    """STR10: how many names a whole text lists."""
+    return table(spark, sf, "documents").select("doc_id", F.size(text.split_names(F.col("text"), 3)).cast("long").alias("names"))
 
 
 @query(r"""WITH p AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents), e AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) - 1 AS n FROM p), o AS (SELECT doc_id, n, line, (coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start FROM e),

@@ -40,3 +40,13 @@ def test_fuzzy_cascade_stages(spark, sf):
     got = registry.queries()["fuzzy_cascade"](spark, sf).collect()
     assert {r.stage for r in got} - {"exact", "alias", "suffix", "words", "ratio", "none"} == set()
     assert all((r.key is None) == (r.score < 0.85) for r in got)
+
+
+def test_texts_are_read_whole(spark, tmp_path):
+    rows = [(1, "Á" * 300 + " Fin, uno, dos y tres"), (2, "NiÃ±o"), (3, "a�b�"), (4, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    run = lambda name: {r.doc_id: r for r in registry.queries()[name](spark, str(tmp_path)).collect()}
+    whole = run("normalize_whole_text")[1]
+    assert whole.norm_light == "a" * 300 + " fin, uno, dos y tres" and whole.norm == whole.norm_light.upper()
+    assert {k: r.names for k, r in run("listed_names").items()} == {1: 4, 2: 1, 3: 1, 4: 0}
+    assert {k: r.quality for k, r in run("text_scores").items() if k > 1} == {2: 4, 3: 2 - 3 * 2, 4: 0}
