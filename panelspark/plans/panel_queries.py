@@ -149,7 +149,7 @@ SELECT doc_id, (length(text) // 2)::BIGINT AS at, greatest(1, len(list_filter(li
 def offset_to_page(spark: SparkSession, sf: str) -> DataFrame:
     """JON16: the page of a character offset."""
     at = F.floor(F.length("text") / 2)
-    return table(spark, sf, "documents").select("doc_id", at.alias("at"), joins.page_of(at, F.transform(F.sequence(F.lit(0), F.lit(39)), lambda i: i * 700)).cast("long").alias("page"))
+    return table(spark, sf, "documents").select("doc_id", at.alias("at"), joins.page_of(at, F.sequence(F.lit(0), F.length("text"), F.lit(700))).cast("long").alias("page"))
 
 
 @query("""

@@ -50,3 +50,10 @@ def test_texts_are_read_whole(spark, tmp_path):
     assert whole.norm_light == "a" * 300 + " fin, uno, dos y tres" and whole.norm == whole.norm_light.upper()
     assert {k: r.names for k, r in run("listed_names").items()} == {1: 4, 2: 1, 3: 1, 4: 0}
     assert {k: r.quality for k, r in run("text_scores").items() if k > 1} == {2: 4, 3: 2 - 3 * 2, 4: 0}
+
+
+def test_pages_of_very_long_texts(spark, tmp_path):
+    rows = [(n, "x" * n) for n in (0, 1399, 1400, 56000, 128657)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.page for r in registry.queries()["offset_to_page"](spark, str(tmp_path)).collect()}
+    assert got == {n: n // 2 // 700 + 1 for n, _ in rows}
