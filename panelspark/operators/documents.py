@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions import nested
+from panelspark.sources import files
 
 
 @dataclass(frozen=True)
@@ -109,16 +110,23 @@ def corpus_comparison_flags(a: Column, b: Column, other: str = "otro_no_clasific
 
 
 def deep_values(document: DataFrame, keys: list[str], json: str) -> DataFrame:
-    """Every value of a JSON text two levels down, whatever its keys: keys, path, value as text."""
-    v = document.select(*keys, F.try_parse_json(json).alias("_v"))
-    v.createOrReplaceTempView("_deep_values")
+    """Every value of a JSON text at any depth, whatever its keys: keys, path, value as text.
+
+    One level is unfolded at a time; objects and arrays inside it are stored for the next, until a level has none.
+    """
     spark = document.sparkSession
-    names = ", ".join(f"d.`{k}`" for k in keys)
-    one = spark.sql(f"SELECT {names}, e.key AS path, e.value AS v FROM _deep_values d, LATERAL variant_explode(d._v) e")
-    flat = one.filter("schema_of_variant(v) NOT LIKE 'OBJECT%' AND schema_of_variant(v) NOT LIKE 'ARRAY%'").select(*keys, "path", F.col("v").cast("string").alias("value"))
-    one.createOrReplaceTempView("_deep_values_2")
-    two = spark.sql(f"SELECT {names}, concat_ws('.', d.path, coalesce(e.key, cast(e.pos AS string))) AS path, e.value AS v FROM _deep_values_2 d, LATERAL variant_explode(d.v) e")
-    return flat.unionByName(two.select(*keys, "path", F.col("v").cast("string").alias("value")))
+    names = [f"d.`{k}`" for k in keys]
+    is_nested = "schema_of_variant(v) LIKE 'OBJECT%' OR schema_of_variant(v) LIKE 'ARRAY%'"
+    level, out = document.select(*keys, F.lit(None).cast("string").alias("path"), F.try_parse_json(json).alias("v")), None
+    while out is None or not level.isEmpty():
+        path = "concat_ws('.', d.path, coalesce(e.key, cast(e.pos AS string))) AS path"
+        one = spark.sql(f"SELECT {', '.join([*names, path, 'e.value AS v'])} FROM {{level}} d, LATERAL variant_explode(d.v) e", level=level)
+        flat = one.filter(f"NOT ({is_nested})").select(*keys, "path", F.col("v").cast("string").alias("value"))
+        out = flat if out is None else out.unionByName(flat)
+        stored = files.scratch_path(spark, "level")
+        one.filter(is_nested).write.parquet(stored)
+        level = spark.read.schema(one.schema).parquet(stored)
+    return out
 
 
 def rescue_needed(variants: Column, scheme: str, description: str, phrases: str) -> Column:

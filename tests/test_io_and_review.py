@@ -135,3 +135,9 @@ def test_section_after_refused_matches(spark):
     assert [r.s.start for r in spark.createDataFrame(texts, "t string").select(segment.locate(F.col("t"), hooks).alias("s")).collect()] == [3, 7, None]
     empty = segment.match_sizes(F.col("t"), "(?=a)")
     assert [(x.gap, x.size) for x in spark.createDataFrame([("aba",)], "t string").select(empty.alias("m")).first().m] == [(0, 0), (2, 0)]
+
+
+def test_deep_values_at_any_depth(spark):
+    df = spark.createDataFrame([(1, '{"t": [{"rows": [{"rate": {"value": 25}}, 7]}, []], "n": null}'), (2, "[[[[[30]]]]]"), (3, None), (4, "5")], "k int, j string")
+    got = {(r.k, r.path, r.value) for r in documents.deep_values(df, ["k"], "j").collect()}
+    assert got == {(1, "t.0.rows.0.rate.value", "25"), (1, "t.0.rows.1", "7"), (1, "n", None), (2, "0.0.0.0.0", "30")}
