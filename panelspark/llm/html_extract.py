@@ -2,9 +2,10 @@
 
 Every run of text in a block gives points for its length and commas to the element that holds the block and, less and
 less, to the ancestors; an element's points are discounted by the share of its text that stands in links. The element
-with the most points is the container; it is widened to an enclosing article or main element, and siblings that score well or
-read as prose are kept with it. Menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments are known by tag, role, or a word of class or id, and go first.
+with the most points is the container; it is widened to an enclosing article or main element. Without one, what stands beside
+the container or an element around it is kept too, unless a quarter of it is links. Menus, page headers, footers, sidebars,
+notices, adverts, forms, scripts, styles and reader comments are known by tag, role, or a word of class or id, and go first;
+words that articles use too don't drop a heading, and drop a part of an article only when it is half links.
 
 A page is parsed in the task that reads it; nothing is shuffled or gathered, and memory is a page's tree.
 
@@ -34,6 +35,9 @@ BOILERPLATE = frozenset(
     "sidebar aside widget widgets menu nav navbar navigation breadcrumb breadcrumbs header masthead topbar footer copyright comment comments disqus respond replies discussion share sharing social "
     "related recommended newsletter subscribe subscription signup login search pagination pager toolbar".split()
 )
+#: Words that name parts of an article as well.
+AMBIGUOUS = frozenset("header discussion search notice notices alert share sharing related comment".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Start tags that end an open element of the first set, looked for up to one of the second.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -49,10 +53,10 @@ WORD = re.compile("[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "drop", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "children", "drop", "doubt", "score", "chars", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False):
-        self.tag, self.parent, self.drop = tag, parent, drop
+    def __init__(self, tag: str, parent: Node | None, drop: bool = False, doubt: bool = False):
+        self.tag, self.parent, self.drop, self.doubt = tag, parent, drop, doubt
         self.children: list[Node | str] = []
         self.score = self.chars = self.linked = 0
 
@@ -79,7 +83,7 @@ class Tree(HTMLParser):
             self._close({"p"}, SCOPES)
         if tag in CLOSES:
             self._close(*CLOSES[tag])
-        node = Node(tag, self.at, _is_boilerplate(tag, attrs, self.at))
+        node = Node(tag, self.at, *_is_boilerplate(tag, attrs, self.at))
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
@@ -103,24 +107,36 @@ class Tree(HTMLParser):
         self.at.children.append(data)
 
 
-def _is_boilerplate(tag: str, attrs, parent: Node) -> bool:
+def _inside(parent: Node | None, *tags: str) -> bool:
+    while parent is not None and parent.tag not in tags:
+        parent = parent.parent
+    return parent is not None
+
+
+def _is_boilerplate(tag: str, attrs, parent: Node) -> tuple[bool, bool]:
+    """Whether an element is dropped, and whether its links decide that."""
     if tag in DROPPED:
-        return True
+        return True, False
     if tag in ("html", "body", "article", "main"):
-        return False
-    if tag == "header":
-        while parent is not None and parent.tag != "article":
-            parent = parent.parent
-        return parent is None
+        return False, False
+    if tag == "header" and not _inside(parent, "article"):
+        return True, False
+    doubt = False
     for name, value in attrs:
         if name in ("class", "id") and value:
-            if not BOILERPLATE.isdisjoint(WORD.findall(value.lower())):
-                return True
+            found = BOILERPLATE.intersection(WORD.findall(value.lower()))
+            if not found:
+                continue
+            # readers' comments are boxes or items of a list
+            by_tag = "comment" in found and tag in ("div", "li")
+            if by_tag or not found <= AMBIGUOUS or tag not in HEADINGS and not _inside(parent, "article", "main"):
+                return True, False
+            doubt = True
         elif name == "role" and value and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return True, False
         elif name == "style" and value and "display:none" in value.replace(" ", "").lower():
-            return True
-    return False
+            return True, False
+    return False, doubt
 
 
 def _post_order(root: Node) -> list[Node]:
@@ -143,6 +159,45 @@ def _spare_articles(nodes: list[Node]) -> None:
                 up = up.parent
 
 
+def _settle_doubts(nodes: list[Node]) -> None:
+    """A doubtful element is dropped when half of its text or more stands in links; headings stay."""
+    if not any(n.doubt for n in nodes):
+        return
+    size: dict[int, tuple[int, int]] = {}
+    for node in nodes:  # children come before their parents
+        chars = linked = 0
+        for c in node.children:
+            if isinstance(c, str):
+                chars += len("".join(c.split()))
+            elif not c.drop:
+                chars, linked = chars + size[id(c)][0], linked + size[id(c)][1]
+        size[id(node)] = chars, chars if node.tag == "a" else linked
+        node.drop = node.drop or node.doubt and node.tag not in HEADINGS and 2 * size[id(node)][1] >= max(chars, 1)
+
+
+def _drop_links_beside(best: Node, keep: set[int]) -> None:
+    """Drop what stands beside an element, or beside one that holds it, when a quarter of its characters or more are in links."""
+    node = best
+    while node.parent is not None:
+        line: list[int] = []  # texts and inline elements between blocks are one run
+        children = node.parent.children
+        for i, s in enumerate([*children, None]):
+            if isinstance(s, str) or s is not None and s.tag in INLINE and s is not node:
+                line.append(i)
+                continue
+            if line:
+                around = Node("root", None)
+                around.children = [children[j] for j in line]
+                runs = list(_runs(around))
+                if 4 * sum(n for _, _, n in runs) >= max(1, sum(len(t) for _, t, _ in runs)):
+                    for j in line:
+                        children[j] = ""
+                line = []
+            if s is not None and s is not node and s.chars and id(s) not in keep and 4 * s.linked >= s.chars:
+                s.drop = True
+        node = node.parent
+
+
 def _runs(root: Node) -> Iterator[tuple[Node, str, int]]:
     """Texts of blocks in page order: the block, the text with white space made one space, and its characters in links."""
     block, parts, linked = root, [], 0
@@ -191,6 +246,7 @@ def main_text(html: str | None) -> str:
     tree.feed(html)
     tree.close()
     nodes = _post_order(tree.root)
+    _settle_doubts(nodes)
     _spare_articles(nodes)
     for block, text, linked in _runs(tree.root):
         block.chars += len(text)
@@ -214,19 +270,12 @@ def main_text(html: str | None) -> str:
     up = best
     while up is not None and up.tag not in ("article", "main"):
         up = up.parent
-    if up is not None:
-        kept = [up]
-    else:
+    if up is None:
+        up = tree.root
         least = max(5, 0.2 * value[id(best)])
-        kept = []
-        for s in best.parent.children if best.parent is not None else [best]:
-            if s is best:
-                kept.append(s)
-            elif isinstance(s, Node) and not s.drop and s.chars:
-                density = s.linked / s.chars
-                if value.get(id(s), 0) >= least or s.tag in TEXT_BLOCKS and density < 0.25 and best.parent.tag not in ("ul", "ol", "tr"):
-                    kept.append(s)
-    return "\n".join(text for node in kept for _, text, _ in _runs(node))
+        beside = best.parent.children if best.parent is not None else []
+        _drop_links_beside(best, {id(s) for s in beside if isinstance(s, Node) and value.get(id(s), 0) >= least})
+    return "\n".join(text for _, text, _ in _runs(up))
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

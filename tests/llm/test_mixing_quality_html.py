@@ -109,3 +109,20 @@ def test_pages(spark):
     assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
     assert {r.page_id: r.text for r in got if r.page_id is not None} == {i: t for i, (_, t) in enumerate(PAGES)}
     assert html_extract.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+PROSE = "A sentence of some length, with a comma, that reads as prose and goes on for a while. " * 4
+LEAD = "Words of a lead without any comma that only tell what the article is about " * 3
+LINKS = "".join(f'<a href="/{i}">Item number {i}</a> ' for i in range(9))
+LOOSE = [
+    (f"<div><div><p>{LEAD}</p></div><div><p>{PROSE}</p><p>{PROSE}</p></div><div>{LINKS}</div></div>", [LEAD, PROSE, PROSE]),
+    (f"<body>{LINKS}<div><div><p>{LEAD}</p></div></div><div><div>Bare <b>words</b> here<div><p>{PROSE}</p><p>{PROSE}</p></div></div></div></body>", [LEAD, "Bare words here", PROSE, PROSE]),
+    (f'<article><div class="article-header"><h1>Title</h1></div><p>{PROSE}</p><section id="discussion"><h2 id="search">Search</h2><p class="alert">{LEAD}</p></section><div class="related">Related {LINKS}</div><div class="comment">I disagree</div><div class="share" >{LINKS}</div></article>', ["Title", PROSE, "Search", LEAD]),
+    (f'<div class="alert">Cookies</div><div class="body"><h2 id="related">Related work</h2><p>{PROSE}</p></div>', ["Related work", PROSE]),
+    (f'<article><p>{PROSE}</p><div class="share newsletter">{LEAD}</div></article>', [PROSE]),
+]
+
+
+@pytest.mark.parametrize("html,want", LOOSE)
+def test_main_text_of_loose_pages(html, want):
+    assert html_extract.main_text(html) == "\n".join(x.strip() for x in want)
