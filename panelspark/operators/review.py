@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.functions import text
 from panelspark.functions.text import short_id
 
 #: Severities, the most serious first; fixed values.
@@ -67,3 +68,16 @@ def provenance(decision: Column, option: Column, labels: dict[str, str]) -> Colu
 def next_pending(queue: DataFrame, position: str, after: int, decision: str) -> DataFrame:
     """The next undecided row after a position, going round."""
     return queue.filter(F.coalesce(F.col(decision), F.lit("")) == "").orderBy((F.col(position) <= after).cast("int"), position).limit(1)
+
+
+def minor_edits(decided: DataFrame, documents: DataFrame, key: str, notes: Column, fields: dict[str, str]) -> DataFrame:
+    """Edits in "field=value" notes, of listed fields (name to the documents' column) only: key, field, before, after."""
+    edits = decided.select(key, F.explode(F.filter(F.map_entries(text.key_values(notes)), lambda e: e["key"].isin(*fields))).alias("_e"))
+    before = F.coalesce(*[F.when(F.col("_e.key") == name, F.col(column).cast("string")) for name, column in fields.items()], F.lit(""))
+    return edits.join(documents, key).select(key, F.col("_e.key").alias("field"), before.alias("before"), F.col("_e.value").alias("after"))
+
+
+def overrides(decided: DataFrame, documents: DataFrame, key: str, new: str, old: str) -> DataFrame:
+    """Types that a decision sets and the document doesn't have yet, traced: key, field, before, after."""
+    x = decided.select(key, F.col(new).alias("after")).join(documents.select(key, F.coalesce(F.col(old), F.lit("")).alias("before")), key)
+    return x.filter("before <> after").select(key, F.lit(old).alias("field"), "before", "after")

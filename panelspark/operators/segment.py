@@ -115,3 +115,36 @@ def packed(sizes: DataFrame, group: str, order: str, size: str, limit: int, most
         return F.struct(batch.alias("batch"), F.when(full, r["s"]).otherwise(acc["used"] + r["s"]).alias("used"), F.when(full, 1).otherwise(acc["n"] + 1).alias("n"), F.concat(acc["out"], F.array(F.struct(r["o"].alias("o"), r["s"].alias("s"), batch.alias("batch")))).alias("out"))
 
     return rows.select(group, F.explode(F.aggregate("_r", state, step, lambda a: a["out"])).alias("_x")).select(group, F.col("_x.o").alias(order), F.col("_x.s").alias(size), F.col("_x.batch").cast("long").alias("batch"))
+
+
+def page_span(start: Column, end: Column, pages: Column, bound: Column, fallback: int) -> Column:
+    """Struct first, last (exclusive) inside a document of so many pages; ``bound`` or null caps the end, an empty span gets ``fallback`` pages."""
+    first = F.greatest(F.lit(0), F.least(start, pages - 1))
+    limit = F.when(bound.isNull(), pages).otherwise(F.least(F.greatest(bound, F.lit(0)), pages))
+    limit = F.when(limit <= first, pages).otherwise(limit)
+    last = F.greatest(F.lit(0), F.least(F.coalesce(end, first), limit))
+    last = F.when(last <= first, F.least(first + fallback, limit)).otherwise(last)
+    at = lambda c: F.when(pages <= 0, 0).otherwise(c).cast("int")
+    return F.struct(at(first).alias("first"), at(last).alias("last"))
+
+
+def skipped_pages(pages: Column, pattern: str, check: int = 5) -> Column:
+    """How many pages a cover and summary take: up to the first of ``check`` pages that names a summary, else the cover alone."""
+    return F.coalesce(F.array_min(F.transform(F.slice(pages, 1, check), lambda p, i: F.when(F.upper(p).rlike(pattern), i + 1))), F.lit(1))
+
+
+def article_ranges(all_lines: DataFrame, key: str, article: str, following: str, cuts: str, tail_cuts: str) -> DataFrame:
+    """For each key with such an article: its number, the lines at which it starts and ends.
+
+    ``article`` and ``following`` have the number as group 1 and may run into the next line. The article ends before the first
+    ``following`` with the number after its own, else at the first line of ``cuts`` or ``tail_cuts``, else with the last line.
+    """
+    w = Window.partitionBy(key).orderBy("line_no")
+    both = F.trim(F.concat_ws(" ", "line", F.lead("line").over(w)))
+    number = lambda p: F.when(F.col("line").rlike(p), F.regexp_extract("line", p, 1)).when(both.rlike(p), F.regexp_extract(both, p, 1)).cast("int")
+    x = all_lines.select(key, "line_no", number(article).alias("n"), number(following).alias("f"), F.col("line").rlike(cuts).alias("cut"), F.col("line").rlike(tail_cuts).alias("tail"))
+    ends = x.groupBy(key).agg(F.coalesce(F.min(F.when(F.col("cut"), F.col("line_no"))), F.max("line_no")).alias("cutoff"))
+    starts = x.filter("n IS NOT NULL").join(ends, key).filter("line_no <= cutoff").groupBy(key).agg(F.min_by(F.struct(F.col("line_no").alias("first"), F.col("n").alias("article"), "cutoff"), "line_no").alias("s")).select(key, "s.*")
+    after = x.filter("f IS NOT NULL OR tail").join(starts, key).filter("line_no <= cutoff")
+    after = after.groupBy(key).agg(F.min(F.expr("CASE WHEN f = article + 1 AND line_no > first THEN line_no END")).alias("next"), F.min(F.expr("CASE WHEN tail AND line_no >= first THEN line_no END")).alias("tail"))
+    return starts.join(after, key, "left").select(key, "article", "first", F.coalesce(F.col("next") - 1, F.col("tail"), F.col("cutoff")).alias("last"))

@@ -475,7 +475,7 @@ def stratified_hash_sample(spark: SparkSession, sf: str) -> DataFrame:
 @query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents)
 SELECT doc_id, line_no::INT AS line_no, (coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS "offset", length(line)::BIGINT AS chars FROM l""")
 def line_offsets(spark: SparkSession, sf: str) -> DataFrame:
-    """TXT03, TXT06, TXT16: lines with their offsets, for line-window rules."""
+    """Lines with their offsets, as line rules take them."""
     return segment.lines(table(spark, sf, "documents"), "doc_id", "text").select("doc_id", "line_no", "offset", F.length("line").cast("long").alias("chars"))
 
 

@@ -237,7 +237,7 @@ def listed_names(spark: SparkSession, sf: str) -> DataFrame:
 h AS (SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id) - 1 AS total FROM o)
 SELECT doc_id, n::INT AS line_no, start, coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY n), total)::BIGINT AS "end" FROM h WHERE regexp_matches(line, '^[A-Z][a-z]+ [a-z]') QUALIFY true""")
 def header_spans(spark: SparkSession, sf: str) -> DataFrame:
-    """TXT04, TXT05, TXT08, TXT10, TXT20, OTH22, OTH26-OTH28: headers by pattern; each span ends at the next header or the text's end."""
+    """TXT04, OTH26: headers by pattern; each span ends at the next header or the text's end."""
     x = segment.lines(table(spark, sf, "documents"), "doc_id", "text")
     total = F.sum(F.length("line") + 1).over(Window.partitionBy("doc_id")) - 1
     h = x.withColumn("total", total).filter(F.col("line").rlike("^[A-Z][a-z]+ [a-z]")).withColumnRenamed("offset", "start")
@@ -277,7 +277,7 @@ def coverage_detectors(spark: SparkSession, sf: str) -> DataFrame:
 @query("""WITH l AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
 SELECT user_id, CASE event_type WHEN 'purchase' THEN 'propagate' WHEN 'error' THEN 'reextract' WHEN 'signup' THEN 'override' ELSE 'log' END AS output, CASE WHEN event_type = 'signup' THEN 'pendiente' ELSE 'hecho' END AS status FROM l""")
 def decision_dispatch(spark: SparkSession, sf: str) -> DataFrame:
-    """HIL04, HIL05, HIL08-HIL10, HIL12, OTH33, OTH34, OTH41: the latest decision of each id to the output that it feeds."""
+    """HIL04, HIL08-HIL10, OTH33, OTH34, OTH41: the latest decision of each id to the output that it feeds."""
     last = review.latest_decisions(table(spark, sf, "events"), "user_id", "ts", "event_id")
     outs = review.split_by_decision(last, "event_type", {"propagate": ["purchase"], "reextract": ["error"], "override": ["signup"], "log": ["view", "click"]})
     rows = None
@@ -287,6 +287,46 @@ def decision_dispatch(spark: SparkSession, sf: str) -> DataFrame:
     return rows
 
 
+@query("""WITH l AS (SELECT user_id, event_type, json_extract_string(props, '$.k') AS k FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+x AS (SELECT l.*, c_mktsegment, c_nationkey FROM l JOIN customer ON c_custkey = user_id)
+SELECT user_id, 'unidad' AS field, c_mktsegment AS before, event_type AS after FROM x WHERE event_type <> 'signup' UNION ALL SELECT user_id, 'periodicidad', c_nationkey::VARCHAR, k FROM x WHERE event_type <> 'signup' AND k <> ''
+UNION ALL SELECT user_id, 'c_mktsegment', c_mktsegment, 'BUILDING' FROM x WHERE event_type = 'signup' AND c_mktsegment <> 'BUILDING'""")
+def decision_edits(spark: SparkSession, sf: str) -> DataFrame:
+    """HIL05, HIL12: edits of listed fields and overrides of types, with what stood before."""
+    last = review.latest_decisions(table(spark, sf, "events"), "user_id", "ts", "event_id").withColumn("tipo", F.lit("BUILDING"))
+    docs = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment", "c_nationkey")
+    k = F.coalesce(F.concat(F.lit("periodicidad = "), F.nullif(F.get_json_object("props", "$.k"), F.lit("")), F.lit("; ")), F.lit(""))
+    notes = F.concat(k, F.lit("other=1; unidad="), F.col("event_type"))
+    edits = review.minor_edits(last.filter("event_type <> 'signup'"), docs, "user_id", notes, {"unidad": "c_mktsegment", "periodicidad": "c_nationkey"})
+    return edits.unionByName(review.overrides(last.filter("event_type = 'signup'"), docs, "user_id", "tipo", "c_mktsegment"))
+
+
+@query("""WITH a AS (SELECT p_partkey, p_size AS pages, p_partkey % 90 - 10 AS s, p_partkey % 37 - 2 AS e, CASE WHEN p_partkey % 3 > 0 THEN p_partkey % 60 - 5 END AS bound FROM part),
+b AS (SELECT *, greatest(0, least(s, pages - 1)) AS f, CASE WHEN bound IS NULL THEN pages ELSE least(greatest(bound, 0), pages) END AS l0 FROM a), c AS (SELECT *, CASE WHEN l0 <= f THEN pages ELSE l0 END AS l FROM b), d AS (SELECT *, greatest(0, least(e, l)) AS t FROM c)
+SELECT p_partkey, f::INT AS first, (CASE WHEN t <= f THEN least(f + 3, l) ELSE t END)::INT AS last FROM d""")
+def clamped_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """TXT20: page ranges kept inside the document and below a bound."""
+    k = F.col("p_partkey")
+    span = segment.page_span(k % 90 - 10, k % 37 - 2, F.col("p_size"), F.when(k % 3 > 0, k % 60 - 5), 3)
+    return table(spark, sf, "part").select("p_partkey", span.alias("s")).select("p_partkey", "s.*")
+
+
+@query("""WITH p AS (SELECT doc_id, list_transform(range(0, 5), lambda i: regexp_matches(upper(substr(text, i * 700 + 1, 700)), 'SUMARIO|INDICE|LICEN')) AS hit FROM documents)
+SELECT doc_id, (CASE WHEN hit[1] THEN 1 WHEN hit[2] THEN 2 WHEN hit[3] THEN 3 WHEN hit[4] THEN 4 WHEN hit[5] THEN 5 ELSE 1 END)::INT AS skipped FROM p""")
+def cover_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """OTH27: pages of cover and summary before the text; a page is 700 characters."""
+    pages = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.substring(F.col("text"), i * 700 + 1, F.lit(700)))
+    return table(spark, sf, "documents").select("doc_id", segment.skipped_pages(pages, "SUMARIO|INDICE|LICEN").alias("skipped"))
+
+
+@query()
+def article_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """TXT08: the property-tax article of a text, up to the article with the next number."""
+    lead = "(?i)^\\s*Art[ií]culo\\s+(%s)\\s*[.\\-–:]\\s*(?:El\\s+)?Imp[uú]esto%s\\b"
+    x = segment.lines(table(spark, sf, "documents"), "doc_id", "text")
+    return segment.article_ranges(x, "doc_id", lead % ("1[0-9]|20", "\\s+Predial"), lead % ("\\d+", ""), "(?i)^\\s*(criterios|anexos?)\\b", "(?i)^\\s*transitorios?\\b")
+
+
 @query("SELECT o_custkey, string_agg(DISTINCT year(o_orderdate)::VARCHAR, ',' ORDER BY year(o_orderdate)::VARCHAR) AS years, count(DISTINCT year(o_orderdate))::BIGINT AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey")
 def failures_by_entity(spark: SparkSession, sf: str) -> DataFrame:
     """OTH11, OTH12, OTH42: an entity's failing years, sorted."""

@@ -141,3 +141,24 @@ def test_deep_values_at_any_depth(spark):
     df = spark.createDataFrame([(1, '{"t": [{"rows": [{"rate": {"value": 25}}, 7]}, []], "n": null}'), (2, "[[[[[30]]]]]"), (3, None), (4, "5")], "k int, j string")
     got = {(r.k, r.path, r.value) for r in documents.deep_values(df, ["k"], "j").collect()}
     assert got == {(1, "t.0.rows.0.rate.value", "25"), (1, "t.0.rows.1", "7"), (1, "n", None), (2, "0.0.0.0.0", "30")}
+
+
+def test_article_ranges(spark):
+    law = ["Articulo 12. Impuesto", "Predial", "tasa", "Articulo 14. Impuesto", "Articulo 13. El Impuesto x", "Anexo 1"]
+    rows = [(1, "\n".join(law)), (2, "Articulo 13. Impuesto\nArticulo 12. Impuesto Predial\na\nTransitorios\nb"), (3, "Anexo\nArticulo 12. Impuesto Predial"), (4, "Articulo 20: Impuesto Predial\na"), (5, "")]
+    x = segment.lines(spark.createDataFrame(rows, "doc_id int, text string"), "doc_id", "text")
+    lead = "^\\s*Articulo (%s)[.:] (?:El )?Impuesto%s"
+    got = segment.article_ranges(x, "doc_id", lead % ("1[0-9]|20", " Predial"), lead % ("\\d+", ""), "^Anexo", "^Transitorios")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 12, 0, 3), (2, 12, 1, 3), (4, 20, 0, 1)]
+
+
+def test_page_spans_and_edits(spark):
+    cases = [(-3, 9, 5, None, 0, 5), (8, 2, 5, None, 4, 5), (1, 1, 9, None, 1, 4), (1, 8, 9, 4, 1, 4), (6, 8, 9, 4, 6, 8), (2, None, 9, None, 2, 5), (1, 2, 0, None, 0, 0)]
+    df = spark.createDataFrame(cases, "s int, e int, n int, b int, first int, last int")
+    assert all((r.x.first, r.x.last) == (r["first"], r["last"]) for r in df.withColumn("x", segment.page_span(F.col("s"), F.col("e"), F.col("n"), F.col("b"), 3)).collect())
+    pages = spark.createDataFrame([(["a", "Sumario"],), (["a"] * 5 + ["SUMARIO"],)], "p array<string>").select(segment.skipped_pages(F.col("p"), "SUMARIO").alias("x"))
+    assert [r.x for r in pages.collect()] == [2, 1]
+    docs = spark.createDataFrame([(1, "u", None, "P"), (2, "v", "m", "F")], "k int, unit string, month string, tipo string")
+    log = spark.createDataFrame([(1, "unidad=w; mes=enero; otro=1", "F"), (2, "", "F")], "k int, notes string, tipo_nuevo string")
+    assert {tuple(r) for r in review.minor_edits(log, docs, "k", F.col("notes"), {"unidad": "unit", "mes": "month"}).collect()} == {(1, "unidad", "u", "w"), (1, "mes", "", "enero")}
+    assert [tuple(r) for r in review.overrides(log, docs, "k", "tipo_nuevo", "tipo").collect()] == [(1, "tipo", "P", "F")]
