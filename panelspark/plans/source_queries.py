@@ -147,8 +147,9 @@ def deep_predicate(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT o_custkey, bool_or(o_orderstatus = 'O' AND NOT regexp_matches(lower(o_orderpriority), 'urgent|high')) AS rescue FROM orders GROUP BY o_custkey")
 def rescue_predicate(spark: SparkSession, sf: str) -> DataFrame:
     """PRJ16: any unclassified variant whose description doesn't explain it."""
-    v = F.collect_list(F.struct(F.when(F.col("o_orderstatus") == "O", "otro_no_clasificado").otherwise("x").alias("scheme"), F.col("o_orderpriority").alias("description")))
-    return table(spark, sf, "orders").groupBy("o_custkey").agg(v.alias("v")).select("o_custkey", documents.rescue_needed(F.col("v"), "scheme", "description", "urgent|high").alias("rescue"))
+    v = F.array(F.struct(F.when(F.col("o_orderstatus") == "O", "otro_no_clasificado").otherwise("x").alias("scheme"), F.col("o_orderpriority").alias("description")))
+    rescue = documents.rescue_needed(v, "scheme", "description", "urgent|high")
+    return table(spark, sf, "orders").groupBy("o_custkey").agg(F.bool_or(rescue).alias("rescue"))
 
 
 @query("""WITH b AS (SELECT p_partkey, p_brand, split_part(p_type, ' ', 3) AS word FROM part), t AS (SELECT p_brand, p_partkey AS other, p_type FROM part WHERE p_size > 45)
@@ -336,10 +337,8 @@ def failures_by_entity(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""WITH g AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey FROM lineitem) SELECT l_suppkey, l_partkey, min(l_orderkey) AS first_order, count(*)::BIGINT AS n FROM g GROUP BY 1, 2""")
 def flattened_records_deduped(spark: SparkSession, sf: str) -> DataFrame:
-    """OTH21, OTH19, TXT17: nested groups of an API answer, flattened and deduplicated by natural key."""
-    groups = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.collect_list(F.struct("l_partkey", "l_orderkey")).alias("g"))
-    flat = groups.select("l_suppkey", F.inline("g"))
-    return flat.groupBy("l_suppkey", "l_partkey").agg(F.min("l_orderkey").alias("first_order"), F.count("*").alias("n"))
+    """OTH21, OTH19, TXT17: records of an API answer, deduplicated by natural key; lineitem has them flat."""
+    return table(spark, sf, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.min("l_orderkey").alias("first_order"), F.count("*").alias("n"))
 
 
 @query("SELECT p_partkey, replace(p_name, ' ', '_') || CASE WHEN count(*) OVER w > 1 AND row_number() OVER w2 > 1 THEN '__' || p_partkey ELSE '' END AS slug, count(*) OVER w > 1 AS homonym FROM part WINDOW w AS (PARTITION BY p_name), w2 AS (PARTITION BY p_name ORDER BY p_partkey)")

@@ -57,3 +57,8 @@ def test_pages_of_very_long_texts(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r.page for r in registry.queries()["offset_to_page"](spark, str(tmp_path)).collect()}
     assert got == {n: n // 2 // 700 + 1 for n, _ in rows}
+
+
+@pytest.mark.parametrize("name", ["flattened_records_deduped", "rescue_predicate"])
+def test_groups_are_not_gathered_in_a_row(spark, sf, name):
+    assert "collect_list" not in registry.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
