@@ -1,18 +1,20 @@
 """Quality classifier on supervised subword embeddings, trained with numpy.
 
-A document is the average of the vectors of its features: its words and their character n-grams, hashed into buckets, and
-a mark for each word that stands again right after itself or after one word between (word bigrams and trigrams of that form).
-A softmax layer turns the average into class probabilities; vectors and layer are learned together by stochastic
-gradient descent. The layer is linear, so after training each bucket is worth one number, the model is a table of
-``BUCKETS`` floats, and scoring a text sums the worth of its words. Texts are scored where they are read.
+A document is the average of the vectors of its features: its words, pairs of words in a row, and the character n-grams
+(of bytes) of its running text, white space being one space, all hashed into buckets. A softmax layer turns the
+average into class probabilities; vectors and layer are learned together by stochastic gradient descent. The layer is linear,
+so after training each bucket is worth one number, the model is a table of ``BUCKETS`` floats, and scoring a text adds up the
+worth of its features. Texts are scored where they are read.
 
 Training is done on the driver on a bounded sample: about ``TRAIN_DOCS`` labelled documents, those whose hash of the id is
-under a bound set by their number, and none longer than ``TRAIN_BYTES``; documents in training are used whole. Scoring
-covers every whole text.
+under a bound set by their number; documents in training are used whole, whatever their length. Scoring covers every
+whole text.
 
 Defined results: null or empty text has no feature and gets the score of the bias; without labels of both classes
 every score is 0.5; several labels of an id are averaged (0.5 and more counts as 1), null labels are left out; a null id is
-never in training; repeated rows give a row each; an empty table gives an empty table.
+never in training; repeated rows give a row each; an empty table gives an empty table. Features of a very long text are made
+piece by piece, so a task needs some 40 bytes for each of its bytes. Extra columns, whatever their names, are left out of scores
+and kept by ``good_documents``.
 """
 
 from __future__ import annotations
@@ -24,91 +26,82 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrowtext import NOT_SPACE, Words, buffers, hashes, mix, slices, words
+from .arrowtext import NOT_SPACE, buffers, hashes, mix, slices, words
 from .shared import checked, hash_share
 
-TRAIN_DOCS, TRAIN_BYTES = 3000, 40_000
-BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 18, 8, 6, 0.3
+TRAIN_DOCS = 3000
+BUCKETS, DIMENSIONS, EPOCHS, RATE, STEP = 1 << 18, 8, 6, 0.5, 20
+#: Lengths of character n-grams, in bytes.
 GRAMS = (2, 3, 4)
-#: Buckets after the hashed ones: a word that stands again, a word that doesn't; such a mark weighs as much as a usual word.
-AGAIN, NEW, MARK_WEIGHT = BUCKETS, BUCKETS + 1, 10
-
-
-def word_features(raw: np.ndarray, w: Words, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the features of each word, one word after another, and offsets of the words.
-
-    A word has a feature for itself and one for each n-gram of its bytes between a begin and an end mark.
-    """
-    size = (w.end - w.start).astype(np.int64)
-    n = len(size)
-    total = size + 2
-    at = np.concatenate([[0], np.cumsum(total)])
-    text = np.full(at[-1], 1, np.uint64)  # 1 begins a word, 2 ends it
-    text[at[1:] - 1] = 2
-    inside = np.repeat(w.start - at[:-1] - 1, size) + _positions(at[:-1] + 1, size)
-    text[_positions(at[:-1] + 1, size)] = raw[inside]
-    parts, owners = [mix(h ^ np.uint64(0xABCD))], [np.arange(n)]
-    owner = np.repeat(np.arange(n), total)
-    left = at[1:][owner] - np.arange(len(owner))
-    for k in GRAMS:
-        start = np.flatnonzero(left >= k)
-        key = np.full(len(start), k, np.uint64)
-        for i in range(k):
-            key = key * np.uint64(1099511628211) + text[start + i]
-        parts.append(mix(key))
-        owners.append(owner[start])
-    who = np.concatenate(owners)
-    order = np.argsort(who, kind="stable")
-    return (np.concatenate(parts)[order] % np.uint64(BUCKETS)).astype(np.int64), np.searchsorted(who[order], np.arange(n + 1))
-
-
-def _positions(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    before = np.cumsum(size) - size
-    return np.repeat(start - before, size) + np.arange(int(size.sum()))
-
-
-def _distinct_words(raw: np.ndarray, offsets: np.ndarray):
-    w = words(raw, offsets, NOT_SPACE)
-    h = hashes(raw, w, fold=False)
-    kinds, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-    return w, Words(w.start[first], w.end[first], np.array([0, len(first)])), kinds, inverse
+#: Bytes whose n-grams are made at a time.
+PIECE = 1 << 18
+
 
+def one_space(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts with every run of white space made one space."""
+    space = ~NOT_SPACE[raw]
+    again = space.copy()
+    again[1:] &= space[:-1]
+    again[offsets[:-1][offsets[:-1] < len(raw)]] = False  # a row begins anew
+    again[:1] = False
+    out = np.where(space, np.uint8(32), raw)[~again]
+    return out, offsets - np.concatenate([[0], np.cumsum(again)])[offsets]
 
-def _again(kind: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """How many words of each row equal the word before or the one before that."""
-    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    same = np.zeros(len(kind), bool)
-    same[1:] |= (kind[1:] == kind[:-1]) & (row[1:] == row[:-1])
-    same[2:] |= (kind[2:] == kind[:-2]) & (row[2:] == row[:-2])
-    total = np.concatenate([[0], np.cumsum(same)])
-    return total[first[1:]] - total[first[:-1]]
+
+def features(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Features of rows, piece by piece: the row and the bucket of each."""
+    raw, offsets = one_space(raw, offsets)
+    n = len(offsets) - 1
+    w = words(raw, offsets, NOT_SPACE)
+    h = hashes(raw, w, fold=False)
+    row = np.repeat(np.arange(n), np.diff(w.first))
+    for a in range(0, len(h), PIECE // 4):
+        b = min(a + PIECE // 4, len(h))
+        yield row[a:b], _bucket(h[a:b] ^ np.uint64(0xABCD))
+        nxt = h[a + 1 : b + 1]
+        one = row[a : a + len(nxt)]
+        same = one == row[a + 1 : b + 1]
+        yield one[same], _bucket(h[a : a + len(nxt)][same] * np.uint64(0x9E3779B97F4A7C15) + nxt[same])
+    for a in range(0, len(raw), PIECE):
+        here = min(PIECE, len(raw) - a)
+        text = np.zeros(here + max(GRAMS) - 1, np.uint64)
+        seen = raw[a : a + len(text)]
+        text[: len(seen)] = seen
+        rows = np.searchsorted(offsets, np.arange(a, a + here), "right") - 1
+        left = offsets[rows + 1] - np.arange(a, a + here)
+        key = text[:here].copy()
+        for k in range(2, max(GRAMS) + 1):
+            key |= text[k - 1 : k - 1 + here] << np.uint64(8 * (k - 1))
+            if k in GRAMS:
+                ok = left >= k
+                yield rows[ok], _bucket(key[ok] ^ (np.uint64(k) << np.uint64(56)))
+
+
+def _bucket(key: np.ndarray) -> np.ndarray:
+    return (mix(key) >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+
+
+def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a text's features, and the share of each."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    count = np.zeros(BUCKETS, np.int64)
+    for _, ids in features(raw, np.array([0, len(raw)])):
+        np.add.at(count, ids, 1)
+    ids = np.flatnonzero(count)
+    return ids.astype(np.int32), (count[ids] / max(count.sum(), 1)).astype(np.float32)
 
 
 def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> tuple[np.ndarray, float]:
     """The worth of each bucket and the bias: score = sigmoid(mean worth of features + bias)."""
-    worth, bias = np.zeros(BUCKETS + 2, np.float32), 0.0
+    worth, bias = np.zeros(BUCKETS, np.float32), 0.0
     if len(set(labels.tolist())) < 2:
         return worth, bias
-    bags = []
-    everything = pa.record_batch([pa.array(texts, pa.large_string())], ["t"])
-    for part in slices(everything, 0, 1 << 18):  # features of a part take a few hundred bytes for each of its letters
-        raw, offsets = buffers(part.column(0))
-        w, one, kinds, inverse = _distinct_words(raw, offsets)
-        features, at = word_features(raw, one, kinds)
-        for a, b, again in zip(w.first[:-1], w.first[1:], _again(inverse, w.first).tolist(), strict=True):
-            kind, times = np.unique(inverse[a:b], return_counts=True)
-            size = at[kind + 1] - at[kind]
-            ids = features[_positions(at[kind], size)]
-            ids, place = np.unique(ids, return_inverse=True)
-            count = np.bincount(place, np.repeat(times, size)).astype(np.float32)
-            ids = np.concatenate([ids, [AGAIN, NEW]])
-            count = np.concatenate([count, np.array([again, b - a - again], np.float32) * MARK_WEIGHT]).astype(np.float32)
-            bags.append((ids.astype(np.int32), count / max(count.sum(), 1)))
+    bags = [bag(t) for t in texts]
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS + 2, DIMENSIONS)).astype(np.float32)
+    vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     layer, offset = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
     steps, done = EPOCHS * len(bags), 0
-    # classes weigh alike in the loss; the bias brings back their share
+    # classes weigh alike in the loss; their share comes back with the bias below
     share = np.bincount(labels, minlength=2) / len(labels)
     weight = 0.5 / share
     for _ in range(EPOCHS):
@@ -116,7 +109,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> tuple[np.ndarr
             ids, part = bags[i]
             rate = RATE * (1 - done / steps)
             done += 1
-            if not part.any():
+            if not len(ids):
                 continue
             hidden = part @ vectors[ids]
             logit = hidden @ layer + offset
@@ -128,24 +121,19 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> tuple[np.ndarr
             layer -= rate * np.outer(hidden, p)
             offset -= rate * 0.1 * p
             # a rare feature is a small part of few documents, so its vector takes long steps; a frequent one doesn't need them
-            vectors[ids] -= (rate * np.minimum(20 * part, 0.1))[:, None] * back[None, :]
+            vectors[ids] -= (rate * np.minimum(STEP * part, 0.1))[:, None] * back[None, :]
     worth = vectors @ (layer[:, 1] - layer[:, 0])
-    return worth.astype(np.float32), float(offset[1] - offset[0])
+    return worth.astype(np.float32), float(offset[1] - offset[0] + np.log(share[1] / share[0]))
 
 
 def score_column(column: pa.Array, worth: np.ndarray, bias: float) -> np.ndarray:
     """Scores of a string column."""
     raw, offsets = buffers(column)
-    w, one, kinds, inverse = _distinct_words(raw, offsets)
-    features, at = word_features(raw, one, kinds)
-    sums = np.concatenate([[0.0], np.cumsum(worth[features].astype(np.float64))])
-    value, count = sums[at[1:]] - sums[at[:-1]], np.diff(at)
-    total, number = np.concatenate([[0.0], np.cumsum(value[inverse])]), np.concatenate([[0], np.cumsum(count[inverse])])
-    a, b = w.first[:-1], w.first[1:]
-    again = _again(inverse, w.first)
-    marks = MARK_WEIGHT * (again * float(worth[AGAIN]) + (b - a - again) * float(worth[NEW]))
-    mean = (total[b] - total[a] + marks) / np.maximum(number[b] - number[a] + MARK_WEIGHT * (b - a), 1)
-    return 1 / (1 + np.exp(-np.clip(mean + bias, -40, 40)))
+    total, number = np.zeros(len(column)), np.zeros(len(column))
+    for rows, ids in features(raw, offsets):
+        total += np.bincount(rows, worth[ids], len(column))
+        number += np.bincount(rows, minlength=len(column))
+    return 1 / (1 + np.exp(-np.clip(total / np.maximum(number, 1) + bias, -40, 40)))
 
 
 def held_out(id_col: str) -> Column:
@@ -157,7 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Train on a bounded sample of the labelled documents that are not held out."""
     known = checked(labels, id_col, label_col).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("y")).filter("id IS NOT NULL AND y IS NOT NULL").filter(~held_out("id"))
     known = known.groupBy("id").agg((F.avg("y") >= 0.5).cast("int").alias("y"))
-    texts = checked(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("t")).filter(F.octet_length("t").between(1, TRAIN_BYTES))
+    texts = checked(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("t")).filter("t IS NOT NULL AND t <> ''")
     # ids are drawn before texts are joined, so what is broadcast and collected is bounded
     chosen = known.filter(hash_share(F.xxhash64("id"), TRAIN_DOCS, known.count())).limit(2 * TRAIN_DOCS)
     rows = texts.join(F.broadcast(chosen), "id").select("id", "t", "y").limit(2 * TRAIN_DOCS).collect()

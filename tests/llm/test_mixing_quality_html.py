@@ -1,11 +1,13 @@
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from panelspark.llm import html_extract, mixing, quality
+from panelspark.llm import arrowtext, html_extract, mixing, quality
 from tests.llm import edge
 
 
@@ -73,6 +75,48 @@ def test_held_out_accuracy(spark):
     assert np.mean([r.predicted == r.quality for r in held]) > 0.93
 
 
+def slow_bag(text):
+    """Buckets of a text's features, one by one."""
+    def bucket(x):
+        x &= 2**64 - 1
+        x ^= x >> 30
+        x = x * 0xBF58476D1CE4E5B9 % 2**64
+        x ^= x >> 27
+        x = x * 0x94D049BB133111EB % 2**64
+        x ^= x >> 31
+        return x >> 46
+
+    assert quality.BUCKETS == 2**18
+    one = re.sub(r"[\x20\x09-\x0D]+", " ", text).encode()
+    raws = [np.frombuffer(w, np.uint8) for w in one.split(b" ") if w]
+    h = [int(arrowtext.hashes(r, arrowtext.words(r, np.array([0, len(r)]), arrowtext.NOT_SPACE), fold=False)[0]) for r in raws]
+    out = [bucket(x ^ 0xABCD) for x in h] + [bucket(a * 0x9E3779B97F4A7C15 + b) for a, b in zip(h, h[1:])]
+    return out + [bucket(int.from_bytes(one[i : i + k], "little") ^ k << 56) for k in quality.GRAMS for i in range(len(one) - k + 1)]
+
+
+def test_features_and_scores_against_slow_ones(monkeypatch):
+    texts = [r[1] or "" for r in edge.ROWS if len(r[1] or "") < 1000] + [" a  b\t\nc ", "\n", "ab", "word " * 40 + "x" * 30]
+    rng = np.random.default_rng(1)
+    worth = rng.normal(size=quality.BUCKETS).astype(np.float32)
+    want = []
+    for t in texts:
+        b = slow_bag(t)
+        want.append(1 / (1 + np.exp(-(float(np.mean([worth[x] for x in b])) if b else 0.0) - 0.25)))
+        ids, part = quality.bag(t)
+        assert {int(i): round(float(p) * len(b)) for i, p in zip(ids, part)} == {x: b.count(x) for x in set(b)}
+    for piece in (16, 1 << 18):
+        monkeypatch.setattr(quality, "PIECE", piece)
+        assert np.allclose(quality.score_column(pa.array(texts), worth, 0.25), want)
+
+
+def test_very_long_text_is_scored_in_bounded_memory():
+    text = "Some words, and more of them. " * 700_000
+    tracemalloc.start()
+    score = quality.score_column(pa.array([text], pa.large_string()), np.zeros(quality.BUCKETS, np.float32), 0.0)
+    assert score[0] == 0.5 and tracemalloc.get_traced_memory()[1] < 60 * len(text)
+    tracemalloc.stop()
+
+
 def test_quality_edges(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = quality.quality_scores(edge.docs(spark), none).collect()
