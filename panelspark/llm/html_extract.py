@@ -2,16 +2,21 @@
 
 Every run of text in a block gives points for its length and commas to the element that holds the block and, less and
 less, to the ancestors; an element's points are discounted by the share of its text that stands in links. The element
-with the most points is the container; it is widened to an enclosing article or main element. Without one, what stands beside
-the container or an element around it is kept too, unless a quarter of it is links. Menus, page headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments are known by tag, role, or a word of class or id, and go first;
-words that articles use too don't drop a heading, and drop a part of an article only when it is half links.
+with the most points is the container; it is widened to an enclosing article or main element, else to the page. In that, what
+stands beside the container is kept unless a quarter of it is links, and lists in the container unless they are links.
 
-A page is parsed in the task that reads it; nothing is shuffled or gathered, and memory is a page's tree.
+Only scripts, styles, forms, menus, page headers, footers, asides and what is hidden are dropped by their tag or role. A word of a
+class or id drops nothing by itself: it lowers the points below an element, so that another one becomes the container, and
+an element so lowered that doesn't hold the container is weighed against it. Words that parts of an article bear as well
+lower little, and not at all on headings and paragraphs; in the container or its article such an element goes only if half of it is links, or it
+is a line without a block.
+
+A page is parsed in the task that reads it, in time linear in its length; nothing is shuffled or gathered, and memory is a page's tree.
 
 Defined results: null, empty or markup-only html gives an empty text; white space in a block (no-break spaces too) becomes
-one space, ``<br>`` is white space; blocks are joined by ``\\n`` in page order; repeated rows and null ids give a row each;
-an empty table gives an empty table; other columns are left out.
+one space, ``<br>`` is white space; blocks are joined by ``\\n`` in page order; end tags without a start are passed over; very long
+pages are read whole; of elements with equal points the outer one, then the first, is the container; repeated rows and null
+ids give a row each; an empty table gives an empty table; other columns are left out.
 """
 
 from __future__ import annotations
@@ -36,8 +41,12 @@ BOILERPLATE = frozenset(
     "related recommended newsletter subscribe subscription signup login search pagination pager toolbar".split()
 )
 #: Words that name parts of an article as well.
-AMBIGUOUS = frozenset("header discussion search notice notices alert share sharing related comment".split())
+AMBIGUOUS = frozenset("header discussion search notice notices alert share sharing related comment banner promotion notification social menu toolbar widget".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What the points below an element are multiplied by, for a doubt of 0, 1 (an ambiguous word), 2.
+LOWER = (1.0, 0.25, 0.02)
+#: Elements whose readers' comments are boxes or items of a list.
+BOXES = frozenset("div li ul ol dl section article".split())
 #: Start tags that end an open element of the first set, looked for up to one of the second.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -53,132 +62,174 @@ WORD = re.compile("[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "drop", "doubt", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "children", "drop", "doubt", "score", "points", "chars", "linked", "links", "block", "weight")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False, doubt: bool = False):
+    def __init__(self, tag: str, parent: Node | None, drop: bool = False, doubt: int = 0):
         self.tag, self.parent, self.drop, self.doubt = tag, parent, drop, doubt
         self.children: list[Node | str] = []
-        self.score = self.chars = self.linked = 0
+        self.score = self.points = self.chars = self.linked = self.links = 0
+        self.block, self.weight = tag in TEXT_BLOCKS, 1.0
 
 
 class Tree(HTMLParser):
-    """Elements and texts of a page, with the end tags that HTML lets authors leave out."""
+    """Elements and texts of a page, with the end tags that HTML lets authors leave out. Each tag takes constant time or closes elements."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("root", None)
-
-    def _close(self, tags: set[str] | frozenset[str], until: set[str] | frozenset[str]) -> None:
-        node = self.at
-        while node.parent is not None:
-            if node.tag in tags:
-                self.at = node.parent
-                return
-            if node.tag in until:
-                return
-            node = node.parent
+        self.root = Node("root", None)
+        self.open = [self.root]
+        #: Places in ``open`` of each tag, of elements that are not inline, of scopes.
+        self.places: dict[str, list[int]] = {}
+        self.blocks, self.scopes = [0], [0]
+
+    def _close_from(self, place: int) -> None:
+        while len(self.open) > place:
+            self.places[self.open.pop().tag].pop()
+        for places in (self.blocks, self.scopes):
+            while places[-1] >= place:
+                places.pop()
+
+    def _last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
 
     def handle_starttag(self, tag, attrs):
-        if tag not in INLINE:
-            self._close({"p"}, SCOPES)
+        if tag not in INLINE and self._last(("p",)) > self.scopes[-1]:
+            self._close_from(self._last(("p",)))
         if tag in CLOSES:
-            self._close(*CLOSES[tag])
-        node = Node(tag, self.at, *_is_boilerplate(tag, attrs, self.at))
-        self.at.children.append(node)
+            tags, until = CLOSES[tag]
+            if self._last(tags) > self._last(until):
+                self._close_from(self._last(tags))
+        inside = bool(self.places.get("article") or self.places.get("main"))
+        node = Node(tag, self.open[-1], *_judged(tag, attrs, inside))
+        self.open[-1].children.append(node)
         if tag not in VOID:
-            self.at = node
+            place = len(self.open)
+            self.open.append(node)
+            self.places.setdefault(tag, []).append(place)
+            if tag not in INLINE:
+                self.blocks.append(place)
+            if tag in SCOPES:
+                self.scopes.append(place)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and self.at.tag == tag:
-            self.at = self.at.parent
+        if tag not in VOID:
+            self._close_from(len(self.open) - 1)
 
     def handle_endtag(self, tag):
-        node = self.at
-        while node.parent is not None and node.tag != tag:
-            # an inline end tag doesn't end blocks
-            if tag in INLINE and node.tag not in INLINE:
-                return
-            node = node.parent
-        if node.parent is not None:
-            self.at = node.parent
+        place = self._last((tag,))
+        # an inline end tag doesn't end blocks
+        if place and not (tag in INLINE and self.blocks[-1] > place):
+            self._close_from(place)
 
     def handle_data(self, data):
-        self.at.children.append(data)
-
-
-def _inside(parent: Node | None, *tags: str) -> bool:
-    while parent is not None and parent.tag not in tags:
-        parent = parent.parent
-    return parent is not None
+        self.open[-1].children.append(data)
 
 
-def _is_boilerplate(tag: str, attrs, parent: Node) -> tuple[bool, bool]:
-    """Whether an element is dropped, and whether its links decide that."""
-    if tag in DROPPED:
-        return True, False
-    if tag in ("html", "body", "article", "main"):
-        return False, False
-    if tag == "header" and not _inside(parent, "article"):
-        return True, False
-    doubt = False
+def _judged(tag: str, attrs, inside: bool) -> tuple[bool, int]:
+    """Whether an element goes for its tag or role, and how much its class and id make it doubtful. inside: an article or main element."""
+    if tag in DROPPED or tag == "header" and not inside:
+        return True, 0
+    if tag in ("html", "body", "main"):
+        return False, 0
+    doubt = 0
     for name, value in attrs:
-        if name in ("class", "id") and value:
+        if name in ("class", "id") and value and tag not in HEADINGS:
             found = BOILERPLATE.intersection(WORD.findall(value.lower()))
-            if not found:
-                continue
-            # readers' comments are boxes or items of a list
-            by_tag = "comment" in found and tag in ("div", "li")
-            if by_tag or not found <= AMBIGUOUS or tag not in HEADINGS and not _inside(parent, "article", "main"):
-                return True, False
-            doubt = True
+            if found and (not found <= AMBIGUOUS or "comment" in found and tag in BOXES):
+                doubt = 2
+            elif found and tag not in TEXT_BLOCKS:
+                doubt = max(doubt, 1)
         elif name == "role" and value and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True, False
+            return True, 0
         elif name == "style" and value and "display:none" in value.replace(" ", "").lower():
-            return True, False
+            return True, 0
     return False, doubt
 
 
-def _post_order(root: Node) -> list[Node]:
+def _in_order(root: Node) -> list[Node]:
+    """Elements, parents before children."""
     out, stack = [], [root]
     while stack:
         node = stack.pop()
         out.append(node)
         stack.extend(c for c in node.children if isinstance(c, Node))
-    return out[::-1]
+    return out
 
 
 def _spare_articles(nodes: list[Node]) -> None:
-    """What holds an article or main element isn't dropped for its class."""
+    """What holds an article or main element isn't dropped for its role, nor a form that does."""
+    holds = set()
+    for node in reversed(nodes):
+        if node.tag in ("article", "main") or id(node) in holds:
+            if node.parent is not None:
+                holds.add(id(node.parent))
+            if id(node) in holds and (node.tag not in DROPPED or node.tag == "form"):
+                node.drop = False
+
+
+def _score(root: Node, nodes: list[Node]) -> None:
+    """Points, characters and links of all elements."""
     for node in nodes:
-        if node.tag in ("article", "main"):
+        if node.parent is not None:
+            node.weight = node.parent.weight * LOWER[node.doubt]
+    for block, text, linked in _runs(root):
+        block.chars += len(text)
+        block.linked += min(linked, len(text))
+        points = 1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)
+        if len(text) < 25:
+            points = 0.1
+        block.points += points
+        at, level = (block.parent or block) if block.tag in TEXT_BLOCKS else block, 0
+        while at is not None and level < 5:
+            at.score += points * block.weight / (1 if level == 0 else 2 if level == 1 else 3 * level)
+            at, level = at.parent, level + 1
+    for node in reversed(nodes):
+        if node.parent is not None and not node.drop:
             up = node.parent
-            while up is not None:
-                if up.tag not in DROPPED:
-                    up.drop = False
-                up = up.parent
-
-
-def _settle_doubts(nodes: list[Node]) -> None:
-    """A doubtful element is dropped when half of its text or more stands in links; headings stay."""
-    if not any(n.doubt for n in nodes):
-        return
-    size: dict[int, tuple[int, int]] = {}
-    for node in nodes:  # children come before their parents
-        chars = linked = 0
-        for c in node.children:
-            if isinstance(c, str):
-                chars += len("".join(c.split()))
-            elif not c.drop:
-                chars, linked = chars + size[id(c)][0], linked + size[id(c)][1]
-        size[id(node)] = chars, chars if node.tag == "a" else linked
-        node.drop = node.drop or node.doubt and node.tag not in HEADINGS and 2 * size[id(node)][1] >= max(chars, 1)
-
-
-def _drop_links_beside(best: Node, keep: set[int]) -> None:
-    """Drop what stands beside an element, or beside one that holds it, when a quarter of its characters or more are in links."""
+            up.chars, up.linked, up.points, up.links = up.chars + node.chars, up.linked + node.linked, up.points + node.points, up.links + node.links + (node.tag == "a")
+            up.block = up.block or node.block
+
+
+def _value(n: Node) -> float:
+    return n.score * (1 - n.linked / n.chars)
+
+
+def _container(nodes: list[Node]) -> Node | None:
+    scored = [n for n in nodes if n.score and n.chars and not n.drop]
+    return max(scored, key=_value) if scored else None
+
+
+def _weigh(best: Node, up: Node) -> None:
+    """Drop in ``up`` what is too doubtful, or links, and doesn't hold the container."""
+    holds, node = set(), best
+    while node is not None:
+        holds.add(id(node))
+        node = node.parent
+    within = up.tag in ("article", "main")
+    stack = [(up, within)]
+    while stack:
+        node, inside = stack.pop()
+        inside = inside or node is best
+        if node.drop:
+            continue
+        if id(node) not in holds and node.chars:
+            own = node.points * LOWER[node.doubt] * (1 - node.linked / node.chars)
+            if node.doubt == 2:
+                node.drop = own < 0.2 * _value(best)
+            elif node.doubt == 1 and inside:
+                node.drop = 2 * node.linked >= node.chars or not node.block and own < 0.1
+            elif node.doubt == 1:
+                node.drop = own < max(1, 0.1 * _value(best))
+            elif node.tag not in INLINE and node.tag not in TEXT_BLOCKS and node.links > 1 and 4 * node.linked >= 3 * node.chars:
+                node.drop = True
+        stack.extend((c, inside) for c in node.children if isinstance(c, Node))
+
+
+def _drop_links_beside(best: Node, top: Node, keep: set[int]) -> None:
+    """Drop what stands beside an element, or beside one that holds it, up to ``top``, when a quarter of its characters or more are in links."""
     node = best
-    while node.parent is not None:
+    while node is not top and node.parent is not None:
         line: list[int] = []  # texts and inline elements between blocks are one run
         children = node.parent.children
         for i, s in enumerate([*children, None]):
@@ -245,36 +296,20 @@ def main_text(html: str | None) -> str:
     tree = Tree()
     tree.feed(html)
     tree.close()
-    nodes = _post_order(tree.root)
-    _settle_doubts(nodes)
+    nodes = _in_order(tree.root)
     _spare_articles(nodes)
-    for block, text, linked in _runs(tree.root):
-        block.chars += len(text)
-        block.linked += min(linked, len(text))
-        points = 1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)
-        if len(text) < 25:
-            points = 0.1
-        at, level = (block.parent or block) if block.tag in TEXT_BLOCKS else block, 0
-        while at is not None and level < 5:
-            at.score += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
-            at, level = at.parent, level + 1
-    for node in nodes:  # children come before their parents
-        if node.parent is not None and not node.drop:
-            node.parent.chars += node.chars
-            node.parent.linked += node.linked
-    scored = [n for n in nodes if n.score and n.chars and not n.drop]
-    if not scored:
+    _score(tree.root, nodes)
+    best = _container(nodes)
+    if best is None:
         return ""
-    value = {id(n): n.score * (1 - n.linked / n.chars) for n in scored}
-    best = max(reversed(scored), key=lambda n: value[id(n)])
     up = best
-    while up is not None and up.tag not in ("article", "main"):
+    while up is not tree.root and up.tag not in ("article", "main"):
         up = up.parent
-    if up is None:
-        up = tree.root
-        least = max(5, 0.2 * value[id(best)])
-        beside = best.parent.children if best.parent is not None else []
-        _drop_links_beside(best, {id(s) for s in beside if isinstance(s, Node) and value.get(id(s), 0) >= least})
+    least = max(5, 0.2 * _value(best))
+    beside = best.parent.children if best.parent is not None else []
+    strong = {id(s) for s in beside if isinstance(s, Node) and s.score and s.chars and not s.drop and _value(s) >= least}
+    _weigh(best, up)
+    _drop_links_beside(best, up, strong)
     return "\n".join(text for _, text, _ in _runs(up))
 
 

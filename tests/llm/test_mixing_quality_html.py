@@ -1,6 +1,8 @@
 import re
+import time
 import tracemalloc
 import zlib
+from html import unescape
 
 import numpy as np
 import pyarrow as pa
@@ -170,3 +172,66 @@ LOOSE = [
 @pytest.mark.parametrize("html,want", LOOSE)
 def test_main_text_of_loose_pages(html, want):
     assert html_extract.main_text(html) == "\n".join(x.strip() for x in want)
+
+
+NAMED = [
+    (f'<article><h2 id="related-work">Related work</h2><p>{PROSE}</p><section id="search-methods"><p>{LEAD}</p></section><p class="notice-date">3 May</p></article>', ["Related work", PROSE, LEAD, "3 May"]),
+    (f'<body><div class="no-sidebar"><p>{PROSE}</p><p>{LEAD}</p></div></body>', [PROSE, LEAD]),
+    (f'<body><div class="header-image-wrapper"><div><p>{PROSE}</p><p>{PROSE}</p></div></div></body>', [PROSE, PROSE]),
+    (f'<body id="x"><div id="main-menu-open"><article><p>{PROSE}</p></article></div></body>', [PROSE]),
+    (f'<main><p>{PROSE}</p><ul><li><a href="1">Other story one</a><li><a href="2">Other story two</a></ul></main>', [PROSE]),
+    (f'<main><div><p>{PROSE}</p></div><ul class="teasers"><li><a href="1">Other story one</a><li><a href="2">Other story two</a></ul></main>', [PROSE]),
+    (f'<main><header><h1>Title</h1></header><p>{PROSE}</p><article class="comment"><p>{PROSE}</p></article></main><div class="comments"><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p></div>', ["Title", PROSE]),
+    (f'<form><article><p>{PROSE}</p></article></form>', [PROSE]),
+]
+
+
+@pytest.mark.parametrize("html,want", NAMED)
+def test_class_words_drop_nothing_by_themselves(html, want):
+    assert html_extract.main_text(html) == "\n".join(x.strip() for x in want)
+
+
+def test_pages_against_brute_force(spark, sf):
+    """Pages of the tables hold one article; its blocks are found by splitting at the tags of blocks."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    got = {r.page_id: r.text for r in html_extract.extract_main_text(pages).collect()}
+    for r in pages.collect():
+        inside = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        blocks = [unescape(re.sub(r"<[a-z/][^>]*>", lambda m: " " if m[0] == "<br>" else "", x)) for x in re.split(r"</?(?:p|h[1-6]|div|ul|ol|li|section|blockquote|pre|table|tr|td)\b[^>]*>", inside)]
+        assert got[r.page_id] == "\n".join(x for x in (" ".join(b.split()) for b in blocks) if x)
+
+
+def test_scores_against_slow_ones(spark, sf):
+    """The points of an element by its definition: over all blocks below it, each with the way from the element to the block."""
+    pages = [r.html for r in spark.read.parquet(f"{sf}/pages.parquet").limit(20).collect()] + [h for h, _ in [*PAGES[:2], *LOOSE, *NAMED]]
+    for html in pages:
+        tree = html_extract.Tree()
+        tree.feed(html)
+        tree.close()
+        nodes = html_extract._in_order(tree.root)
+        html_extract._spare_articles(nodes)
+        html_extract._score(tree.root, nodes)
+        want = {id(n): [0.0, 0, 0] for n in nodes}
+        for block, text, linked in html_extract._runs(tree.root):
+            chain = [block]
+            while chain[-1].parent is not None:
+                chain.append(chain[-1].parent)
+            weight = float(np.prod([html_extract.LOWER[n.doubt] for n in chain]))
+            points = weight * (0.1 if len(text) < 25 else 1 + sum(c in ",，" for c in text) + min(len(text) / 100, 3))
+            first = 1 if block.tag in html_extract.TEXT_BLOCKS and len(chain) > 1 else 0
+            for n, share in zip(chain[first:], (1, 1 / 2, 1 / 6, 1 / 9, 1 / 12)):
+                want[id(n)][0] += points * share
+            for n in chain:
+                want[id(n)][1] += len(text)
+                want[id(n)][2] += min(linked, len(text))
+        for n in nodes:
+            if not n.drop:
+                assert abs(n.score - want[id(n)][0]) < 1e-9 and [n.chars, n.linked] == want[id(n)][1:]
+
+
+@pytest.mark.parametrize("part", ["<center>|</zz>", "<b><div>|</b>", "<div><i>|</b><hr>", "<article>|</p>", "<li><i>|<li>"])
+def test_parsing_is_linear(part):
+    open_, close = part.split("|")
+    began = time.time()
+    html_extract.main_text(open_ * 30_000 + "words" + close * 30_000)
+    assert time.time() - began < 10
