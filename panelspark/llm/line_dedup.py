@@ -10,7 +10,9 @@ loses lines.
 Defined results
 * null or empty text: one empty line, which has no key and stays.
 * rows with the same doc_id count as one document; rows with the same doc_id and text share a bitmap, and
-  each of them is returned. A null doc_id is a document of its own.
+  each of them is returned. A null doc_id is a document of its own, so equal rows without an id count as often as they stand
+  there; with ``keep_first_lines`` they share a bitmap too.
+* a very long text is a row like others: its lines are an array in one row, and its bitmap holds only the turns.
 * an empty table gives an empty table; other columns of the input are left out of bitmaps and kept by ``apply_bitmaps``.
 """
 
@@ -23,7 +25,7 @@ from .shared import checked, lower_ascii, packed, stored
 
 SPACE = " \t\n\x0b\f\r"
 #: Salts of a document. A line held by every document is dealt to as many groups.
-SALTS = 512
+SALTS = 4096
 
 
 def lines_of(text: Column) -> Column:
@@ -60,27 +62,31 @@ def line_keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     min_docs: None keeps the first occurrence of a key, by document and position, and drops the others. A number
     drops every line whose key is found in so many documents. min_length: shorter keys are never dropped.
     """
-    base = _row_keys(checked(docs, id_col, text_col), id_col, text_col).withColumn("_lines", lines_of(F.col(f"`{text_col}`")))
+    rows = checked(docs, id_col, text_col)
+    nameless = F.col(f"`{id_col}`").isNull()
+    # rows without an id are documents of their own: each text once, with the number of its rows
+    copies = rows.filter(nameless).groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count("*").alias("_copies"))
+    base = _row_keys(rows.filter(~nameless).withColumn("_copies", F.lit(1).cast("long")).unionByName(copies), id_col, text_col)
+    base = base.withColumn("_own", F.when(F.col("_doc").isNull(), F.col("_text")).otherwise(F.lit(0))).withColumn("_lines", lines_of(F.col(f"`{text_col}`")))
     keys = (
-        base.select("_doc", "_text", F.size("_lines").alias("_n"), F.posexplode("_lines").alias("_pos", "_line"))
+        base.select("_doc", "_own", "_text", "_copies", F.size("_lines").alias("_n"), F.posexplode("_lines").alias("_pos", "_line"))
         .withColumn("_key", line_key(F.col("_line")))
         .filter(F.length("_key") >= max(min_length, 1))
-        .select("_doc", "_text", "_n", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit("second"), "_key").alias("_h2"))
-        .withColumn("_salt", F.pmod(F.xxhash64("_doc"), F.lit(SALTS)).cast("int"))
+        .select("_doc", "_own", "_text", "_copies", "_n", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit("second"), "_key").alias("_h2"))
+        .withColumn("_salt", F.pmod(F.xxhash64("_doc", "_own"), F.lit(SALTS)).cast("int"))
     )
     # hashes, not texts, are stored: sampling the ranges, streaming them and marking lines would read and hash the texts three times
     keys = stored(keys, "line-keys")
-    group = Window.partitionBy("_h1", "_h2", "_salt").orderBy(F.col("_doc").asc_nulls_first(), "_pos", "_text")
+    group = Window.partitionBy("_h1", "_h2", "_salt").orderBy(F.col("_doc").asc_nulls_first(), "_own", "_pos", "_text")
     streamed = keys.repartitionByRange("_h1", "_h2", "_salt").withColumn("_seen", F.row_number().over(group))
     if min_docs is None:
         # a salt holds all rows of a document, so the first of a key is the least of the firsts of its salts
-        first = streamed.filter("_seen = 1").groupBy("_h1", "_h2").agg(F.min(F.struct("_doc", "_pos", "_text")).alias("_first"), F.sum(F.lit(1)).alias("_salts"), F.collect_list("_salt").alias("_all"))
+        first = streamed.filter("_seen = 1").groupBy("_h1", "_h2").agg(F.min(F.struct("_doc", "_own", "_pos", "_text")).alias("_first"), F.sum(F.lit(1)).alias("_salts"), F.collect_list("_salt").alias("_all"))
         marks = first.select("_h1", "_h2", "_first", F.explode("_all").alias("_salt"))
-        gone = keys.join(marks, ["_h1", "_h2", "_salt"]).filter(~F.struct("_doc", "_pos", "_text").eqNullSafe(F.col("_first")))
+        gone = keys.join(marks, ["_h1", "_h2", "_salt"]).filter(~F.struct("_doc", "_own", "_pos", "_text").eqNullSafe(F.col("_first")))
     else:
-        previous = F.lag("_doc").over(group)
-        new_doc = (F.col("_seen") == 1) | ~F.col("_doc").eqNullSafe(previous) | F.col("_doc").isNull()
-        per_salt = streamed.withColumn("_new", new_doc.cast("int")).groupBy("_h1", "_h2", "_salt").agg(F.sum("_new").alias("_docs"))
+        new_doc = (F.col("_seen") == 1) | ~F.struct("_doc", "_own").eqNullSafe(F.lag(F.struct("_doc", "_own")).over(group))
+        per_salt = streamed.withColumn("_new", F.when(new_doc, F.col("_copies")).otherwise(0)).groupBy("_h1", "_h2", "_salt").agg(F.sum("_new").alias("_docs"))
         often = per_salt.groupBy("_h1", "_h2").agg(F.sum("_docs").alias("_docs"), F.collect_list("_salt").alias("_all")).filter(F.col("_docs") >= min_docs)
         gone = keys.join(often.select("_h1", "_h2", F.explode("_all").alias("_salt")), ["_h1", "_h2", "_salt"])
     dropped = gone.groupBy("_doc", "_text").agg(F.first("_n").alias("n_lines"), F.sort_array(F.collect_set("_pos")).alias("_dropped"))
