@@ -14,6 +14,7 @@ Defined results
   turn of its own, outside the loss, and makes the conversation invalid.
 * ``valid`` says whether the machine accepts the roles; ``error_turn`` is the index of the first turn that it refuses
   (the number of turns, when the end is refused; null when valid). Invalid conversations are formatted too.
+* very long texts and runs of escape marks take time linear in their length.
 * null conv_id is a conversation. An empty table gives an empty table. Other columns are left out.
 """
 
@@ -61,12 +62,21 @@ class Template:
 
 def escaped(text: Column, t: Template) -> Column:
     m = re.escape(t.mark)
-    return F.regexp_replace(text, f"({m}*)({t.controls()})", "$1$1" + ("\\\\" if t.mark == "\\" else t.mark) + "$2")
+    # a run of marks is tried once, from its first mark, and without going back: linear in its length
+    return F.regexp_replace(text, f"(?<!{m})({m}*+)({t.controls()})", "$1$1" + ("\\\\" if t.mark == "\\" else t.mark) + "$2")
 
 
 def unescaped(text: Column, t: Template) -> Column:
-    m = re.escape(t.mark)
-    return F.regexp_replace(text, f"({m}*)\\1{m}({t.controls()})", "$1$2")
+    # the marks at the end of what stands before a control string, without the last one, are halved
+    pieces, controls = F.split(text, t.controls(), -1), F.regexp_extract_all(text, F.lit(f"({t.controls()})"), F.lit(1))
+
+    def plain(piece: Column, i: Column) -> Column:
+        rest = F.rtrim(piece, F.lit(t.mark))
+        marks = F.length(piece) - F.length(rest)
+        halved = F.when(marks % 2 == 1, F.concat(rest, F.repeat(F.lit(t.mark), ((marks - 1) / 2).cast("int")))).otherwise(piece)
+        return F.when(i < F.size(controls), F.concat(halved, F.get(controls, i))).otherwise(piece)
+
+    return F.array_join(F.transform(pieces, plain), "")
 
 
 def format_chat(turns: DataFrame, template: Template | None = None, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
