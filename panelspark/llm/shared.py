@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    The setting of the session is used as it is. Only where it is unset, as in tests in local mode,
-    a new folder is made and set.
+    The setting of the session is used as it is. Only where it is unset in local mode, as in tests, a new folder is made and
+    set; on a cluster that is an error, since no machine's own folder is shared.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="panelspark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:

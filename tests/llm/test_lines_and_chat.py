@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from pyspark.sql import functions as F
 
@@ -33,6 +34,14 @@ def test_common_lines_against_brute_force(spark):
         assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in got), key=str) == brute_common(edge.ROWS, least)
 
 
+def test_rows_without_id_are_documents(spark):
+    rows = [(None, "\n".join(["same"] * 10)), (1, "same")] + [(None, "often\noften")] * 3 + [(None, "often")] * 2 + [(5, "often")] * 4
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for least in (2, 3, 6, 7, 10):
+        got = line_dedup.drop_common_lines(df, least).collect()
+        assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in got), key=str) == brute_common(rows, least)
+
+
 def test_first_lines(spark):
     rows = [(2, "b\na"), (1, "a\nA \nb\n\nc"), (3, "c\n\nd\nd")]
     got = {r.doc_id: r.text for r in line_dedup.keep_first_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
@@ -92,6 +101,14 @@ def test_chat_round_trip(spark):
         assert loss == "".join(t for r, t in turns if r == "assistant")
 
 
+def test_runs_of_marks_take_linear_time(spark):
+    texts = ["\\" * 100_000, "\\" * 100_001 + "</turn>", ("\\" * 1000 + "### User:") * 100, "\\### User:\\\\</turn>\\"]
+    df = spark.createDataFrame([(i, 0, "user", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    began = time.time()
+    got = {r.conv_id: r.t[0].text for r in chat.format_chat(df).select("conv_id", chat.read_chat(F.col("formatted")).alias("t")).collect()}
+    assert got == dict(enumerate(texts)) and time.time() - began < 20
+
+
 def test_chat_empty(spark):
     assert chat.format_chat(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 

@@ -93,6 +93,7 @@ def test_components(spark):
 
 def test_vectors_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 64)
+    monkeypatch.setattr(embedding_dedup, "BOXES", 3)
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(12, 16))
     x = [(centres[i % 12] + rng.normal(size=16) * rng.choice([0.05, 0.3, 1.0])).tolist() for i in range(500)]
@@ -107,3 +108,29 @@ def test_vectors_against_brute_force(spark, monkeypatch):
         n[b] += 1
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_vectors(df).collect()}
     assert got == {i: (n[i], comp[i], comp[i] == i) for i in comp} | {None: (0, None, True)}
+
+
+def test_vectors_of_any_magnitude(spark):
+    rows = [(1, [1e-170, 0.0]), (2, [1e-170, 0.0]), (3, [1e200, 1e200]), (4, [1e200, 1e200]), (5, [3e-180, 3e-180]), (6, [5.0, 0.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 6: (2, 1), 3: (2, 3), 4: (2, 3), 5: (2, 3)}
+
+
+def test_unequal_copies_in_one_cell(spark):
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=24)
+    rows = [(i, (centre + rng.normal(size=24) * 0.02).tolist()) for i in range(3000)]
+    got = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert got.filter("n_links = 2999 AND component_id = 0").count() == 3000
+
+
+def test_shared_folder_must_be_set_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from panelspark.llm.shared import shared_folder
+
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        shared_folder(cluster)
