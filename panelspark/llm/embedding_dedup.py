@@ -9,10 +9,12 @@ again by intervals, with products of double-precision matrices.
 Equal vectors are one class first, so a vector that a third of all rows repeat costs nothing. A task returns how many
 links each vector has and a spanning forest of its links, never the links themselves, so output stays linear.
 
-The number of blocks is bounded (``MOST_BLOCKS``), so the table of boxes that is broadcast is too; blocks grow with
-the table instead. The axes come from sums of squares of all vectors, d x d numbers.
+Blocks hold ``BLOCK`` vectors whatever the size of the table. Their boxes are broadcast in runs of ``BOXES``, one at a time, so
+neither the driver nor a task holds more of them. The axes come from sums of products of all components, d x d numbers, which
+tasks add up in a tree.
 
-Defined results: vectors that are null, empty or zero, or hold null or non-finite components, link with nothing: n_links 0,
+Defined results: components are scaled by the largest of a vector before they are squared, so very large and very small
+vectors count like others. Vectors that are null, empty or zero, or hold null or non-finite components, link with nothing: n_links 0,
 component_id their own id, kept true. Vectors of different lengths don't link; each length is
 a join of its own. Rows that share a vec_id are one node, and their links add up. A null vec_id links with
 nothing and has component_id null, kept true. An empty table gives an empty table; other columns are left out.
@@ -30,8 +32,10 @@ from pyspark.sql import functions as F
 from .components import components
 from .shared import checked, stored
 
-#: Axes of the grid, axes of the boxes, vectors of a block at least, blocks at most, vectors of an interval inside a task.
-GRID_AXES, BOX_AXES, BLOCK, MOST_BLOCKS, INTERVAL = 4, 16, 8192, 4096, 256
+#: Axes of the grid, axes of the boxes, vectors of a block, boxes broadcast at a time (some 50 MB), vectors of an interval inside a task.
+GRID_AXES, BOX_AXES, BLOCK, BOXES, INTERVAL = 4, 16, 8192, 200_000, 256
+#: Parts of a table of blocks at most, and sums of the axes in the middle of their tree.
+PARTS, SUMS = 4096, 32
 #: Partner blocks that share one copy of a block.
 RUN = 8
 
@@ -43,6 +47,7 @@ def _matrix(column: pa.Array, d: int) -> np.ndarray:
 
 def _unit(x: np.ndarray) -> np.ndarray:
     x = x.astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -50,21 +55,26 @@ def _axes(vectors: DataFrame, d: int) -> np.ndarray:
     """Principal axes as columns, the widest first: from the sums of products of all components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((d, d))
-        mean = np.zeros(d)
+        total, mean, n = np.zeros((d, d)), np.zeros(d), 0
         for batch in batches:
             x = _matrix(batch.column(0), d)
             total += x.T @ x
             mean += x.sum(0)
-            n = pa.array([float(batch.num_rows)])
-            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), n], names=["i", "v"])
-        both = np.concatenate([total.reshape(-1), mean])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(both)), pa.int32()), pa.array(both)], names=["i", "v"])
-
-    rows = vectors.select("embedding").mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()  # d * d + d + 1 numbers
-    got = np.zeros(d * d + d + 1)
-    for r in rows:
-        got[r.i] = r.v
+            n += len(x)
+        yield sums(np.concatenate([total.reshape(-1), mean, [n]]))
+
+    def sums(numbers: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([numbers.tobytes()], pa.binary())], names=["sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = np.zeros(d * d + d + 1)
+        for batch in batches:
+            for x in batch.column(0):
+                got += np.frombuffer(x.as_py(), np.float64)
+        yield sums(got)
+
+    parts = vectors.select("embedding").mapInArrow(run, "sums binary")
+    got = np.frombuffer(parts.repartition(SUMS).mapInArrow(add, "sums binary").repartition(1).mapInArrow(add, "sums binary").first().sums, np.float64)
     n = max(got[-1], 1)
     mean = got[d * d : d * d + d] / n
     _, axes = np.linalg.eigh(got[: d * d].reshape(d, d) / n - np.outer(mean, mean))
@@ -118,20 +128,29 @@ def join_blocks(x: np.ndarray, y: np.ndarray, axes: np.ndarray, cosine: float, s
 
 
 class _Forest:
-    def __init__(self):
-        self.parent: dict[int, int] = {}
+    """Components of the nodes of a task. Links come tile by tile, and only those that join something are looked at one by one."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int]]:
+        """The links among (a, b), ordered by a, that join components."""
+        fresh = np.flatnonzero(self.label[a] != self.label[b])
+        if not len(fresh):
+            return
+        a, b = a[fresh], b[fresh]
+        for x, near in zip(*_runs_of(a, b), strict=True):
+            near = near[self.label[near] != self.label[x]]
+            if len(near):
+                others, first = np.unique(self.label[near], return_index=True)
+                yield from ((int(x), int(y)) for y in near[first])
+                self.label[np.isin(self.label, others)] = self.label[x]
 
-    def find(self, x: int) -> int:
-        p = self.parent
-        while p.setdefault(x, x) != x:
-            p[x] = p[p[x]]
-            x = p[x]
-        return x
 
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        self.parent[a] = b
-        return a != b
+def _runs_of(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct values of the ordered ``a``, and for each its part of ``b``."""
+    starts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+    return a[starts], np.split(b, starts[1:])
 
 
 def _links(vectors: DataFrame, d: int, cosine: float) -> DataFrame:
@@ -156,8 +175,8 @@ def _links(vectors: DataFrame, d: int, cosine: float) -> DataFrame:
     kind = np.dtype("<f4" if element == "float" else "<f8")
     turned = stored(vectors.select("rep", "m", "embedding").mapInArrow(turn, f"rep long, m long, x array<{element}>, y array<double>, cell array<int>"), "turned")
     n = turned.count()
-    size = max(BLOCK, -(-n // MOST_BLOCKS))
-    n_parts = max(1, min(MOST_BLOCKS // 2, -(-n // size)))
+    size = BLOCK
+    n_parts = max(1, min(PARTS, -(-n // size)))
     order = [*[F.get("cell", F.lit(i)) for i in range(grid)], *[F.get("y", F.lit(i)) for i in range(min(2, d))], F.col("rep")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,22 +206,24 @@ def _links(vectors: DataFrame, d: int, cosine: float) -> DataFrame:
 
     sequence = turned.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
     blocks = stored(sequence.mapInArrow(cut, "block long, reps binary, ms binary, xs binary, low array<double>, high array<double>"), "blocks")
-    # MOST_BLOCKS and one more for each part at most, of 2 * BOX_AXES numbers
-    boxes = blocks.select("block", "low", "high").orderBy("block").collect()
-    ids = np.array([r.block for r in boxes], np.int64)
-    low, high = (np.array([r[i] for r in boxes]).reshape(len(boxes), -1) for i in (1, 2))
-    table = spark.sparkContext.broadcast((ids, low, high))
-
-    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, low, high = table.value
-        for batch in batches:
-            for b in batch.column(0).to_pylist():
-                k = int(np.searchsorted(ids, b))
-                near = near_intervals(low, high, low[k], high[k], eps2, k)
-                run = np.arange(len(near)) // RUN
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(near), b)), pa.array(run.astype(np.int32)), pa.array(ids[near])], names=["left", "run", "block"])
-
-    pairs = blocks.select("block").mapInArrow(partners, "left long, run int, block long")
+    pairs = None
+    for ids, low, high in _box_runs(blocks):
+        table = spark.sparkContext.broadcast((ids, low, high))
+
+        def partners(batches: Iterator[pa.RecordBatch], table=table) -> Iterator[pa.RecordBatch]:
+            ids, low, high = table.value
+            for batch in batches:
+                lows, highs = (np.array(batch.column(i).to_pylist()).reshape(batch.num_rows, -1) for i in (1, 2))
+                for i, b in enumerate(batch.column(0).to_pylist()):
+                    near = near_intervals(low, high, lows[i], highs[i], eps2, int(np.searchsorted(ids, b)))
+                    run = np.arange(len(near)) // RUN
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(near), b)), pa.array(run + int(ids[0])), pa.array(ids[near])], names=["left", "run", "block"])
+
+        found = stored(blocks.select("block", "low", "high").mapInArrow(partners, "left long, run long, block long"), "block-pairs")
+        table.destroy()
+        pairs = found if pairs is None else pairs.unionByName(found)
+    if pairs is None:
+        return spark.createDataFrame([], "a long, b long, n long")
     with_left = pairs.select("left", "run", F.col("left").alias("block"), F.lit(0).alias("side")).distinct().unionByName(pairs.withColumn("side", F.lit(1)))
     groups = with_left.join(blocks.drop("low", "high"), "block").repartition("left", "run").sortWithinPartitions("left", "run", "side", "block")
 
@@ -217,13 +238,14 @@ def _links(vectors: DataFrame, d: int, cosine: float) -> DataFrame:
                     left = (rep, m, x)
                     continue
                 rep_l, m_l, x_l = left
-                found, more_l, more_r = _Forest(), np.zeros(len(rep_l), np.int64), np.zeros(len(rep), np.int64)
-                links: list[tuple[int, int]] = []
-                for a, b in join_blocks(x_l, x, axes.value[:, :box], cosine, key == block, eps2):
+                more_l, more_r = np.zeros(len(rep_l), np.int64), np.zeros(len(rep), np.int64)
+                same, beyond = key == block, 0 if key == block else len(rep_l)
+                found, nodes = _Forest(beyond + len(rep)), rep if same else np.concatenate([rep_l, rep])
+                out: list[tuple[int, int | None, int]] = []
+                for a, b in join_blocks(x_l, x, axes.value[:, :box], cosine, same, eps2):
                     np.add.at(more_l, a, m[b])
                     np.add.at(more_r, b, m_l[a])
-                    links += [(p, q) for p, q in zip(rep_l[a].tolist(), rep[b].tolist(), strict=True) if found.join(p, q)]
-                out = [(p, q, 0) for p, q in links]
+                    out += [(int(nodes[p]), int(nodes[q]), 0) for p, q in found.join(a, b + beyond)]
                 for names, more in ((rep_l, more_l), (rep, more_r)):
                     at = np.flatnonzero(more)
                     out += [(p, None, c) for p, c in zip(names[at].tolist(), more[at].tolist(), strict=True)]
@@ -234,13 +256,28 @@ def _links(vectors: DataFrame, d: int, cosine: float) -> DataFrame:
     return groups.select("block", "left", "run", "side", "reps", "ms", "xs").mapInArrow(compare, "a long, b long, n long")
 
 
+def _box_runs(blocks: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, low and high corners of the blocks in the order of the sequence, ``BOXES`` at a time."""
+    rows = []
+
+    def run():
+        return np.array([r.block for r in rows], np.int64), *(np.array([r[i] for r in rows]).reshape(len(rows), -1) for i in (1, 2))
+
+    for r in blocks.select("block", "low", "high").orderBy("block").toLocalIterator():
+        rows.append(r)
+        if len(rows) == BOXES:
+            yield run()
+            rows = []
+    if rows:
+        yield run()
+
+
 def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """For each row: id, n_links, component_id, kept."""
     single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
     source = checked(vectors, id_col, vector_col).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<float>" if single else "array<double>").alias("embedding"))
-    norm2 = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    usable = F.coalesce(fine & (norm2 > 0) & (norm2 < F.lit(float("inf"))), F.lit(False)) & F.col("id").isNotNull()
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("embedding", lambda x: x != 0)
+    usable = F.coalesce(fine, F.lit(False)) & F.col("id").isNotNull()
     keyed = source.select("id", "embedding", usable.alias("ok"), F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit("second"), "embedding").alias("k2"), F.size("embedding").alias("d"))
     classes = stored(keyed.filter("ok").groupBy("d", "k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("m"), F.first("embedding").alias("embedding")), "classes")
     lengths = [r.d for r in classes.select("d").distinct().orderBy("d").collect()]
