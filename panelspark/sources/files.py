@@ -107,12 +107,14 @@ def scanned_documents(pages: DataFrame, document: str, text: str, least: int = 1
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``; one of our own only where it is unset)."""
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``; one of our own only where it is unset in local mode)."""
     import tempfile
     import uuid
 
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="panelspark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
