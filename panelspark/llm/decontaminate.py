@@ -1,10 +1,10 @@
 """Benchmark decontamination with suffix arrays of the training text.
 
-Each shard (about a MB of documents in a task) gets a suffix array over its words. Every suffix of the test items
-is binary-searched in it, which gives the longest verbatim match and its places in the shard; the interval of the array
-that shares a whole window with the suffix holds all occurrences. Suffixes of the shard whose first words begin no test
-suffix can match nothing and are left out of the array. No text is moved: documents are read once, and a document's
-matches are found in the task that reads it.
+Each shard (about ``SHARD`` bytes of documents in a task) gets a suffix array over its words. Every suffix of the test items
+that begins with a whole window is binary-searched in it once, which gives its longest verbatim match and a place of that in the
+shard. Where that match holds a window, the interval of the array around the place holds all occurrences of the window: their
+words are the hits, and rows with a hit are removed. No text is moved: documents are read once, and a document's matches are
+found in the task that reads it. Arrays are as large as their shards and are made anew in each run, not kept.
 
 Test items are sent to the tasks in blocks of at most ``BLOCK_BYTES`` of text, so what a task holds is bounded. A benchmark of
 several blocks takes a pass over the documents for each; rows with hits alone are then brought together, their flags joined.
@@ -13,7 +13,9 @@ Defined results
 * words are lower-cased (A-Z) runs of digits, ASCII letters and all code points from 0x80. Null or empty text has no words.
 * a window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one window.
 * items with the same item_id count once; a null item_id is written "null". An empty benchmark hits nothing.
-* repeated rows and null doc_ids give a row each; other columns are left out (``decontaminated`` keeps them).
+* repeated rows and null doc_ids give a row each; other columns are left out, whatever their names (``decontaminated`` keeps them).
+* a very long text is a shard of its own. longest, longest_item and longest_at are the words, item and first word of the longest match
+  of a row among those that were searched for the shard (ties: the first in the text); 0 and null where no test suffix has its place in the row.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ from .arrowtext import ALNUM, buffers, hashes, slices, words
 from .shared import checked, packed
 
 BLOCK_BYTES = 32 << 20
-#: Words by which suffixes are picked for the array.
-PICK = 3
+#: Bytes of documents in an array.
+SHARD = 4 << 20
 
 
 class TestSuffixes:
@@ -57,19 +59,8 @@ class TestSuffixes:
         self.need = np.minimum(size[row], window) if len(number) else np.zeros(0, np.int64)
         keep = self.left >= self.need  # suffixes that begin with a whole window
         self.longest = int(size.max()) if len(size) else 0
-        self.pick = int(min(PICK, self.need.min())) if len(number) else 1
         self.at = np.flatnonzero(keep)
         self.words = np.concatenate([number, np.zeros(self.longest + 1, np.int32)])
-        self.grams = np.unique(gram(self.words, self.at, self.pick)) if len(self.at) else np.zeros(0, np.uint64)
-        self.order_gram = gram(self.words, self.at, self.pick) if len(self.at) else np.zeros(0, np.uint64)
-
-
-def gram(numbers: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
-    """``k`` words from each place in one number (collisions only let more suffixes through)."""
-    key = np.zeros(len(at), np.uint64)
-    for i in range(k):
-        key = key * np.uint64(0x100000001B3) + numbers[at + i].astype(np.uint64)
-    return key
 
 
 def suffix_array(numbers: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
@@ -122,10 +113,10 @@ def shared_words(numbers: np.ndarray, a: np.ndarray, test: np.ndarray, b: np.nda
     return np.minimum(common, most)
 
 
-def matches(column: pa.Array, test: TestSuffixes, longest: bool = False):
-    """For a shard of texts: words of each row, hit flag of each word with offsets, and (row, item) pairs with a window.
+def matches(column: pa.Array, test: TestSuffixes):
+    """For a shard of texts: words of each row, hit flag of each word with offsets, (row, item) pairs with a window, and longest matches.
 
-    With ``longest`` also (row, first word, words, item) of the longest verbatim match of every test suffix.
+    Longest matches are (row, first word, words, item), one for each test suffix that begins with a word of the shard.
     """
     raw, offsets = buffers(column)
     w = words(raw, offsets, ALNUM)
@@ -138,51 +129,42 @@ def matches(column: pa.Array, test: TestSuffixes, longest: bool = False):
     h = hashes(raw, w)
     place = np.minimum(np.searchsorted(test.vocabulary, h), len(test.vocabulary) - 1)
     number = np.where(test.vocabulary[place] == h, place + 1, 0).astype(np.int32)
-    # a 0 after each row keeps suffixes inside it
+    # a 0 after each row keeps suffixes inside it; words that no item has are 0 too, and no suffix begins with one
     row = np.repeat(np.arange(len(count)), count)
-    numbers = np.zeros(n + len(count) + test.longest + PICK + 1, np.int32)
+    numbers = np.zeros(n + len(count) + test.longest + 1, np.int32)
     spot = np.arange(n) + row
     numbers[spot] = number
-    grams = gram(numbers, spot, test.pick)
-    picked = np.flatnonzero((number > 0) & _among(grams, test.grams))
-    if not len(picked):
+    own = np.flatnonzero(number > 0)
+    if not len(own):
         return none
     back = np.full(len(numbers), -1, np.int64)
     back[spot] = np.arange(n)
-    array = suffix_array(numbers, spot[picked], test.longest)
-    sought = np.flatnonzero(_among(test.order_gram, np.unique(grams[picked])))
-    at = test.at[sought]
-    left = test.left[at]
-    best = np.zeros((0, 4), np.int64)
-    if longest:
-        to = search(numbers, array, test.words, at, left, False)
-        before, after = np.maximum(to - 1, 0), np.minimum(to, len(array) - 1)
-        m1, m2 = shared_words(numbers, array[before], test.words, at, left), shared_words(numbers, array[after], test.words, at, left)
-        where = back[np.where(m1 >= m2, array[before], array[after])]
-        best = np.stack([row[where], where - w.first[row[where]], np.maximum(m1, m2), test.item[at]], 1)
-        best = best[best[:, 2] > 0]
-    need = test.need[at]
-    lo, hi = search(numbers, array, test.words, at, need, False), search(numbers, array, test.words, at, need, True)
-    found = np.flatnonzero(hi > lo)
+    array = suffix_array(numbers, spot[own], test.longest)
+    begins = np.zeros(len(test.vocabulary) + 1, bool)
+    begins[number] = True
+    at = test.at[begins[test.words[test.at]]]
+    left, need = test.left[at], test.need[at]
+    to = search(numbers, array, test.words, at, left, False)
+    before, after = array[np.maximum(to - 1, 0)], array[np.minimum(to, len(array) - 1)]
+    m1, m2 = shared_words(numbers, before, test.words, at, left), shared_words(numbers, after, test.words, at, left)
+    longest, where = np.maximum(m1, m2), back[np.where(m1 >= m2, before, after)]
+    best = np.stack([row[where], where - w.first[row[where]], longest, test.item[at]], 1)
+    found = np.flatnonzero(longest >= need)
     if not len(found):
         return count, hit, w.first, pairs, best
-    times = (hi - lo)[found]
-    inside = np.repeat(lo[found] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+    at, need = at[found], need[found]
+    lo, hi = search(numbers, array, test.words, at, need, False), search(numbers, array, test.words, at, need, True)
+    times = hi - lo
+    inside = np.repeat(lo - (np.cumsum(times) - times), times) + np.arange(times.sum())
     begin = back[array[inside]]
-    size = np.repeat(need[found], times)
+    size = np.repeat(need, times)
     depth = np.zeros(n + 1, np.int64)
     np.add.at(depth, begin, 1)
     np.add.at(depth, begin + size, -1)
-    pairs = np.unique(np.stack([row[begin], np.repeat(test.item[at[found]], times)], 1), axis=0)
+    pairs = np.unique(np.stack([row[begin], np.repeat(test.item[at], times)], 1), axis=0)
     return count, np.cumsum(depth[:-1]) > 0, w.first, pairs, best
 
 
-def _among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.zeros(len(x), bool)
-    return ordered[np.minimum(np.searchsorted(ordered, x), len(ordered) - 1)] == x
-
-
 def test_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_bytes: int = BLOCK_BYTES) -> Iterator[TestSuffixes]:
     """The items in blocks of bounded size, one at a time on the driver."""
     items = checked(benchmark, id_col, text_col).select(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")).alias("i"), F.col(f"`{text_col}`").alias("t")).filter("length(t) > 0")
@@ -202,6 +184,7 @@ test_blocks.__test__ = False
 
 
 RESULTS = (("n_words", "long"), ("n_hit", "long"), ("n_items", "long"), ("items_sha256", "string"), ("contaminated", "boolean"))
+PLACES = (("longest", "long"), ("longest_item", "string"), ("longest_at", "long"))
 
 
 def _names_sha(names: set[str]) -> str:
@@ -209,7 +192,7 @@ def _names_sha(names: set[str]) -> str:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES, clean_rows: bool = False) -> DataFrame:
-    """For each row of ``docs``: id, n_words, n_hit, n_items, items_sha256, contaminated. clean_rows: whole rows without a hit instead."""
+    """For each row of ``docs``: id, n_words, n_hit, n_items, items_sha256, contaminated, and for a benchmark of one block longest, longest_item, longest_at. clean_rows: whole rows without a hit instead."""
     spark: SparkSession = docs.sparkSession
     blocks = [spark.sparkContext.broadcast(b) for b in test_blocks(benchmark, item_id, item_text, window, block_bytes)]
     if len(blocks) > 1:
@@ -219,34 +202,44 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     carry = [c for c in kept if c != text_col]
     source = checked(docs, *carry, text_col)
     schema = checked(docs, *kept).schema
-    for name, kind in () if clean_rows else RESULTS:
+    for name, kind in () if clean_rows else RESULTS + PLACES:
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test = block.value
         for batch in batches:
-            for part in slices(batch, len(carry)):
-                count, n_hit, _, names = _rows(part.column(len(carry)), test)
+            for part in slices(batch, len(carry), SHARD):
+                count, n_hit, _, names, best = _rows(part.column(len(carry)), test)
                 if clean_rows:
                     columns = dict(zip(carry, part.columns, strict=False)) | {text_col: part.column(len(carry))}
                     yield pa.RecordBatch.from_arrays([columns[c] for c in kept], names=kept).filter(pa.array(n_hit == 0))
                 else:
                     sha = [_names_sha(x) for x in names]
-                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(count), pa.array(n_hit), pa.array([len(x) for x in names], pa.int64()), pa.array(sha, pa.string()), pa.array(n_hit > 0)], names=schema.names)
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(count), pa.array(n_hit), pa.array([len(x) for x in names], pa.int64()), pa.array(sha, pa.string()), pa.array(n_hit > 0), *_places(best, len(names), test)], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
 
 def _rows(column: pa.Array, test: TestSuffixes):
-    """For each row of a shard: words, hit words, packed flags of the words (None without a hit), names of items."""
-    count, hit, first, pairs, _ = matches(column, test)
+    """For each row of a shard: words, hit words, packed flags of the words (None without a hit), names of items; and longest matches."""
+    count, hit, first, pairs, best = matches(column, test)
     total = np.concatenate([[0], np.cumsum(hit)])
     n_hit = total[first[1:]] - total[first[:-1]]
     names: list[set[str]] = [set() for _ in range(len(count))]
     for r, i in pairs.tolist():
         names[r].add(test.names[i])
     bits = [np.packbits(hit[a:b]).tobytes() if n else None for a, b, n in zip(first[:-1], first[1:], n_hit, strict=True)]
-    return count, n_hit, bits, names
+    return count, n_hit, bits, names, best
+
+
+def _places(best: np.ndarray, n: int, test: TestSuffixes) -> list[pa.Array]:
+    """The longest match of each row: words, item, first word."""
+    best = best[np.lexsort((best[:, 3], best[:, 1], -best[:, 2], best[:, 0]))]
+    best = best[np.concatenate([[True], best[1:, 0] != best[:-1, 0]])[: len(best)]]
+    size, item, at = np.zeros(n, np.int64), np.full(n, None, object), np.full(n, -1, np.int64)
+    size[best[:, 0]], at[best[:, 0]] = best[:, 2], best[:, 1]
+    item[best[:, 0]] = [test.names[j] for j in best[:, 3]]
+    return [pa.array(size), pa.array(item, pa.string()), pa.array(at, mask=at < 0)]
 
 
 def _in_passes(docs: DataFrame, blocks: list, id_col: str, text_col: str, clean_rows: bool) -> DataFrame:
@@ -259,8 +252,8 @@ def _in_passes(docs: DataFrame, blocks: list, id_col: str, text_col: str, clean_
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             test = block.value
             for batch in batches:
-                for part in slices(batch, 2):
-                    _, n_hit, bits, names = _rows(part.column(2), test)
+                for part in slices(batch, 2, SHARD):
+                    _, n_hit, bits, names, _ = _rows(part.column(2), test)
                     out = pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bits, pa.binary()), pa.array([sorted(x) for x in names], pa.list_(pa.string()))], names=["_id", "_h", "bits", "names"])
                     yield out.filter(pa.array(n_hit > 0))
 
@@ -308,7 +301,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
             for batch in batches:
                 for i in range(batch.num_rows):  # a document is a shard of its own here, for a match in each
                     part = batch.slice(i, 1)
-                    best = matches(part.column(1), test, longest=True)[4]
+                    best = matches(part.column(1), test)[4]
                     best = best[best[:, 2] >= least]
                     if len(best):
                         best = best[np.lexsort((best[:, 1], -best[:, 2], best[:, 3]))]

@@ -29,7 +29,8 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contamination
 
-    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    out = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

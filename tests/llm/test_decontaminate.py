@@ -1,6 +1,8 @@
 import hashlib
+import random
 import re
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from panelspark.llm import decontaminate
@@ -42,7 +44,7 @@ def test_against_brute_force(spark, sf):
     want = brute([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in bench.collect()], 10)
     for block in (1 << 25, 2000):
         got = decontaminate.contamination(docs.withColumn("n_hit", F.lit("x")), bench, block_bytes=block).collect()
-        assert sorted((tuple(r) for r in got), key=str) == want
+        assert sorted((tuple(r)[:6] for r in got), key=str) == want
     clean = [w for w in brute([(r[0], r[1]) for r in edge.ROWS], [(r.item_id, r.text) for r in bench.collect()], 10) if not w[5]]
     for block in (1 << 25, 2000):
         kept = decontaminate.decontaminated(edge.docs(spark), bench, block_bytes=block)
@@ -55,6 +57,30 @@ def test_longest_matches(spark):
     bench = spark.createDataFrame([(7, "z a b c d e f g h")], "item_id long, text string")
     got = sorted(tuple(r) for r in decontaminate.longest_matches(docs, bench, least=3).collect())
     assert got == [(1, "7", 0, 6), (2, "7", 5, 5)]
+    got = sorted(tuple(r)[:1] + tuple(r)[6:] for r in decontaminate.contamination(docs, bench, window=3).collect())
+    assert [g[0] for g in got] == [1, 2, 3] and got[0][1:] == (6, "7", 0) and got[2][1:] == (0, None, None)
+
+
+def test_longest_matches_against_brute_force():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefg") for _ in range(rng.randrange(40))) for _ in range(30)]
+    items = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 12))) for _ in range(12)]
+    test = decontaminate.TestSuffixes([str(i) for i in range(len(items))], items, 3)
+    best = decontaminate.matches(pa.array(texts), test)[4]
+    docs = [t.split() for t in texts]
+    got = {}
+    for row, at, size, number in best.tolist():
+        item = int(test.names[number])
+        assert " ".join(docs[row][at : at + size]) in items[item]
+        got.setdefault(item, []).append(size)
+    for i, t in enumerate(items):
+        w = t.split()
+        k = min(3, len(w))
+        want = []
+        for j in range(len(w) - k + 1):
+            size = max((n for n in range(len(w) - j + 1) if any(w[j : j + n] == d[x : x + n] for d in docs for x in range(len(d) - n + 1))), default=0)
+            want += [size] if size else []
+        assert sorted(got.get(i, [])) == sorted(want)
 
 
 def test_empty(spark):
