@@ -102,13 +102,16 @@ def key_values(c: Column) -> Column:
 
 def money(c: Column) -> Column:
     """An amount in either style: 1,234.56 or 1.234,56; one comma before one or two digits is a decimal comma. No digit: null."""
-    s = F.regexp_replace(c, "[^0-9,.\\-]", "")
+    # bound once: Spark would work the cleaned text out again at each use
+    return F.get(F.transform(F.array(F.regexp_replace(c, "[^0-9,.\\-]", "")), _amount), F.lit(0))
+
+
+def _amount(s: Column) -> Column:
     commas = F.length(s) - F.length(F.replace(s, F.lit(","), F.lit("")))
     has_dot, last_dot, last_comma = s.contains("."), F.length(F.substring_index(s, ".", -1)), F.length(F.substring_index(s, ",", -1))
-    european = F.replace(F.replace(s, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    plain = F.replace(s, F.lit(","), F.lit(""))
-    picked = F.when((commas > 0) & has_dot, F.when(last_comma < last_dot, european).otherwise(plain)).when((commas > 1) | (commas == 1) & last_comma.between(1, 2), european).otherwise(plain)
-    return F.when(s.rlike("\\d"), F.expr("1") * picked.try_cast("double"))
+    european = F.when((commas > 0) & has_dot, last_comma < last_dot).otherwise((commas > 1) | (commas == 1) & last_comma.between(1, 2))
+    picked = F.when(european, F.translate(F.replace(s, F.lit("."), F.lit("")), ",", ".")).otherwise(F.replace(s, F.lit(","), F.lit("")))
+    return F.when(s.rlike("\\d"), picked.try_cast("double"))
 
 
 def lenient_number(c: Column) -> Column:

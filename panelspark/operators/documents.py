@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.functions import nested
+from panelspark.functions import nested, text
 from panelspark.sources import files
 
 
@@ -69,6 +69,39 @@ def table_detectors(rows: str = "rows", scheme: str = "scheme", description: str
     return found
 
 
+#: Words of passing provisions, which show that a description comes from the wrong section; fixed values.
+PASSING = r"(?i)\b(transitor|abrog|salario\s*m[ií]nim|d[ií]as?\s+de\s+salario|vsm\b|vigencia|publicaci[oó]n\s+oficial)"
+
+
+def scheme_detectors(rows: str = "rows", scheme: str = "scheme", category: str = "category", minimum: str = "minimum") -> list[Detector]:
+    """The rules that look at one scheme. rows: array of struct upper, rate, fixed, unit, description, columns (array of name, kind)."""
+    t, s, first = F.col(rows), F.col(scheme), F.get(rows, F.lit(0))
+    any_row = F.coalesce(F.size(t), F.lit(0)) > 0
+    cells = F.flatten(F.transform(t, lambda r: r["columns"]))
+    names, kinds = F.array_distinct(F.transform(cells, lambda c: c["name"])), F.array_distinct(F.transform(cells, lambda c: c["kind"]))
+    single = any_row & F.forall(t, lambda r: F.coalesce(F.size(r["columns"]), F.lit(0)) == 1) & (F.size(names) == 1) & (F.size(kinds) == 1) & (F.get(kinds, F.lit(0)) == "cuota_fija")
+    top = F.array_max(F.filter(F.transform(t, lambda r: r["rate"]), lambda x: x.isNotNull() & (x != 0)))
+    low = F.when(first["unit"] == "porcentaje", first["rate"] < 0.05).when(first["unit"] == "al_millar", first["rate"] < 0.5)
+    passing = F.get(F.filter(F.transform(t, lambda r: F.regexp_extract(F.coalesce(r["description"], F.lit("")), PASSING, 1)), lambda x: x != ""), F.lit(0))
+    fixed = s.isin("cuota_fija", "cuota_fija_simple") & any_row
+    is_minimum = F.concat_ws(";", F.when(text.norm_light(F.coalesce(first["description"], F.lit(""))).contains("minim"), "desc=minim*"), F.when(F.abs(first["fixed"] - F.col(minimum)) < 0.01, "monto==minimo_predial"))
+    other = s == "otro_no_clasificado"
+    external = F.coalesce(F.col(category), F.lit("?")) == "remite_a_ley_externa"
+    last_upper = F.try_element_at(t, F.lit(-1))["upper"]
+    return [
+        Detector("mixto_monocolumna_cuotafija", "SEV1", lambda: (s == "mixto") & single, lambda: F.get(names, F.lit(0))),
+        Detector("remite_a_ley_externa", "SEV3", lambda: other & external, lambda: F.lit("")),
+        Detector("otro_no_clasificado", "SEV1", lambda: other & ~external, lambda: F.coalesce(F.col(category), F.lit("?"))),
+        Detector("bracket_superior_cerrado", "SEV2", lambda: (s == "progresivo") & last_upper.isNotNull(), lambda: last_upper.cast("long").cast("string")),
+        Detector("tarifa_millar_factor", "SEV2", lambda: (s == "tarifa_millar") & (top < 0.5), lambda: F.format_number(top, 2)),
+        Detector("tasa_unica_unidad_factor", "SEV2", lambda: (s == "tasa_unica") & low, lambda: first["unit"]),
+        Detector("desc_transitorios", "SEV1", lambda: passing.isNotNull(), lambda: F.lower(passing)),
+        Detector("cuota_es_minimo", "QA", lambda: fixed & (is_minimum != ""), lambda: is_minimum),
+        Detector("legacy_cuota_fija", "QA", lambda: s == "cuota_fija", lambda: F.lit("literal")),
+        Detector("legacy_desconocido", "QA", lambda: s == "desconocido", lambda: F.lit("desconocido")),
+    ]
+
+
 def detect(docs: DataFrame, keys: list[str], detectors: list[Detector]) -> DataFrame:
     """A row for each detector that fires on a document: keys, detector, severity, signal. One pass over the documents."""
     hits = [F.when(F.coalesce(d.fires(), F.lit(False)), F.struct(F.lit(d.name).alias("detector"), F.lit(d.severity).alias("severity"), F.coalesce(d.signal(), F.lit("")).alias("signal"))) for d in detectors]

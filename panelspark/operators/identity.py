@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-#: Scores below which a stage doesn't match; fixed values.
-LEAST_WORDS, LEAST_RATIO, SUFFIX_SCORE = 0.5, 0.85, 0.95
+#: Scores below which a stage doesn't match, that of a name without its suffix, those of hints, and the suffixes; fixed values.
+LEAST_WORDS, LEAST_RATIO, SUFFIX_SCORE, LEAST_HINT = 0.5, 0.85, 0.95, 0.55
+SUFFIXES = ("_de", "_del", "_la", "_el", "_las", "_los")
 
 
 def similarity(pairs: DataFrame, a: str, b: str, name: str = "ratio") -> DataFrame:
@@ -34,15 +35,18 @@ def similarity(pairs: DataFrame, a: str, b: str, name: str = "ratio") -> DataFra
     return pairs.mapInArrow(run, schema)
 
 
-def words_shared(a: Column, b: Column) -> Column:
-    """1 minus the share of words missing if one name's words are all in the other's, by the smaller to the larger; else 0."""
-    x, y = F.array_distinct(F.split(a, "_")), F.array_distinct(F.split(b, "_"))
-    subset = (F.size(F.array_except(x, y)) == 0) | (F.size(F.array_except(y, x)) == 0)
-    return F.when(subset, F.least(F.size(x), F.size(y)) / F.greatest(F.size(x), F.size(y))).otherwise(F.lit(0.0))
+def words_contained(a: Column, b: Column) -> Column:
+    """Whether one name's words are all among the other's."""
+    x, y = F.split(a, "_"), F.split(b, "_")
+    return (F.size(F.array_except(x, y)) == 0) | (F.size(F.array_except(y, x)) == 0)
 
 
-def match_names(names: DataFrame, catalog: DataFrame, block: str, name: str, key: str, aliases: DataFrame | None = None, suffix: str = "(_de|_del|_la|_los)?_[a-z]+$", by_ratio: bool = True) -> DataFrame:
-    """For each distinct (block, name): key, score, stage. names and catalog hold slugs; aliases: block, name, key."""
+def match_names(names: DataFrame, catalog: DataFrame, block: str, name: str, key: str, aliases: DataFrame | None = None, suffixes: tuple[str, ...] = SUFFIXES, by_ratio: bool = True, least_ratio: float = LEAST_RATIO) -> DataFrame:
+    """For each distinct (block, name): key, score, stage. names and catalog hold slugs; aliases: block, name, key.
+
+    Names whose words contain the catalog's, or the reverse, and names that are only alike are scored by their sequence ratio;
+    of equal scores the least catalog name is taken.
+    """
     todo = names.select(block, name).distinct()
     cat = catalog.groupBy(block, F.col(name).alias("_slug")).agg(F.min(key).alias(key))
 
@@ -55,8 +59,11 @@ def match_names(names: DataFrame, catalog: DataFrame, block: str, name: str, key
         return df.select(block, name, "_slug", key, score.cast("double").alias("score"), F.lit(label).alias("stage"), F.lit(number).alias("_order"))
 
     # stages that are plain equi-joins, in one pass
-    cut = todo.withColumn("_slug", F.regexp_replace(name, suffix, "")).filter(F.col("_slug") != F.col(name))
-    plain = stage(todo.withColumn("_slug", F.col(name)).join(cat, [block, "_slug"]), 0, "exact", F.lit(1.0)).unionByName(stage(cut.join(cat, [block, "_slug"]), 2, "suffix", F.lit(SUFFIX_SCORE)))
+    ends = F.array(*[F.when(F.endswith(name, F.lit(x)), F.struct(F.lit(i).alias("_i"), F.substring(name, F.lit(1), F.length(name) - len(x)).alias("_slug"))) for i, x in enumerate(suffixes)])
+    cut = todo.withColumn("_e", F.explode(F.array_compact(ends))).select(block, name, "_e.*")
+    plain = stage(todo.withColumn("_slug", F.col(name)).join(cat, [block, "_slug"]), 0, "exact", F.lit(1.0))
+    for i in range(len(suffixes)):
+        plain = plain.unionByName(stage(cut.filter(F.col("_i") == i).join(cat, [block, "_slug"]), 2, "suffix", F.lit(SUFFIX_SCORE)).withColumn("_order", F.lit(2) + F.lit(i)))
     if aliases is not None:
         plain = plain.unionByName(stage(todo.join(aliases.select(block, name, key), [block, name]).withColumn("_slug", F.col(name)), 1, "alias", F.lit(1.0)))
     found = best(plain)
@@ -64,12 +71,14 @@ def match_names(names: DataFrame, catalog: DataFrame, block: str, name: str, key
     # names that share a word with a catalog name: an equi-join on words, not on all pairs
     word = lambda df, c: df.withColumn("_w", F.explode(F.array_distinct(F.split(c, "_"))))
     pairs = word(rest, name).join(word(cat, "_slug"), [block, "_w"]).drop("_w").distinct()
-    by_words = best(stage(pairs, 3, "words", words_shared(F.col(name), F.col("_slug"))).filter(F.col("score") >= LEAST_WORDS))
+    contained = similarity(pairs.filter(words_contained(F.col(name), F.col("_slug"))), name, "_slug")
+    by_words = best(stage(contained, 10, "words", F.col("ratio")).filter(F.col("score") >= LEAST_WORDS))
     done = found.unionByName(by_words)
     if by_ratio:
         last = rest.join(by_words.select(block, name), [block, name], "left_anti")
-        near = last.join(cat, block).filter(F.abs(F.length(name) - F.length("_slug")) <= F.greatest(F.length(name), F.length("_slug")) * 0.3)
-        done = done.unionByName(best(stage(similarity(near, name, "_slug").filter(F.col("ratio") >= LEAST_RATIO), 4, "ratio", F.col("ratio"))))
+        # twice the shorter length over both is the most that a ratio can be
+        near = last.join(cat, block).filter(2 * F.least(F.length(name), F.length("_slug")) >= least_ratio * (F.length(name) + F.length("_slug")))
+        done = done.unionByName(best(stage(similarity(near, name, "_slug").filter(F.col("ratio") >= least_ratio), 11, "ratio", F.col("ratio"))))
     return todo.join(done, [block, name], "left").select(block, name, key, F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("stage", F.lit("none")).alias("stage"))
 
 
@@ -78,5 +87,12 @@ def with_floor(matches: DataFrame, key: str, floor: float = 0.85) -> DataFrame:
     return matches.withColumn(key, F.when(F.col("score") >= floor, F.col(key)))
 
 
+def hints(names: DataFrame, catalog: DataFrame, block: str, name: str, key: str, cell: list[str], aliases: DataFrame | None = None) -> DataFrame:
+    """Names of unknown identity as hints for cells (key, and the columns ``cell`` of names): the best name of each, its score and verdict."""
+    found = match_names(names, catalog, block, name, key, aliases, least_ratio=LEAST_HINT).filter(F.col(key).isNotNull() & (F.col("score") >= LEAST_HINT))
+    best = names.join(found, [block, name]).groupBy(block, key, *cell).agg(F.max_by(F.struct(name, "score"), F.struct("score", name)).alias("_m"))
+    return best.select(block, key, *cell, f"_m.{name}", F.col("_m.score").alias("score"), verdict(F.col("_m.score")).alias("verdict"))
+
+
 def verdict(score: Column) -> Column:
     return F.when(score >= 0.85, "match").when(score >= 0.60, "hint").otherwise("none")

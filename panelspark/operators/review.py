@@ -32,6 +32,19 @@ def consolidate(detections: DataFrame, keys: list[str], detector: str = "detecto
     )
 
 
+def queue_rows(detections: DataFrame, keys: list[str], arrival: str, detector: str = "detector", severity: str = "severity", signal: str = "signal") -> DataFrame:
+    """One queue row for each key, by seriousness, then arrival: detectors once each joined by ",", every signal after its detector's name joined by " | "."""
+    row = F.struct(severity_rank(F.col(severity)).alias("r"), F.col(arrival).alias("a"), F.col(detector).alias("d"), F.coalesce(signal, F.lit("")).alias("s"), F.col(severity).alias("v"))
+    x = detections.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("_d"))
+    return x.select(
+        *keys,
+        short_id(*[F.col(k).cast("string") for k in keys]).alias("id"),
+        F.get("_d", F.lit(0))["v"].alias("severity"),
+        F.array_join(F.array_distinct(F.transform("_d", lambda d: d["d"])), ",").alias("detectors"),
+        F.array_join(F.transform("_d", lambda d: F.concat(d["d"], F.lit(": "), d["s"])), " | ").alias("signals"),
+    )
+
+
 def latest_decisions(log: DataFrame, key: str, time: str, position: str) -> DataFrame:
     """The last decision of each id; of equal times the later row. A map-side maximum."""
     rest = [c for c in log.columns if c != key]

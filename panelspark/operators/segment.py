@@ -92,12 +92,23 @@ def carried(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
     return df.withColumn(f"{value}_carried", F.last(value, ignorenulls=True).over(w))
 
 
+def accepted_count(positions: Column, distance: int) -> Column:
+    """How many ``accepted_apart`` accepts; the fold holds the last one and a count only."""
+    start = F.struct(F.lit(None).cast("long").alias("last"), F.lit(0).cast("long").alias("n"))
+
+    def step(acc: Column, p: Column) -> Column:
+        far = acc["last"].isNull() | (p.cast("long") - acc["last"] > distance)
+        return F.struct(F.when(far, p.cast("long")).otherwise(acc["last"]).alias("last"), F.when(far, acc["n"] + 1).otherwise(acc["n"]).alias("n"))
+
+    return F.aggregate(positions, start, step, lambda acc: acc["n"])
+
+
 def accepted_apart(positions: Column, distance: int) -> Column:
     """Of ascending positions, those farther than ``distance`` from the last one accepted: a fold, since refusals don't count."""
     return F.aggregate(
         positions,
-        F.array().cast("array<int>"),
-        lambda acc, p: F.when((F.size(acc) == 0) | (p.cast("int") - F.element_at(acc, -1) > distance), F.concat(acc, F.array(p.cast("int")))).otherwise(acc),
+        F.array().cast("array<long>"),
+        lambda acc, p: F.when((F.size(acc) == 0) | (p.cast("long") - F.element_at(acc, -1) > distance), F.concat(acc, F.array(p.cast("long")))).otherwise(acc),
     )
 
 

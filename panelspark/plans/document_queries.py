@@ -201,7 +201,7 @@ f AS (SELECT entity, day, detector, min(r) AS r FROM d GROUP BY 1, 2, 3), n AS (
 SELECT entity, day, substr(sha1(entity || '|' || day), 1, 12) AS id, arg_min(severity, r) AS severity, any_value(detectors) AS detectors, string_agg(signal, ' | ' ORDER BY r, detector, signal) AS signals, count(*)::BIGINT AS n_detections FROM d JOIN n USING (entity, day) GROUP BY 1, 2
 """)
 def consolidate_queue(spark: SparkSession, sf: str) -> DataFrame:
-    """AGG13, HIL01, SRT03."""
+    """AGG13, SRT03: detectors and signals of a cell as distinct lists."""
     return review.consolidate(_detections(spark, sf), ["entity", "day"])
 
 
@@ -414,7 +414,7 @@ def _classified(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_CLASSED} SELECT l_orderkey, declared, scheme, scheme = declared AS valid, concat_ws('; ', CASE WHEN broken THEN 'rangos_discontinuos' END, CASE WHEN zero THEN 'tasas_cero' END) AS problems FROM done")
 def variant_reclassify(spark: SparkSession, sf: str) -> DataFrame:
-    """NST01-NST05, UDX06: the declared variant if it holds, else the first that does, else the escape hatch."""
+    """NST02, NST03, NST04, UDX06: the declared variant if it holds, else the first that does, else the escape hatch."""
     return _classified(spark, sf).select("l_orderkey", "declared", "scheme", "valid", "problems")
 
 
@@ -423,7 +423,7 @@ SELECT l_orderkey, 'otro_no_clasificado' AS detector, 'SEV1' AS severity, '' AS
 UNION ALL SELECT l_orderkey, 'rangos_no_monotonos', 'SEV2', drop_at::VARCHAR FROM tops WHERE drop_at IS NOT NULL
 UNION ALL SELECT l_orderkey, 'progresivo_tasa_cero', 'SEV1', size::VARCHAR FROM done WHERE scheme = 'progresivo' AND zero""")
 def document_detectors(spark: SparkSession, sf: str) -> DataFrame:
-    """DET05-DET13, DET21, UDX03: a registry of rules over each document, in one pass."""
+    """DET06, DET07, DET08, DET10, UDX03: a registry of rules over each document's table, in one pass."""
     return documents.detect(_classified(spark, sf), ["l_orderkey"], documents.table_detectors())
 
 
@@ -450,7 +450,7 @@ SELECT 'tasa_cero' AS detector, count(*)::BIGINT AS denominator, count(*) FILTER
 UNION ALL SELECT 'devuelto_alto', count(*) FILTER (WHERE l_returnflag = 'R'), count(*) FILTER (WHERE l_returnflag = 'R' AND l_quantity > 40), round(100.0 * count(*) FILTER (WHERE l_returnflag = 'R' AND l_quantity > 40) / count(*) FILTER (WHERE l_returnflag = 'R'), 4) FROM p
 """)
 def detector_prevalence(spark: SparkSession, sf: str) -> DataFrame:
-    """AGG19, DET15-DET17: each detector against the rows to which it applies."""
+    """AGG19: each detector against the rows to which it applies."""
     return aggregates.prevalence(table(spark, sf, "lineitem"), {"tasa_cero": (F.lit(True), F.col("l_tax") == 0), "devuelto_alto": (F.col("l_returnflag") == "R", F.col("l_quantity") > 40)})
 
 
@@ -483,15 +483,79 @@ def line_offsets(spark: SparkSession, sf: str) -> DataFrame:
 def accepted_hits_apart(spark: SparkSession, sf: str) -> DataFrame:
     """WIN18: hits of a user more than 25 apart from the last accepted one (a fold: refused hits don't count)."""
     e = table(spark, sf, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.col("event_id"))).alias("p"))
-    return e.select("user_id", F.size(segment.accepted_apart(F.col("p"), 25)).cast("long").alias("accepted"))
+    return e.select("user_id", segment.accepted_count(F.col("p"), 25).alias("accepted"))
+
+
+def _raw_names(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Names of parts inside their brands, written in six ways; the catalog; aliases."""
+    p = table(spark, sf, "part").select(F.col("p_brand").alias("block"), text.slugify(F.col("p_name")).alias("slug"), F.col("p_partkey").alias("key"), "p_size")
+    way = F.col("key") % 6
+    written = F.when(way == 0, F.col("slug")).when(way == 1, F.concat("slug", F.lit("_del"))).when(way == 2, F.concat(F.lit("otra_"), F.col("p_size").cast("string"))).when(way == 3, F.concat("slug", F.lit("_norte"))).when(way == 4, F.concat(F.lit("x"), F.substring("slug", 2, 100))).otherwise(F.concat(F.lit("zz"), F.col("key").cast("string")))
+    aliases = p.filter(way == 2).groupBy("block", F.concat(F.lit("otra_"), F.col("p_size").cast("string")).alias("name")).agg(F.min("key").alias("key"))
+    return p.select("block", written.alias("name"), (F.col("p_size") % 3).cast("long").alias("year")), p.select("block", F.col("slug").alias("name"), "key"), aliases
 
 
 @query()
 def fuzzy_cascade(spark: SparkSession, sf: str) -> DataFrame:
-    """FZY01-FZY07, JON19, SET05: names resolved to a catalog in stages."""
-    c = table(spark, sf, "part").select(F.col("p_brand").alias("block"), text.slugify(F.col("p_name")).alias("name"), F.col("p_partkey").alias("key"))
-    cat = c.withColumn("name", F.regexp_replace("name", "_[^_]*$", ""))
-    return identity.with_floor(identity.match_names(c.select("block", "name"), cat, "block", "name", "key"), "key").select("block", "name", "key", "score", "stage")
+    """FZY01, FZY02, FZY03, FZY04, FZY07, JON19, SET05: names resolved to a catalog in stages."""
+    names, catalog, aliases = _raw_names(spark, sf)
+    return identity.with_floor(identity.match_names(names, catalog, "block", "name", "key", aliases), "key").select("block", "name", "key", "score", "stage")
+
+
+@query()
+def name_hints(spark: SparkSession, sf: str) -> DataFrame:
+    """FZY05, FZY06: the best name for each cell of a catalog entry and year at a low threshold, with its verdict."""
+    names, catalog, aliases = _raw_names(spark, sf)
+    return identity.hints(names, catalog, "block", "name", "key", ["year"], aliases)
+
+
+_PASSING = r"\b(transitor|abrog|salario\s*m[ií]nim|d[ií]as?\s+de\s+salario|vsm\b|vigencia|publicaci[oó]n\s+oficial)"
+
+
+@query(rf"""
+WITH l AS (SELECT l_orderkey, l_orderkey % 7 AS k, l_discount AS rate, l_extendedprice AS fixed, CASE WHEN l_quantity > 25 THEN l_quantity + 1 END AS upper,
+    CASE l_returnflag WHEN 'R' THEN 'porcentaje' WHEN 'A' THEN 'al_millar' ELSE 'fraccion' END AS unit, l_linestatus AS st, l_quantity > 45 AS two,
+    CASE WHEN l_tax = 0.08 THEN 'Monto por Vigencia' WHEN l_tax = 0 THEN 'Cuota mínima' ELSE 'Predio' END AS descr,
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_extendedprice, l_discount) AS i, count(*) OVER (PARTITION BY l_orderkey) AS size FROM lineitem),
+d AS (SELECT l_orderkey, any_value(k) AS k, bool_and(NOT two) AND count(DISTINCT st) = 1 AND bool_and(st = 'F') AS single, max(rate) FILTER (WHERE rate <> 0) AS top,
+    any_value(upper) FILTER (WHERE i = size) AS last_upper, any_value(rate) FILTER (WHERE i = 1) AS rate1, any_value(unit) FILTER (WHERE i = 1) AS unit1, any_value(descr) FILTER (WHERE i = 1) AS descr1,
+    arg_min(lower(regexp_extract(descr, '{_PASSING}', 1, 'i')), i) FILTER (WHERE regexp_extract(descr, '{_PASSING}', 1, 'i') <> '') AS passing FROM l GROUP BY 1)
+SELECT l_orderkey, 'mixto_monocolumna_cuotafija' AS detector, 'SEV1' AS severity, 'F' AS signal FROM d WHERE k = 0 AND single
+UNION ALL SELECT l_orderkey, 'remite_a_ley_externa', 'SEV3', '' FROM d WHERE k = 1 AND l_orderkey % 3 = 0
+UNION ALL SELECT l_orderkey, 'otro_no_clasificado', 'SEV1', CASE l_orderkey % 3 WHEN 1 THEN 'otra' ELSE '?' END FROM d WHERE k = 1 AND l_orderkey % 3 <> 0
+UNION ALL SELECT l_orderkey, 'bracket_superior_cerrado', 'SEV2', last_upper::BIGINT::VARCHAR FROM d WHERE k = 4 AND last_upper IS NOT NULL
+UNION ALL SELECT l_orderkey, 'tarifa_millar_factor', 'SEV2', printf('%.2f', top) FROM d WHERE k = 3 AND top < 0.5
+UNION ALL SELECT l_orderkey, 'tasa_unica_unidad_factor', 'SEV2', unit1 FROM d WHERE k = 2 AND (unit1 = 'porcentaje' AND rate1 < 0.05 OR unit1 = 'al_millar' AND rate1 < 0.5)
+UNION ALL SELECT l_orderkey, 'desc_transitorios', 'SEV1', passing FROM d WHERE passing IS NOT NULL
+UNION ALL SELECT l_orderkey, 'cuota_es_minimo', 'QA', concat_ws(';', CASE WHEN strip_accents(lower(descr1)) LIKE '%minim%' THEN 'desc=minim*' END, CASE WHEN l_orderkey % 2 = 0 THEN 'monto==minimo_predial' END) FROM d WHERE k = 5 AND (descr1 = 'Cuota mínima' OR l_orderkey % 2 = 0)
+UNION ALL SELECT l_orderkey, 'legacy_cuota_fija', 'QA', 'literal' FROM d WHERE k = 5
+UNION ALL SELECT l_orderkey, 'legacy_desconocido', 'QA', 'desconocido' FROM d WHERE k = 6
+""")
+def scheme_detectors(spark: SparkSession, sf: str) -> DataFrame:
+    """DET05, DET07, DET09, DET11, DET12, DET13, DET15, DET16: rules on one scheme each, over documents that fire them."""
+    column = F.struct(F.col("l_linestatus").alias("name"), F.when(F.col("l_linestatus") == "F", "cuota_fija").otherwise("tasa").alias("kind"))
+    row = F.struct(
+        F.col("l_linenumber").alias("n"), F.col("l_quantity").alias("lower"), F.col("l_extendedprice").alias("fixed"), F.col("l_discount").alias("rate"), F.when(F.col("l_quantity") > 25, F.col("l_quantity") + 1).alias("upper"),
+        F.when(F.col("l_returnflag") == "R", "porcentaje").when(F.col("l_returnflag") == "A", "al_millar").otherwise("fraccion").alias("unit"),
+        F.when(F.col("l_tax") == 0.08, "Monto por Vigencia").when(F.col("l_tax") == 0, "Cuota mínima").otherwise("Predio").alias("description"),
+        F.when(F.col("l_quantity") > 45, F.array(column, column)).otherwise(F.array(column)).alias("columns"),
+    )
+    names = F.array(*[F.lit(x) for x in ("mixto", "otro_no_clasificado", "tasa_unica", "tarifa_millar", "progresivo", "cuota_fija", "desconocido")])
+    docs = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    key = F.col("l_orderkey")
+    docs = docs.withColumns({"scheme": F.get(names, (key % 7).cast("int")), "category": F.when(key % 3 == 0, "remite_a_ley_externa").when(key % 3 == 1, "otra"), "minimum": F.when(key % 2 == 0, F.get("rows", F.lit(0))["fixed"])})
+    return documents.detect(docs, ["l_orderkey"], documents.scheme_detectors())
+
+
+@query(f"""
+WITH d AS (SELECT user_id AS entity, day(ts)::BIGINT AS day, event_id, event_type AS detector, {_SEV} AS severity, {_RANK} AS r, coalesce(json_extract_string(props, '$.k'), '') AS signal FROM events),
+f AS (SELECT entity, day, detector, min(r) AS r, min(event_id) AS a FROM d GROUP BY 1, 2, 3), n AS (SELECT entity, day, string_agg(detector, ',' ORDER BY r, a) AS detectors FROM f GROUP BY 1, 2)
+SELECT entity, day, substr(sha1(entity || '|' || day), 1, 12) AS id, arg_min(severity, r) AS severity, any_value(detectors) AS detectors, string_agg(detector || ': ' || signal, ' | ' ORDER BY r, event_id) AS signals FROM d JOIN n USING (entity, day) GROUP BY 1, 2
+""")
+def queue_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    """HIL01: detections of a cell as one queue row, in order of seriousness and arrival."""
+    e = table(spark, sf, "events").withColumns({"entity": F.col("user_id"), "day": F.dayofmonth("ts").cast("long"), "severity": _priority_rank(F.col("event_type")), "signal": F.get_json_object("props", "$.k")})
+    return review.queue_rows(e, ["entity", "day"], "event_id", "event_type")
 
 
 @query("WITH {0}, x AS (SELECT entity, year, count(*) AS n, sum(monto) AS v FROM ord GROUP BY 1, 2) SELECT year, sum(n)::BIGINT AS requests, round(sum(v) * 0.000002, 4) AS cost FROM x GROUP BY year".format(OBS))

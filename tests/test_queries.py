@@ -62,3 +62,65 @@ def test_pages_of_very_long_texts(spark, tmp_path):
 @pytest.mark.parametrize("name", ["flattened_records_deduped", "rescue_predicate"])
 def test_groups_are_not_gathered_in_a_row(spark, sf, name):
     assert "collect_list" not in registry.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_names_against_brute_force(spark, sf):
+    """Every name by the stages one after another, against every catalog name of its block."""
+    from difflib import SequenceMatcher
+
+    from panelspark.operators import identity
+    from panelspark.plans.document_queries import _raw_names
+
+    names, catalog, aliases = (x.collect() for x in _raw_names(spark, sf))
+    cat, alias = {}, {(r.block, r.name): r.key for r in aliases}
+    for r in catalog:
+        cat.setdefault(r.block, {})
+        cat[r.block][r.name] = min(r.key, cat[r.block].get(r.name, r.key))
+
+    def match(block, name, least):
+        c = cat[block]
+        if name in c:
+            return c[name], 1.0, "exact"
+        if (block, name) in alias:
+            return alias[block, name], 1.0, "alias"
+        for x in identity.SUFFIXES:
+            if name.endswith(x) and name[: -len(x)] in c:
+                return c[name[: -len(x)]], 0.95, "suffix"
+        w = set(name.split("_"))
+        ratio = lambda s: (-SequenceMatcher(None, name, s).ratio(), s)
+        for stage, near, floor in (("words", [s for s in c if w <= set(s.split("_")) or set(s.split("_")) <= w], 0.5), ("ratio", list(c), least)):
+            score, slug = min(map(ratio, near), default=(0, None))
+            if -score >= floor:
+                return c[slug], -score, stage
+        return None, 0.0, "none"
+
+    got = {(r.block, r.name): (r.key, r.score, r.stage) for r in registry.queries()["fuzzy_cascade"](spark, sf).collect()}
+    want = {}
+    for r in names:
+        key, score, stage = match(r.block, r.name, 0.85)
+        want[r.block, r.name] = (key if score >= 0.85 else None, score, stage)
+    assert got == want and {x[2] for x in got.values()} == {"exact", "alias", "suffix", "words", "ratio", "none"}
+    best = {}
+    for r in names:
+        key, score, _ = match(r.block, r.name, 0.55)
+        if key is not None and score >= 0.55:
+            best[r.block, key, r.year] = max(best.get((r.block, key, r.year), (0, "")), (score, r.name))
+    hints = {(r.block, r.key, r.year): (r.score, r.name) for r in registry.queries()["name_hints"](spark, sf).collect()}
+    assert hints == best
+
+
+def test_hits_at_large_positions(spark):
+    from pyspark.sql import functions as F
+
+    from panelspark.operators import segment
+
+    p = F.array(*[F.lit(2**31 + x).cast("long") for x in (0, 10, 26, 60)])
+    got = spark.range(1).select(segment.accepted_apart(p, 25).alias("a"), segment.accepted_count(p, 25).alias("n")).first()
+    assert [x - 2**31 for x in got.a] == [0, 26, 60] and got.n == 3
+
+
+def test_every_scheme_detector_fires(spark, sf):
+    from panelspark.operators import documents
+
+    fired = {r.detector for r in registry.queries()["scheme_detectors"](spark, sf).select("detector").distinct().collect()}
+    assert fired == {d.name for d in documents.scheme_detectors()}
