@@ -55,30 +55,29 @@ def match_names(names: DataFrame, catalog: DataFrame, block: str, name: str, key
         order = F.struct("_order", -F.col("score"), F.col("_slug"))
         return found.groupBy(block, name).agg(F.min_by(F.struct(key, "score", "stage"), order).alias("_m")).select(block, name, "_m.*")
 
-    def stage(df: DataFrame, number: int, label: str, score) -> DataFrame:
-        return df.select(block, name, "_slug", key, score.cast("double").alias("score"), F.lit(label).alias("stage"), F.lit(number).alias("_order"))
+    def stage(df: DataFrame, number: Column, label: str, score: Column) -> DataFrame:
+        return df.select(block, name, "_slug", key, score.cast("double").alias("score"), F.lit(label).alias("stage"), number.alias("_order"))
 
     # stages that are plain equi-joins, in one pass
     ends = F.array(*[F.when(F.endswith(name, F.lit(x)), F.struct(F.lit(i).alias("_i"), F.substring(name, F.lit(1), F.length(name) - len(x)).alias("_slug"))) for i, x in enumerate(suffixes)])
     cut = todo.withColumn("_e", F.explode(F.array_compact(ends))).select(block, name, "_e.*")
-    plain = stage(todo.withColumn("_slug", F.col(name)).join(cat, [block, "_slug"]), 0, "exact", F.lit(1.0))
-    for i in range(len(suffixes)):
-        plain = plain.unionByName(stage(cut.filter(F.col("_i") == i).join(cat, [block, "_slug"]), 2, "suffix", F.lit(SUFFIX_SCORE)).withColumn("_order", F.lit(2) + F.lit(i)))
+    plain = stage(todo.withColumn("_slug", F.col(name)).join(cat, [block, "_slug"]), F.lit(0), "exact", F.lit(1.0))
+    plain = plain.unionByName(stage(cut.join(cat, [block, "_slug"]), F.lit(2) + F.col("_i"), "suffix", F.lit(SUFFIX_SCORE)))
     if aliases is not None:
-        plain = plain.unionByName(stage(todo.join(aliases.select(block, name, key), [block, name]).withColumn("_slug", F.col(name)), 1, "alias", F.lit(1.0)))
+        plain = plain.unionByName(stage(todo.join(aliases.select(block, name, key), [block, name]).withColumn("_slug", F.col(name)), F.lit(1), "alias", F.lit(1.0)))
     found = best(plain)
     rest = todo.join(found.select(block, name), [block, name], "left_anti")
     # names that share a word with a catalog name: an equi-join on words, not on all pairs
     word = lambda df, c: df.withColumn("_w", F.explode(F.array_distinct(F.split(c, "_"))))
     pairs = word(rest, name).join(word(cat, "_slug"), [block, "_w"]).drop("_w").distinct()
     contained = similarity(pairs.filter(words_contained(F.col(name), F.col("_slug"))), name, "_slug")
-    by_words = best(stage(contained, 10, "words", F.col("ratio")).filter(F.col("score") >= LEAST_WORDS))
+    by_words = best(stage(contained, F.lit(10), "words", F.col("ratio")).filter(F.col("score") >= LEAST_WORDS))
     done = found.unionByName(by_words)
     if by_ratio:
         last = rest.join(by_words.select(block, name), [block, name], "left_anti")
         # twice the shorter length over both is the most that a ratio can be
         near = last.join(cat, block).filter(2 * F.least(F.length(name), F.length("_slug")) >= least_ratio * (F.length(name) + F.length("_slug")))
-        done = done.unionByName(best(stage(similarity(near, name, "_slug").filter(F.col("ratio") >= least_ratio), 11, "ratio", F.col("ratio"))))
+        done = done.unionByName(best(stage(similarity(near, name, "_slug").filter(F.col("ratio") >= least_ratio), F.lit(11), "ratio", F.col("ratio"))))
     return todo.join(done, [block, name], "left").select(block, name, key, F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("stage", F.lit("none")).alias("stage"))
 
 
