@@ -30,7 +30,9 @@ from .arrowtext import NOT_SPACE, buffers, hashes, mix, slices, words
 from .shared import checked, hash_share
 
 TRAIN_DOCS = 3000
-BUCKETS, DIMENSIONS, EPOCHS, RATE, STEP = 1 << 18, 8, 6, 0.5, 20
+BUCKETS, DIMENSIONS, RATE, STEP = 1 << 18, 8, 0.5, 20
+#: Steps of gradient descent, one document each, whatever the size of the sample.
+STEPS = 16_000
 #: Lengths of character n-grams, in bytes.
 GRAMS = (2, 3, 4)
 #: Bytes whose n-grams are made at a time.
@@ -100,28 +102,26 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> tuple[np.ndarr
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     layer, offset = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
-    steps, done = EPOCHS * len(bags), 0
     # classes weigh alike in the loss; their share comes back with the bias below
     share = np.bincount(labels, minlength=2) / len(labels)
     weight = 0.5 / share
-    for _ in range(EPOCHS):
-        for i in rng.permutation(len(bags)):
-            ids, part = bags[i]
-            rate = RATE * (1 - done / steps)
-            done += 1
-            if not len(ids):
-                continue
-            hidden = part @ vectors[ids]
-            logit = hidden @ layer + offset
-            p = np.exp(logit - logit.max())
-            p /= p.sum()
-            p[labels[i]] -= 1
-            p *= weight[labels[i]]
-            back = layer @ p
-            layer -= rate * np.outer(hidden, p)
-            offset -= rate * 0.1 * p
-            # a rare feature is a small part of few documents, so its vector takes long steps; a frequent one doesn't need them
-            vectors[ids] -= (rate * np.minimum(STEP * part, 0.1))[:, None] * back[None, :]
+    order = np.concatenate([rng.permutation(len(bags)) for _ in range(-(-STEPS // len(bags)))])[:STEPS]
+    for done, i in enumerate(order):
+        ids, part = bags[i]
+        rate = RATE * (1 - done / STEPS)
+        if not len(ids):
+            continue
+        hidden = part @ vectors[ids]
+        logit = hidden @ layer + offset
+        p = np.exp(logit - logit.max())
+        p /= p.sum()
+        p[labels[i]] -= 1
+        p *= weight[labels[i]]
+        back = layer @ p
+        layer -= rate * np.outer(hidden, p)
+        offset -= rate * 0.1 * p
+        # a rare feature is a small part of few documents, so its vector takes long steps; a frequent one doesn't need them
+        vectors[ids] -= (rate * np.minimum(STEP * part, 0.1))[:, None] * back[None, :]
     worth = vectors @ (layer[:, 1] - layer[:, 0])
     return worth.astype(np.float32), float(offset[1] - offset[0] + np.log(share[1] / share[0]))
 
