@@ -80,6 +80,13 @@ def split_names(c: Column, least: int = 3, stop: tuple[str, ...] = ()) -> Column
     return F.filter(parts, lambda x: (F.length(x) >= least) & ~F.lower(x).isin(*(stop or ("",))))
 
 
+def canonical_term(c: Column, fixes: dict[str, str]) -> Column:
+    """The first term of a comma list, in lower case without a last dot; listed misspellings become the right term."""
+    first = F.trim(F.split_part(F.rtrim(F.trim(F.lower(c)), F.lit(".")), F.lit(","), F.lit(1)))
+    known = F.create_map(*[F.lit(x) for pair in fixes.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, first), first)
+
+
 def page_range(c: Column) -> Column:
     """"1,3-5" as [1, 3, 4, 5]; what isn't a number or a range is left out."""
     parts = F.filter(F.transform(F.split(c, ","), lambda x: F.trim(x)), lambda x: x.rlike("^\\d+(-\\d+)?$"))

@@ -162,6 +162,18 @@ def deep_values(document: DataFrame, keys: list[str], json: str) -> DataFrame:
     return out
 
 
+def deep_differences(pairs: DataFrame, keys: list[str], before: str, after: str) -> DataFrame:
+    """Values added, removed or changed at any depth between two JSON texts of a row: keys, path, before, after, what.
+
+    Both texts are unfolded together and meet in one aggregate by key and path; a JSON null is no value.
+    """
+    sides = F.explode(F.array(F.struct(F.lit(0).alias("_side"), F.col(before).alias("_json")), F.struct(F.lit(1).alias("_side"), F.col(after).alias("_json")))).alias("_x")
+    values = deep_values(pairs.select(*keys, sides).select(*keys, "_x._side", "_x._json"), [*keys, "_side"], "_json")
+    both = values.groupBy(*keys, "path").agg(F.max(F.when(F.col("_side") == 0, F.col("value"))).alias("before"), F.max(F.when(F.col("_side") == 1, F.col("value"))).alias("after"))
+    what = F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "removed").otherwise("changed")
+    return both.filter(~F.col("before").eqNullSafe(F.col("after"))).withColumn("what", what)
+
+
 def rescue_needed(variants: Column, scheme: str, description: str, phrases: str) -> Column:
     """Whether any variant is the escape hatch and its description lacks the phrases that explain it."""
     return F.exists(variants, lambda v: (v[scheme] == "otro_no_clasificado") & ~F.lower(F.coalesce(v[description], F.lit(""))).rlike(phrases))

@@ -94,3 +94,29 @@ def overrides(decided: DataFrame, documents: DataFrame, key: str, new: str, old:
     """Types that a decision sets and the document doesn't have yet, traced: key, field, before, after."""
     x = decided.select(key, F.col(new).alias("after")).join(documents.select(key, F.coalesce(F.col(old), F.lit("")).alias("before")), key)
     return x.filter("before <> after").select(key, F.lit(old).alias("field"), "before", "after")
+
+
+def run(detections: DataFrame, log: DataFrame, keys: list[str], arrival: str, time: str, position: str) -> DataFrame:
+    """A whole run: detections to queue rows, the log's last decisions (id, decision, notes) laid over them, in order of seriousness and keys.
+
+    The queue is made anew from the detections, so a decision whose case is gone stays in the log only.
+    """
+    queue = queue_rows(detections, keys, arrival).withColumns({"decision": F.lit(""), "notes": F.lit("")})
+    return ranked(overlay(queue, latest_decisions(log, "id", time, position), "id", ["decision", "notes"]), then=tuple(keys))
+
+
+def runs_compared(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """Two runs' summaries (keys, scheme, n) side by side: new, lost, another scheme, another number of rows, or the same."""
+    a = before.select(*keys, F.col("scheme").alias("_s0"), F.col("n").alias("before_n"))
+    b = after.select(*keys, F.col("scheme").alias("_s1"), F.col("n").alias("after_n"))
+    outcome = F.when(F.col("before_n").isNull(), "new").when(F.col("after_n").isNull(), "lost").when(~F.col("_s0").eqNullSafe(F.col("_s1")), "scheme").when(F.col("before_n") != F.col("after_n"), "rows").otherwise("same")
+    shown = lambda c: F.coalesce(F.col(c), F.lit("—"))
+    return a.join(b, keys, "full").select(*keys, shown("_s0").alias("before_scheme"), shown("_s1").alias("after_scheme"), "before_n", "after_n", (F.col("after_n") - F.col("before_n")).alias("delta_n"), outcome.alias("outcome"))
+
+
+def patched(index: DataFrame, patch: DataFrame, key: str, where: Column, columns: list[str], status: str, label: str) -> DataFrame:
+    """An index whose rows inside ``where`` take their columns from a patch (one row for each key) that has their key."""
+    found = patch.select(key, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_{c}") for c in columns])
+    hit = where & F.coalesce(F.col("_hit"), F.lit(False))
+    x = index.join(found, key, "left").withColumns({c: F.when(hit, F.coalesce(F.col(f"_{c}"), F.col(c))).otherwise(F.col(c)) for c in columns} | {status: F.when(hit, label).otherwise(F.col(status))})
+    return x.select(*index.columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -80,6 +81,21 @@ def lines(df: DataFrame, key: str, text: str) -> DataFrame:
     return x.withColumn("offset", F.coalesce(F.sum(F.length("line") + 1).over(w), F.lit(0)))
 
 
+def entities(df: DataFrame, key: str, text: str, patterns: list[tuple[str, str]], excluded: list[str], before: int) -> DataFrame:
+    """Names that any of the patterns finds (as its group 1), each once for a key whatever its case: key, entity, pattern, ordinal.
+
+    Patterns come in order of priority, and the first find of the first pattern stays. Where an excluded word stands whole
+    among the ``before`` characters in front, a pattern doesn't match.
+    """
+    guard = "|".join(f"{re.escape(w)}[\\s\\S]{{0,{before - len(w)}}}" for w in excluded if len(w) <= before)
+    guard = f"(?<!{guard})" if guard else ""
+    found = F.array(*[F.regexp_extract_all(F.col(text), F.lit(f"(?m){guard}(?:{p})"), F.lit(1)) for _, p in patterns])
+    x = df.select(key, F.posexplode(found).alias("p", "_names")).select(key, "p", F.posexplode("_names").alias("ordinal", "entity")).filter("entity <> ''")
+    first = x.groupBy(key, F.lower("entity").alias("_e")).agg(F.min_by(F.struct("entity", "p", "ordinal"), F.struct("p", "ordinal")).alias("f"))
+    names = F.array(*[F.lit(n) for n, _ in patterns])
+    return first.select(key, "f.entity", F.get(names, F.col("f.p")).alias("pattern"), F.col("f.ordinal").alias("ordinal"))
+
+
 def closed_intervals(hits: DataFrame, key: str, start: str, end_of: Column) -> DataFrame:
     """Each hit ends where the next begins; the last where the text ends."""
     w = Window.partitionBy(key).orderBy(start)

@@ -388,7 +388,7 @@ WITH n AS (SELECT user_id, event_id, json_extract_string(props, '$.k') AS k, lag
 SELECT event_id, 'k' AS path, p AS old, k AS new, CASE WHEN p IS NULL THEN 'added' WHEN k IS NULL THEN 'removed' ELSE 'changed' END AS what FROM n WHERE i > 1 AND p IS DISTINCT FROM k
 """)
 def json_diff_paths(spark: SparkSession, sf: str) -> DataFrame:
-    """NST09: differing paths of an id's consecutive documents."""
+    """Differing keys of an id's consecutive documents of one level (any depth: json_deep_diff)."""
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     e = table(spark, sf, "events").select("event_id", F.from_json("props", "map<string,string>").alias("m"), F.lag(F.from_json("props", "map<string,string>")).over(w).alias("p"), F.row_number().over(w).alias("i")).filter("i > 1")
     paths = F.array_union(F.coalesce(F.map_keys("p"), F.array().cast("array<string>")), F.coalesce(F.map_keys("m"), F.array().cast("array<string>")))
@@ -414,7 +414,7 @@ def _classified(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_CLASSED} SELECT l_orderkey, declared, scheme, scheme = declared AS valid, concat_ws('; ', CASE WHEN broken THEN 'rangos_discontinuos' END, CASE WHEN zero THEN 'tasas_cero' END) AS problems FROM done")
 def variant_reclassify(spark: SparkSession, sf: str) -> DataFrame:
-    """NST02, NST03, NST04, UDX06: the declared variant if it holds, else the first that does, else the escape hatch."""
+    """NST04, UDX06: the declared variant if it holds, else the first that does, else the escape hatch."""
     return _classified(spark, sf).select("l_orderkey", "declared", "scheme", "valid", "problems")
 
 

@@ -124,3 +124,44 @@ def test_every_scheme_detector_fires(spark, sf):
 
     fired = {r.detector for r in registry.queries()["scheme_detectors"](spark, sf).select("detector").distinct().collect()}
     assert fired == {d.name for d in documents.scheme_detectors()}
+
+
+def test_every_variant_and_every_fault_occurs(spark):
+    from panelspark.operators import variants
+    from panelspark.plans.variant_queries import second_form_documents
+
+    rows = second_form_documents(spark, "/root/testdata/sf0.01").select("scheme", "faults", "category").distinct().collect()
+    assert {r.scheme for r in rows} == {*variants.VARIANTS, variants.OTHER}
+    faults = {part.split(": ")[1] for r in rows if r.faults for part in r.faults.split("; ")}
+    assert faults == {"few_rows", "not_one_row", "no_value", "unit", "no_rate", "no_comment", "descending", "brackets"}
+    assert {r.category for r in rows} == {None, "estructura_no_estandar", "segmento_vacio"}
+
+
+def test_second_form_of_empty_documents(spark):
+    from panelspark.operators import variants
+
+    bracket = "array<struct<n:string,lower:string,upper:string,fixed:string,rate:string>>"
+    schema = f"declared string, comment string, millar array<struct<label:string,rate:string>>, progresiva {bracket}, unica array<struct<label:string,rate:string,unit:string>>, fija array<struct<label:string,amount:string>>, mixta array<struct<n:string,lower:string,upper:string,columns:map<string,string>>>"
+    docs = [(None, None, None, None, None, None, None), ("mixto", "x", [], [], [], [], []), ("progresivo", None, [], [("I-1", "$0.00", "1,000", "$5", "0"), ("I-2", "1,000.01", "En adelante", None, "2.5")], [], [], [])]
+    got = variants.second_form(spark.createDataFrame(docs, schema)).collect()
+    assert [(r.scheme, r.category) for r in got] == [("otro_no_clasificado", "segmento_vacio")] * 2 + [("progresivo", None)]
+    assert [(r.n, r.lower, r.upper, r.fixed, r.rate) for r in got[2]["rows"]] == [(1, 0.0, 1000.0, 5.0, 0.0), (2, 1000.0, None, 0.0, 2.5)]
+
+
+def test_entities_against_brute_force(spark, sf):
+    import re
+
+    from panelspark.plans.variant_queries import ENTITIES, RULED_OUT
+
+    got = {(r.doc_id, r.entity.lower()): (r.entity, r.pattern, r.ordinal) for r in registry.queries()["entities_by_patterns"](spark, sf).collect()}
+    want = {}
+    for d in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        for name, pattern in ENTITIES:
+            at, n, rule = 0, 0, re.compile(pattern, re.MULTILINE | re.ASCII)
+            while m := rule.search(d.text or "", at):
+                if any(w in d.text[max(0, m.start() - 40) : m.start()] for w in RULED_OUT):
+                    at = m.start() + 1
+                    continue
+                want.setdefault((d.doc_id, m[1].lower()), (m[1], name, n))
+                at, n = m.end(), n + 1
+    assert got == want
