@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Latin letters with marks and what they are without; fixed values.
-ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyyy"[: len(ACCENTED)]
+
+
+def _decomposed(last: int = 0x3000) -> dict[str, str]:
+    """Characters whose compatibility decomposition, without combining marks, is one other character."""
+    plain = {c: "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)) for c in map(chr, range(0xA0, last))}
+    return {c: d for c, d in plain.items() if len(d) == 1 and d != c}
+
+
+DECOMPOSED = _decomposed()
+#: Letters that decompose into nothing simpler and their usual Latin spelling; fixed values.
+SPELLED = {"Ø": "O", "ø": "o", "Ł": "L", "ł": "l", "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "Ħ": "H", "ħ": "h", "ı": "i", "ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Þ": "Th", "þ": "th"}
 #: Small words that stay in lower case inside a name; fixed values.
 CONNECTORS = ("de", "del", "la", "las", "los", "el", "y")
 #: Month names; fixed values.
@@ -15,12 +25,23 @@ MONTHS = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agost
 
 
 def without_accents(c: Column) -> Column:
-    return F.translate(c, ACCENTED, PLAIN)
+    """Characters decomposed and combining marks left out; ligatures and fractions, which decompose into several, stay."""
+    return F.regexp_replace(F.translate(c, "".join(DECOMPOSED), "".join(DECOMPOSED.values())), "[\u0300-\u036f]", "")
+
+
+def _in_latin(c: Column) -> Column:
+    """Without accents, and letters such as ø and ß spelled out; other scripts stay as they are."""
+    one = {k: v for k, v in SPELLED.items() if len(v) == 1}
+    out = F.translate(without_accents(c), "".join(one), "".join(one.values()))
+    for letter, spelled in SPELLED.items():
+        if len(spelled) > 1:
+            out = F.replace(out, F.lit(letter), F.lit(spelled))
+    return out
 
 
 def norm(c: Column) -> Column:
     """Upper case, no accents, no white space at the ends."""
-    return F.upper(F.trim(without_accents(c)))
+    return F.upper(F.trim(_in_latin(c)))
 
 
 def norm_light(c: Column) -> Column:

@@ -304,10 +304,10 @@ def slugify_names(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", text.slugify(F.col("p_name")).alias("slug"), text.slug_runs(F.concat("p_name", F.lit(" #"), "p_brand")).alias("slug2"))
 
 
-@query(r"""SELECT doc_id, lower(trim(translate(substr(text, 1, 60), 'ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy'))) AS head, floor(length(text) / 4)::BIGINT AS tokens FROM documents""")
+@query(r"""SELECT doc_id, trim(regexp_replace(lower(translate(text, 'ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy')), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS head, floor(length(text) / 4)::BIGINT AS tokens FROM documents""")
 def normalize_text(spark: SparkSession, sf: str) -> DataFrame:
-    """STR02, STR09, STR18: the head of each text without accents, a token estimate; ``normalize_whole_text`` has the rest of the text."""
-    return table(spark, sf, "documents").select("doc_id", F.trim(text.norm_light(F.substring("text", 1, 60))).alias("head"), text.token_estimate(F.col("text")).alias("tokens"))
+    """STR02, STR09, STR18: whole texts without accents and with single spaces, a token estimate."""
+    return table(spark, sf, "documents").select("doc_id", text.collapse_space(text.norm_light(F.col("text"))).alias("head"), text.token_estimate(F.col("text")).alias("tokens"))
 
 
 @query(r"""WITH x AS (SELECT doc_id, trim(translate(text, 'ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy')) AS plain FROM documents) SELECT doc_id, lower(plain) AS norm_light, upper(replace(plain, 'ß', 'SS')) AS norm FROM x""")

@@ -111,3 +111,16 @@ def test_keyed_diff(spark):
 def test_reclassified(spark):
     pick = lambda declared, a, b: spark.range(1).select(nested.reclassified(F.lit(declared), [("a", F.lit(a)), ("b", F.lit(b))]).alias("y")).first().y
     assert [pick("b", True, True), pick("b", True, False), pick("z", False, True), pick("a", False, False)] == ["b", "a", "b", "otro_no_clasificado"]
+
+
+@pytest.mark.parametrize("raw, want", [("Ōtomí Żacatecas", "OTOMI ZACATECAS"), ("Łódź Straße", "LODZ STRASSE"), ("e\u0301tude", "ETUDE"), (" 5ª Œuvre ", "5A OEUVRE"), ("Κρήτη", "ΚΡΗΤΗ")])
+def test_norm_of_any_latin_letter(spark, raw, want):
+    assert one(spark, text.norm, raw) == want
+
+
+@pytest.mark.parametrize("raw", ["Ōtomí Żacatecas", "Łódź Straße ø", "e\u0301tude ½x", "ǅungla ệ ắ", "Ά Й"])
+def test_norm_light_is_a_decomposition(spark, raw):
+    import unicodedata
+
+    plain = "".join(x for x in unicodedata.normalize("NFKD", raw.replace("½", "").replace("ǅ", "")) if not unicodedata.combining(x)).lower()
+    assert one(spark, text.norm_light, raw.replace("½", "").replace("ǅ", "")) == plain
