@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 @dataclass(frozen=True)
@@ -131,17 +133,27 @@ def accepted_apart(positions: Column, distance: int) -> Column:
 def packed(sizes: DataFrame, group: str, order: str, size: str, limit: int, most: int) -> DataFrame:
     """Batch numbers by next-fit: a batch closes when the next item would pass the limit or the number of items.
 
-    A sequential rule inside a group: items of a group are folded in order over a window of running state.
+    Where a batch begins depends on all before it in its group, so a group's items stream in order through one task, which
+    holds the open batch's size and number only.
     """
-    rows = sizes.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s")))).alias("_r"))
-    state = F.struct(F.lit(0).alias("batch"), F.lit(0).cast("long").alias("used"), F.lit(0).alias("n"), F.array().cast(f"array<struct<o:{sizes.schema[order].dataType.simpleString()},s:bigint,batch:int>>").alias("out"))
-
-    def step(acc: Column, r: Column) -> Column:
-        full = (acc["n"] > 0) & ((acc["used"] + r["s"] > limit) | (acc["n"] >= most))
-        batch = acc["batch"] + full.cast("int")
-        return F.struct(batch.alias("batch"), F.when(full, r["s"]).otherwise(acc["used"] + r["s"]).alias("used"), F.when(full, 1).otherwise(acc["n"] + 1).alias("n"), F.concat(acc["out"], F.array(F.struct(r["o"].alias("o"), r["s"].alias("s"), batch.alias("batch")))).alias("out"))
-
-    return rows.select(group, F.explode(F.aggregate("_r", state, step, lambda a: a["out"])).alias("_x")).select(group, F.col("_x.o").alias(order), F.col("_x.s").alias(size), F.col("_x.batch").cast("long").alias("batch"))
+    first = F.row_number().over(Window.partitionBy(group).orderBy(order)) == 1
+    x = sizes.select(group, order, F.col(size).cast("long").alias(size), first.alias("_first")).sortWithinPartitions(group, order)
+
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        batch = used = n = 0
+        for rows in batches:
+            out = []
+            for s, begins in zip(rows[size], rows["_first"]):
+                if begins:
+                    batch = used = n = 0
+                elif used + s > limit or n >= most:
+                    batch, used, n = batch + 1, 0, 0
+                used, n = used + s, n + 1
+                out.append(batch)
+            yield rows.drop(columns="_first").assign(batch=out)
+
+    schema = StructType([f for f in x.schema if f.name != "_first"] + [StructField("batch", LongType())])
+    return x.mapInPandas(number, schema)
 
 
 def page_span(start: Column, end: Column, pages: Column, bound: Column, fallback: int) -> Column:

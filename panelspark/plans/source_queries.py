@@ -221,11 +221,11 @@ def title_marks_escape(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", text.pretty_title(F.col("p_name")).alias("title"), text.with_marks(F.col("p_type"), 10).alias("marked"), text.shorten(F.col("p_type"), 12).alias("short"), text.escaped_latex(F.col("p_brand")).alias("latex"))
 
 
-@query(r"SELECT doc_id, (length(text) - length(regexp_replace(text, '[\p{L}\p{N}]', '', 'g')))::BIGINT AS quality, len(list_filter(list_transform(string_split(regexp_replace(substr(text, 1, 200), '\s+y\s+', ',', 'g'), ','), lambda x: trim(x)), lambda x: length(x) >= 3))::BIGINT AS names FROM documents")
+@query(r"SELECT doc_id, (length(text) - length(regexp_replace(text, '[\p{L}\p{N}]', '', 'g')))::BIGINT AS quality, len(list_filter(list_transform(string_split(regexp_replace(text, '\s+y\s+', ',', 'g'), ','), lambda x: trim(x)), lambda x: length(x) >= 3))::BIGINT AS names FROM documents")
 def text_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """STR07, STR08, STR14: quality score of repaired text; names of a list in the head (``listed_names`` reads whole texts)."""
+    """STR07, STR08, STR14: quality score of the repaired text, and how many names the whole text lists."""
     quality = text.text_quality(text.mojibake_repaired(F.col("text")))
-    return table(spark, sf, "documents").select("doc_id", quality.cast("long").alias("quality"), F.size(text.split_names(F.substring("text", 1, 200), 3)).cast("long").alias("names"))
+    return table(spark, sf, "documents").select("doc_id", quality.cast("long").alias("quality"), F.size(text.split_names(F.col("text"), 3)).cast("long").alias("names"))
 
 
 @query(r"SELECT doc_id, len(list_filter(list_transform(string_split(regexp_replace(text, '\s+y\s+', ',', 'g'), ','), lambda x: trim(x)), lambda x: length(x) >= 3))::BIGINT AS names FROM documents")
@@ -278,7 +278,7 @@ def coverage_detectors(spark: SparkSession, sf: str) -> DataFrame:
 @query("""WITH l AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
 SELECT user_id, CASE event_type WHEN 'purchase' THEN 'propagate' WHEN 'error' THEN 'reextract' WHEN 'signup' THEN 'override' ELSE 'log' END AS output, CASE WHEN event_type = 'signup' THEN 'pendiente' ELSE 'hecho' END AS status FROM l""")
 def decision_dispatch(spark: SparkSession, sf: str) -> DataFrame:
-    """HIL04, HIL08-HIL10, OTH33, OTH34, OTH41: the latest decision of each id to the output that it feeds."""
+    """The latest decision of each id and the output that it feeds; ``decision_routes`` has what each asks for."""
     last = review.latest_decisions(table(spark, sf, "events"), "user_id", "ts", "event_id")
     outs = review.split_by_decision(last, "event_type", {"propagate": ["purchase"], "reextract": ["error"], "override": ["signup"], "log": ["view", "click"]})
     rows = None
