@@ -104,8 +104,17 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import bpe_decoded, bpe_encoded
+
+    ids = bpe_encoded(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(TOKENIZER_STORE))
+    out = bpe_decoded(ids, tokenizer_path(TOKENIZER_STORE))
+    written = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def queries() -> dict:
-    ops = (op1_line_dedup, op2_decontamination, op3_chat_format, op4_source_mixing, op5_embedding_dedup, op6_token_counts, op7_quality, op8_minhash_dedup, op9_html_text, op10_token_store)
+    ops = (op1_line_dedup, op2_decontamination, op3_chat_format, op4_source_mixing, op5_embedding_dedup, op6_token_counts, op7_quality, op8_minhash_dedup, op9_html_text, op10_token_store, op11_bpe)
     return {f.__name__: f for f in ops}
 
 
