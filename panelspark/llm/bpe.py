@@ -37,13 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from .arrowtext import NOT_SPACE, buffers, slices, words
-from .pretokens import CACHE_ENTRIES, PLAIN, PieceCache, byte_letters, byte_level_pieces, distinct, odd_rows, special_strings, tokenizer_of
+from .pretokens import PLAIN, PieceCache, byte_letters, byte_level_pieces, distinct, odd_rows, special_strings, tokenizer_of
 from .shared import checked
 
 #: Bytes of a word whose ranks are scanned; longer words use a heap.
 SHORT = 48
 #: Words of one length merged at a time, and bytes of text whose pieces are looked up at a time.
-ROWS, TEXT = 8192, 4 << 20
+ROWS, TEXT = 8192, 2 << 20
+#: Entries of a generation of a worker's cache of pieces (two are held at most), and of its cache of words.
+PIECES, WORDS = 150_000, 300_000
 _NONE = np.iinfo(np.int32).max
 _WORKER: dict = {}
 
@@ -159,7 +161,7 @@ class Encoder:
         self.specials = special_strings(definition)
         # words keep the space before them, or white space is dropped and letters are folded
         self.keeps_space = not self.merges.suffix
-        self.cache, self.known = PieceCache(self.pieces), {}
+        self.cache, self.known = PieceCache(self.pieces, PIECES), {}
 
     def by_rule(self, text: str) -> Iterator[bytes | int]:
         """Words of any text by the definition's rules, as bytes, and ids of added tokens."""
@@ -174,7 +176,7 @@ class Encoder:
 
     def pieces(self, texts: list[str]) -> list[bytes]:
         """Ids of pieces, as little-endian 4-byte numbers. A word is merged once while it stands with different marks."""
-        if len(self.known) > CACHE_ENTRIES:
+        if len(self.known) > WORDS:
             self.known = {}
         known, found, fresh = self.known, [], {}
         for text in texts:
@@ -273,21 +275,27 @@ def _definition(path: str) -> str:
         return f.read()
 
 
-def bpe_encoded(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with the ids of each whole text (array of int) in place of the text. tokenizer: path of a .json file."""
+def bpe_encoded(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
+    """``docs`` with the ids of each whole text (array of int) in place of the text. tokenizer: path of a .json file.
+
+    decoded_col: what the ids decode to as well, by the same task, so that ids need not travel between workers.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(_definition(tokenizer))
-    kept = [c for c in docs.columns if c not in (text_col, ids_col)]
+    kept = [c for c in docs.columns if c not in (text_col, ids_col, decoded_col)]
     source = checked(docs, *kept, text_col)
-    schema = source.drop(text_col).schema.add(ids_col, ArrayType(IntegerType()))
+    fields = [f for f in source.schema.fields if f.name != text_col] + [StructField(ids_col, ArrayType(IntegerType()))]
+    fields += [StructField(decoded_col, StringType())] if decoded_col else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _on_worker(Encoder, shared.value)
         for batch in batches:
             for part in slices(batch, len(kept), TEXT):
-                ids, ends = encode(part.column(len(kept)))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))], names=[*kept, ids_col])
+                flat, ends = encode(part.column(len(kept)))
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+                more = [_on_worker(Decoder, shared.value)(ids).cast(pa.string())] if decoded_col else []
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids, *more], names=[f.name for f in fields])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, StructType(fields))
 
 
 def bpe_decoded(rows: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

@@ -105,10 +105,9 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .bpe import bpe_decoded, bpe_encoded
+    from .bpe import bpe_encoded
 
-    ids = bpe_encoded(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(TOKENIZER_STORE))
-    out = bpe_decoded(ids, tokenizer_path(TOKENIZER_STORE))
+    out = bpe_encoded(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(TOKENIZER_STORE), decoded_col="decoded")
     written = F.array_join(F.col("ids").cast("array<string>"), " ")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

@@ -30,6 +30,8 @@ def test_ids_and_texts_are_the_library_s(spark, sf, name):
     want = sorted(((r.doc_id, i, t.decode(i, skip_special_tokens=False)) for r, i in zip(rows, ids, strict=True)), key=str)
     got = bpe.bpe_decoded(bpe.bpe_encoded(df, tokenizer_path(name)), tokenizer_path(name)).collect()
     assert sorted(((r.doc_id, r.ids, r.decoded) for r in got), key=str) == want
+    got = bpe.bpe_encoded(df, tokenizer_path(name), decoded_col="decoded").collect()
+    assert sorted(((r.doc_id, r.ids, r.decoded) for r in got), key=str) == want
 
 
 @pytest.mark.parametrize("name", NAMES)
