@@ -112,8 +112,27 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hard_negatives import hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0, positives=5, negatives=5, low_percent=80, high_percent=100)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import prefix_trie, sequences
+
+    own = sequences(_table(spark, sf_dir, "conversations"))
+    # the first h turns are those of the conversation that a group of twenty begins with
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    others = own.select(F.col("conv_id").alias("base"), F.slice("turns", 1, 3).alias("start"))
+    both = own.withColumns({"h": h.cast("int"), "base": F.col("conv_id") - F.col("conv_id") % 20}).join(others, "base", "left")
+    start = F.coalesce(F.slice("start", F.lit(1), F.col("h")), F.slice("turns", 1, 0))
+    return prefix_trie(both.select("conv_id", F.concat(start, F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns") - F.col("h"), F.lit(0)))).alias("turns")))
+
+
 def queries() -> dict:
-    ops = (op1_line_dedup, op2_decontamination, op3_chat_format, op4_source_mixing, op5_embedding_dedup, op6_token_counts, op7_quality, op8_minhash_dedup, op9_html_text, op10_token_store, op11_bpe)
+    ops = (op1_line_dedup, op2_decontamination, op3_chat_format, op4_source_mixing, op5_embedding_dedup, op6_token_counts, op7_quality, op8_minhash_dedup, op9_html_text, op10_token_store, op11_bpe, op12_hard_negatives, op13_prefix_trie)
     return {f.__name__: f for f in ops}
 
 
@@ -218,6 +237,45 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_of USING (doc_id)
 """
 
 
+_OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS s FROM v a JOIN v b ON a.vec_id % 100 = 0
+), pos AS (SELECT a, b, s, row_number() OVER (PARTITION BY a ORDER BY s DESC, b) AS r FROM scores WHERE same AND a <> b QUALIFY r <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, (row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b))::INT AS rank, n.b AS negative_id, p.s AS positive_score, n.s AS negative_score
+FROM pos p JOIN scores n ON n.a = p.a AND NOT n.same AND 80 * p.s <= 100 * n.s AND 100 * n.s <= 100 * p.s QUALIFY rank <= 5
+"""
+
+_CRC = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length({0}) + 1),
+  lambda i: list_transform(range(0, 8), lambda b: ((ascii({0}[i]) >> b::INT) & 1)::BIGINT)))),
+  lambda c, b: CASE WHEN xor(c, b) & 1 = 1 THEN xor(xor(c, b) >> 1, 3988292384::BIGINT) ELSE xor(c, b) >> 1 END))"""
+
+_OP13 = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS s FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({{'s': s, 'w': len(regexp_extract_all(text, '[^ 	-
+]+'))::BIGINT}} ORDER BY turn NULLS FIRST, role, s) AS l FROM t GROUP BY conv_id
+), h AS (SELECT *, ({_CRC.format("(conv_id::VARCHAR)")} % 4)::INT AS h FROM own),
+rebuilt AS (SELECT h.conv_id, list_concat(coalesce(b.l, [])[1:h], h.l[h + 1:]) AS l FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 20),
+prefixes AS (
+  SELECT conv_id, d, array_to_string(list_transform(l[1:d], lambda x: x.s), '') AS p, coalesce(l[d].w, 0) AS w, d = len(l) AS ends FROM (SELECT *, unnest(range(0, len(l) + 1)) AS d FROM rebuilt)
+), node AS (
+  SELECT d, p, min(conv_id) AS conv_id, count(*) AS n_convs, max(w) AS w, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ends FROM prefixes GROUP BY d, p
+), children AS (SELECT d - 1 AS d, left(p, 32 * (d::INT - 1)) AS p, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1, 2),
+full_node AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN children USING (d, p)),
+sums AS (
+  SELECT a AS d, left(p, 32 * a::INT) AS p, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * w END) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM full_node) GROUP BY 1, 2
+)
+SELECT n.conv_id::BIGINT AS conv_id, n.d::BIGINT AS depth, up.conv_id::BIGINT AS parent_conv_id, n.n_convs::BIGINT AS n_convs, n.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+  saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM full_node n JOIN sums USING (d, p) LEFT JOIN node up ON up.d = n.d - 1 AND n.d > 0 AND up.p = left(n.p, 32 * (n.d::INT - 1))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Tokenizers, the classifier, page trees and compressed files have no SQL; tests hold them against brute force."""
-    return {"op1_line_dedup": _OP1, "op2_decontamination": _OP2, "op3_chat_format": _OP3, "op4_source_mixing": _OP4, "op5_embedding_dedup": _OP5, "op8_minhash_dedup": _OP8}
+    return {"op1_line_dedup": _OP1, "op2_decontamination": _OP2, "op3_chat_format": _OP3, "op4_source_mixing": _OP4, "op5_embedding_dedup": _OP5, "op8_minhash_dedup": _OP8, "op12_hard_negatives": _OP12, "op13_prefix_trie": _OP13}
