@@ -30,7 +30,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contamination
 
     out = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
-    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest", "longest_item", "longest_at")
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,10 +165,16 @@ doc_windows AS (
   FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)
 ), found AS (SELECT doc_id, i, n, item_id FROM doc_windows JOIN item_windows USING (n, x)),
 hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id),
+dw AS (SELECT doc_id, generate_subscripts(w, 1) AS i, unnest(w) AS word FROM d),
+bw AS (SELECT item, generate_subscripts(w, 1) AS j, unnest(w) AS word, r FROM (SELECT item_id::VARCHAR AS item, w, row_number() OVER () AS r FROM b)),
+runs AS (
+  SELECT doc_id, item, min(i) - 1 AS begin_at, count(*) AS n
+  FROM (SELECT doc_id, item, r, i, i - j AS g, i - row_number() OVER (PARTITION BY doc_id, r, i - j ORDER BY i) AS run FROM dw JOIN bw USING (word)) GROUP BY doc_id, item, r, g, run
+), best AS (SELECT doc_id, n, begin_at, item FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, begin_at, item) = 1)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n, 0)::BIGINT AS longest, item AS longest_item, begin_at::BIGINT AS longest_at
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN best USING (doc_id)
 """
 
 _CONTROL = r"(### System:|### User:|### Assistant:|</turn>)"

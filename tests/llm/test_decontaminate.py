@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -58,29 +59,66 @@ def test_longest_matches(spark):
     got = sorted(tuple(r) for r in decontaminate.longest_matches(docs, bench, least=3).collect())
     assert got == [(1, "7", 0, 6), (2, "7", 5, 5)]
     got = sorted(tuple(r)[:1] + tuple(r)[6:] for r in decontaminate.contamination(docs, bench, window=3).collect())
-    assert [g[0] for g in got] == [1, 2, 3] and got[0][1:] == (6, "7", 0) and got[2][1:] == (0, None, None)
+    assert got == [(1, 6, "7", 0), (2, 5, "7", 5), (3, 0, None, None)]
 
 
-def test_longest_matches_against_brute_force():
+def longest_shared(doc, items):
+    """Words, first word and least item of the longest run of words that a document shares with any item."""
+    best = (0, None, None)
+    for at in range(len(doc)):
+        for name, w in items:
+            for j in range(len(w)):
+                n = 0
+                while at + n < len(doc) and j + n < len(w) and doc[at + n] == w[j + n]:
+                    n += 1
+                if n and (-n, at, name) < (-best[0], best[1] if best[1] is not None else at + 1, best[2] or ""):
+                    best = (n, at, name)
+    return best
+
+
+def test_longest_matches_against_brute_force(spark):
     rng = random.Random(3)
-    texts = [" ".join(rng.choice("abcdefg") for _ in range(rng.randrange(40))) for _ in range(30)]
-    items = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 12))) for _ in range(12)]
-    test = decontaminate.TestSuffixes([str(i) for i in range(len(items))], items, 3)
-    best = decontaminate.matches(pa.array(texts), test)[4]
-    docs = [t.split() for t in texts]
-    got = {}
-    for row, at, size, number in best.tolist():
-        item = int(test.names[number])
-        assert " ".join(docs[row][at : at + size]) in items[item]
-        got.setdefault(item, []).append(size)
-    for i, t in enumerate(items):
-        w = t.split()
-        k = min(3, len(w))
-        want = []
-        for j in range(len(w) - k + 1):
-            size = max((n for n in range(len(w) - j + 1) if any(w[j : j + n] == d[x : x + n] for d in docs for x in range(len(d) - n + 1))), default=0)
-            want += [size] if size else []
-        assert sorted(got.get(i, [])) == sorted(want)
+    docs = [" ".join(rng.choice("abcdefg") for _ in range(rng.randrange(30))) for _ in range(60)]
+    docs += ["a b c d e f"] * 3 + ["a " * 50, "x y z", ""]
+    items = [(str(i), " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 14)))) for i in range(12)] + [("9a", "a " * 20), ("9b", "a " * 20)]
+    want = [(i, *longest_shared(words(t), [(n, words(x)) for n, x in items])) for i, t in enumerate(docs)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    hits = brute(list(enumerate(docs)), items, 3)
+    # the same with any cut into shards and blocks
+    for parts, shard, block in ((1, 1 << 22, 1 << 25), (5, 1 << 22, 60), (2, 40, 1 << 25)):
+        old, decontaminate.SHARD = decontaminate.SHARD, shard
+        try:
+            got = decontaminate.contamination(df.repartition(parts), bench, window=3, block_bytes=block).collect()
+        finally:
+            decontaminate.SHARD = old
+        assert sorted(tuple(r)[:6] for r in got) == sorted(hits)
+        assert sorted((r.doc_id, r.longest, r.longest_at, r.longest_item) for r in got) == want
+
+
+def test_longest_of_each_item():
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefg") for _ in range(rng.randrange(40))) for _ in range(20)]
+    items = [(str(i), " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 12)))) for i in range(12)]
+    test = decontaminate.TestSuffixes([i for i, _ in items], [t for _, t in items], 3)
+    for t in texts:
+        got = {test.names[i]: (n, at) for i, at, n in decontaminate.longest_of_items(pa.array([t]), test).tolist() if n}
+        want = {i: longest_shared(t.split(), [(i, x.split())])[:2] for i, x in items}
+        assert got == {i: w for i, w in want.items() if w[0]}
+
+
+def test_repetitive_text_takes_little_time():
+    began = time.time()
+    test = decontaminate.TestSuffixes(["1"], ["the " * 400], 10)
+    m = decontaminate.Matches(pa.array(["the " * 100_000]), test)
+    assert m.hit.all() and m.best.tolist() == [[0, 0, 400, 0]]
+    assert time.time() - began < 3
+    began = time.time()
+    test = decontaminate.TestSuffixes([str(i) for i in range(2000)], ["the"] * 2000, 10)
+    m = decontaminate.Matches(pa.array(["the x " * 50_000, "the " * 50_000]), test)
+    rows, names = m.items(test)
+    assert [len(names[k]) for k in rows] == [2000, 2000] and m.hits().tolist() == [50_000, 50_000]
+    assert time.time() - began < 4
 
 
 def test_empty(spark):
