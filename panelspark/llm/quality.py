@@ -1,14 +1,15 @@
 """Quality classifier on supervised subword embeddings, trained with numpy.
 
-A document is the average of the vectors of its features: its words, pairs of words in a row, and the character n-grams
-(of bytes) of its running text, white space being one space, all hashed into buckets. A softmax layer turns the
+A document is the average of the vectors of its features: its words, pairs of words in a row, runs of ``RUN`` words up to renaming
+(which of them are the same, whatever they are), and the character n-grams (of bytes) of its running text, white space being one
+space, all hashed into buckets. A softmax layer turns the
 average into class probabilities; vectors and layer are learned together by stochastic gradient descent. The layer is linear,
 so after training each bucket is worth one number, the model is a table of ``BUCKETS`` floats, and scoring a text adds up the
 worth of its features. Texts are scored where they are read.
 
 Training is done on the driver on a bounded sample: about ``TRAIN_DOCS`` labelled documents, those whose hash of the id is
-under a bound set by their number; documents in training are used whole, whatever their length. Scoring covers every
-whole text.
+under a bound set by their number, and of an id with several texts the one of least hash; documents in training are used whole, whatever
+their length. Scoring covers every whole text.
 
 Defined results: null or empty text has no feature and gets the score of the bias; without labels of both classes
 every score is 0.5; several labels of an id are averaged (0.5 and more counts as 1), null labels are left out; a null id is
@@ -31,8 +32,10 @@ from .shared import checked, hash_share
 
 TRAIN_DOCS = 3000
 BUCKETS, DIMENSIONS, RATE, STEP = 1 << 18, 8, 0.5, 20
-#: Steps of gradient descent, one document each, whatever the size of the sample.
-STEPS = 16_000
+#: Steps of gradient descent, one document each: so many, and at least so many passes.
+STEPS, PASSES = 16_000, 6
+#: Words in a run whose equal ones are told.
+RUN = 4
 #: Lengths of character n-grams, in bytes.
 GRAMS = (2, 3, 4)
 #: Bytes whose n-grams are made at a time.
@@ -64,6 +67,9 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
         one = row[a : a + len(nxt)]
         same = one == row[a + 1 : b + 1]
         yield one[same], _bucket(h[a : a + len(nxt)][same] * np.uint64(0x9E3779B97F4A7C15) + nxt[same])
+        begin = np.arange(a, min(b, len(h) - RUN + 1))
+        begin = begin[row[begin] == row[begin + RUN - 1]]
+        yield row[begin], _bucket(_renamed(h, begin))
     for a in range(0, len(raw), PIECE):
         here = min(PIECE, len(raw) - a)
         text = np.zeros(here + max(GRAMS) - 1, np.uint64)
@@ -79,6 +85,17 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
                 yield rows[ok], _bucket(key[ok] ^ (np.uint64(k) << np.uint64(56)))
 
 
+def _renamed(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """A key for each run of words: the place of the first equal word for each of its words."""
+    key = np.full(len(begin), 0x5EED, np.uint64)
+    for i in range(1, RUN):
+        first = np.full(len(begin), i, np.uint64)
+        for j in range(i - 1, -1, -1):
+            first[h[begin + j] == h[begin + i]] = j
+        key = key * np.uint64(RUN) + first
+    return key
+
+
 def _bucket(key: np.ndarray) -> np.ndarray:
     return (mix(key) >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
@@ -105,10 +122,11 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> tuple[np.ndarr
     # classes weigh alike in the loss; their share comes back with the bias below
     share = np.bincount(labels, minlength=2) / len(labels)
     weight = 0.5 / share
-    order = np.concatenate([rng.permutation(len(bags)) for _ in range(-(-STEPS // len(bags)))])[:STEPS]
+    steps = max(STEPS, PASSES * len(bags))
+    order = np.concatenate([rng.permutation(len(bags)) for _ in range(-(-steps // len(bags)))])[:steps]
     for done, i in enumerate(order):
         ids, part = bags[i]
-        rate = RATE * (1 - done / STEPS)
+        rate = RATE * (1 - done / steps)
         if not len(ids):
             continue
         hidden = part @ vectors[ids]
@@ -146,10 +164,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = checked(labels, id_col, label_col).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("y")).filter("id IS NOT NULL AND y IS NOT NULL").filter(~held_out("id"))
     known = known.groupBy("id").agg((F.avg("y") >= 0.5).cast("int").alias("y"))
     texts = checked(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("t")).filter("t IS NOT NULL AND t <> ''")
-    # ids are drawn before texts are joined, so what is broadcast and collected is bounded
-    chosen = known.filter(hash_share(F.xxhash64("id"), TRAIN_DOCS, known.count())).limit(2 * TRAIN_DOCS)
-    rows = texts.join(F.broadcast(chosen), "id").select("id", "t", "y").limit(2 * TRAIN_DOCS).collect()
-    rows.sort(key=lambda r: (str(r.id), r.t))
+    # ids are drawn by a bound on their hash before texts are joined, so what is broadcast and collected is bounded, and each run draws the same
+    chosen = known.filter(hash_share(F.xxhash64("id"), TRAIN_DOCS, known.count()))
+    drawn = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min_by("t", F.xxhash64("t")).alias("t"), F.min("y").alias("y"))
+    rows = sorted(drawn.collect(), key=lambda r: (str(r.id), r.t))
     return train([r.t for r in rows], np.array([r.y for r in rows], np.int64))
 
 
