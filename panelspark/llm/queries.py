@@ -43,6 +43,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = chats.select(
         "conv_id",
         "valid",
+        "error_turn",
         read_chat(F.col("formatted")).alias("turns"),
         F.array_join(F.transform(loss, lambda s: unescaped(s["text"], Template())), "").alias("loss"),
         F.length("formatted").cast("long").alias("formatted_chars"),
@@ -55,6 +56,8 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
         "formatted_chars",
+        "valid",
+        "error_turn",
     )
 
 
@@ -186,11 +189,15 @@ WITH turns AS (
   SELECT *, length('### ' || CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' WHEN 'assistant' THEN 'Assistant' ELSE '%:' || role END || ':' || chr(10))
     + length(regexp_replace(text, '(\\*){_CONTROL}', '\1\1\\\2', 'g')) + length(chr(10) || '</turn>' || chr(10)) AS chars
   FROM turns
+), whole AS (
+  SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars,
+    string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END, '' ORDER BY turn, role, text) AS roles
+  FROM parts GROUP BY conv_id
 )
-SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars
-FROM parts GROUP BY conv_id
+SELECT * EXCLUDE (roles, accepted), accepted = n_turns AND roles LIKE '%u%' AS valid, CASE WHEN accepted < n_turns OR roles NOT LIKE '%u%' THEN accepted END::INT AS error_turn
+FROM (SELECT *, length(regexp_extract(roles, '^s?(ua)*u?')) AS accepted FROM whole)
 """
 
 _OP4 = r"""

@@ -4,6 +4,7 @@ import time
 from pyspark.sql import functions as F
 
 from panelspark.llm import chat, line_dedup
+from panelspark.llm import queries
 from tests.llm import edge
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -124,3 +125,10 @@ def test_no_python_in_native_plans(spark):
 def test_digest_of_kept_lines(spark):
     got = line_dedup.drop_common_lines(edge.docs(spark, clash=False), 10).select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("h")).filter("doc_id = 8").first().h
     assert got == hashlib.sha256(edge.ROWS[7][1].encode()).hexdigest()
+
+
+def test_the_machine_is_in_the_query_s_plan(spark, sf):
+    plan = queries.op3_chat_format(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "refused" in plan and "answered" in plan
+    got = queries.op3_chat_format(spark, sf)
+    assert {"valid", "error_turn"} <= set(got.columns) and got.filter("valid = (error_turn IS NOT NULL)").count() == 0
