@@ -11,10 +11,10 @@ an element so lowered that doesn't hold the container is weighed against it. Wor
 lower little, and not at all on headings and paragraphs; in the container or its article such an element goes only if half of it is links, or it
 is a line without a block.
 
-A page is parsed in the task that reads it, in time linear in its length; nothing is shuffled or gathered, and memory is a page's tree.
+A page is parsed in the task that reads it, from left to right in time linear in its length; nothing is shuffled or gathered, and memory is a page's tree.
 
 Defined results: null, empty or markup-only html gives an empty text; white space in a block (no-break spaces too) becomes
-one space, ``<br>`` is white space; blocks are joined by ``\\n`` in page order; end tags without a start are passed over; very long
+one space, ``<br>`` is white space; what follows a tag, quote or comment that is never closed is part of it; blocks are joined by ``\\n`` in page order; end tags without a start are passed over; very long
 pages are read whole; of elements with equal points the outer one, then the first, is the container; repeated rows and null
 ids give a row each; an empty table gives an empty table; other columns are left out.
 """
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -59,29 +59,99 @@ CLOSES = {
 }
 SCOPES = frozenset("article aside body div section main td th li table ul ol dl blockquote header footer nav form html button".split())
 WORD = re.compile("[a-z0-9]+")
+#: Elements whose content is no markup up to their end tag.
+RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
+TAG = re.compile(r"[A-Za-z][^\s/>]*")
+NAME = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*|=[^\s/>=]*)?")
+VALUE = re.compile(r"\s*=\s*([^\s>\"'][^\s>]*|(?=[\"'])|(?=>))")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "drop", "doubt", "score", "points", "chars", "linked", "links", "block", "weight")
+    __slots__ = ("tag", "kind", "parent", "children", "drop", "doubt", "score", "points", "chars", "linked", "links", "block", "weight")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False, doubt: int = 0):
+    def __init__(self, tag: str, parent: Node | None, drop: bool = False, doubt: int = 0, kind: str = ""):
+        self.kind = f"{tag} {kind}"
         self.tag, self.parent, self.drop, self.doubt = tag, parent, drop, doubt
         self.children: list[Node | str] = []
         self.score = self.points = self.chars = self.linked = self.links = 0
         self.block, self.weight = tag in TEXT_BLOCKS, 1.0
 
 
-class Tree(HTMLParser):
-    """Elements and texts of a page, with the end tags that HTML lets authors leave out. Each tag takes constant time or closes elements."""
+def _attributes(html: str, i: int) -> tuple[list[tuple[str, str | None]], int]:
+    """Attributes of a tag from ``i`` on, and the place after its ``>``; -1 if the page ends before."""
+    found = []
+    while True:
+        m = NAME.match(html, i)
+        i = m.end()
+        if i == len(html):
+            return found, -1
+        if m[1] is None:
+            return found, i + 1  # what stops a name is the end of the tag
+        value = None
+        if v := VALUE.match(html, i):
+            i = v.end()
+            value = v[1]
+            if i < len(html) and html[i] in "\"'" and not value:
+                end = html.find(html[i], i + 1)
+                if end < 0:
+                    return found, -1
+                value, i = html[i + 1 : end], end + 1
+        found.append((m[1].lower(), unescape(value) if value else value))
+
+
+class Tree:
+    """Elements and texts of a page, with the end tags that HTML lets authors leave out. Each tag takes constant time or closes elements.
+
+    The page is read once from left to right. A tag or comment that the page ends in takes the rest of the page with it.
+    """
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.root = Node("root", None)
         self.open = [self.root]
         #: Places in ``open`` of each tag, of elements that are not inline, of scopes.
         self.places: dict[str, list[int]] = {}
         self.blocks, self.scopes = [0], [0]
 
+    def feed(self, html: str) -> None:
+        i, n = 0, len(html)
+        while i < n:
+            j = html.find("<", i)
+            if j < 0:
+                j = n
+            elif not (html[j + 1 : j + 2].isascii() and html[j + 1 : j + 2].isalpha() or html[j + 1 : j + 2] in ("/", "!", "?")):
+                j += 1  # no markup
+            if j > i:
+                self.handle_data(unescape(html[i:j]))
+                i = j
+                continue
+            if html.startswith("<!--", i):
+                short = next((len(x) for x in ("<!-->", "<!--->") if html.startswith(x, i)), 0)
+                end = html.find("-->", i + 4)
+                i = i + short if short else n if end < 0 else end + 3
+            elif html[i + 1] in "!?" or not TAG.match(html, i + 1 + (html[i + 1] == "/")):
+                end = html.find(">", i)
+                i = n if end < 0 else end + 1
+            else:
+                closing = html[i + 1] == "/"
+                name = TAG.match(html, i + 1 + closing)
+                tag = name[0].lower()
+                attrs, i = _attributes(html, name.end())
+                if i < 0:
+                    return
+                if closing:
+                    self.handle_endtag(tag)
+                    continue
+                self.handle_starttag(tag, attrs)
+                if html[i - 2] == "/" and tag not in VOID:
+                    self.handle_endtag(tag)
+                elif tag in RAW:
+                    end = re.compile(f"</{tag}(?=[\\s/>])", re.IGNORECASE).search(html, i)
+                    if end is None:
+                        return
+                    if end.start() > i:
+                        self.handle_data(html[i : end.start()] if tag in ("script", "style") else unescape(html[i : end.start()]))
+                    i = end.start()
+
     def _close_from(self, place: int) -> None:
         while len(self.open) > place:
             self.places[self.open.pop().tag].pop()
@@ -100,7 +170,7 @@ class Tree(HTMLParser):
             if self._last(tags) > self._last(until):
                 self._close_from(self._last(tags))
         inside = bool(self.places.get("article") or self.places.get("main"))
-        node = Node(tag, self.open[-1], *_judged(tag, attrs, inside))
+        node = Node(tag, self.open[-1], *_judged(tag, attrs, inside), " ".join(sorted((dict(attrs).get("class") or "").split())))
         self.open[-1].children.append(node)
         if tag not in VOID:
             place = len(self.open)
@@ -111,11 +181,6 @@ class Tree(HTMLParser):
             if tag in SCOPES:
                 self.scopes.append(place)
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self._close_from(len(self.open) - 1)
-
     def handle_endtag(self, tag):
         place = self._last((tag,))
         # an inline end tag doesn't end blocks
@@ -227,8 +292,13 @@ def _weigh(best: Node, up: Node) -> None:
 
 
 def _drop_links_beside(best: Node, top: Node, keep: set[int]) -> None:
-    """Drop what stands beside an element, or beside one that holds it, up to ``top``, when a quarter of its characters or more are in links."""
+    """Drop what stands beside an element, or beside one that holds it, up to ``top``, when a quarter of its characters or more are in links.
+
+    In an article or main element, paragraphs and other blocks of text stay, whatever their links, and beside the container what is of its own kind
+    (tag and classes) unless it is links for the most part.
+    """
     node = best
+    within = top.tag in ("article", "main")
     while node is not top and node.parent is not None:
         line: list[int] = []  # texts and inline elements between blocks are one run
         children = node.parent.children
@@ -245,7 +315,7 @@ def _drop_links_beside(best: Node, top: Node, keep: set[int]) -> None:
                         children[j] = ""
                 line = []
             if s is not None and s is not node and s.chars and id(s) not in keep and 4 * s.linked >= s.chars:
-                s.drop = True
+                s.drop = not (within and s.tag in TEXT_BLOCKS or s.kind == node.kind and 4 * s.linked < 3 * s.chars)
         node = node.parent
 
 
@@ -295,7 +365,6 @@ def main_text(html: str | None) -> str:
         return ""
     tree = Tree()
     tree.feed(html)
-    tree.close()
     nodes = _in_order(tree.root)
     _spare_articles(nodes)
     _score(tree.root, nodes)

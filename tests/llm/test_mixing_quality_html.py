@@ -3,6 +3,7 @@ import time
 import tracemalloc
 import zlib
 from html import unescape
+from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -234,7 +235,6 @@ def test_scores_against_slow_ones(spark, sf):
     for html in pages:
         tree = html_extract.Tree()
         tree.feed(html)
-        tree.close()
         nodes = html_extract._in_order(tree.root)
         html_extract._spare_articles(nodes)
         html_extract._score(tree.root, nodes)
@@ -256,6 +256,71 @@ def test_scores_against_slow_ones(spark, sf):
                 assert abs(n.score - want[id(n)][0]) < 1e-9 and [n.chars, n.linked] == want[id(n)][1:]
 
 
+MARKUP = [
+    "a < b <c d='1' E=\"2 > 1\" f=g/h i>x</C ><br/>y<div/>z", "<!-- a > b -->t<!DOCTYPE html><?pi x>w</p >", "<script>if (a < b) '</p>';</script >s<style></STYLE>", "<p class=a&amp;b title='&lt;'>&copy;&nbsp;&#x41;&unknown; R&D</p>",
+    "<a =x b=y c = 'z' / d>l</a>",
+]
+
+
+@pytest.mark.parametrize("html", MARKUP)
+def test_tags_are_read_as_the_standard_parser_reads_them(html):
+    class Standard(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            seen.append(("start", tag, attrs))
+
+        def handle_endtag(self, tag):
+            seen.append(("end", tag))
+
+        def handle_data(self, data):
+            seen.append(("data", data))
+
+    class Own(html_extract.Tree):
+        handle_starttag, handle_endtag, handle_data = Standard.handle_starttag, Standard.handle_endtag, Standard.handle_data
+
+    def joined(events):
+        out = []
+        for e in events:
+            if e[0] == "data" and out and out[-1][0] == "data":
+                out[-1] = ("data", out[-1][1] + e[1])
+            elif e != ("end", "br"):
+                out.append(e)
+        return out
+
+    seen = []
+    standard = Standard()
+    standard.feed(html)
+    standard.close()
+    want, seen = joined(seen), []
+    Own().feed(html)
+    assert joined(seen) == want
+
+
+def test_raw_text_and_short_comments():
+    assert html_extract.main_text("<p>One<!--> two<!---> three</ x> four.</p><title>a <b></title><textarea><p></textarea>") == "One two three four."
+
+
+@pytest.mark.parametrize("part", ["<a ", "<!--", "<!", "</", "</a", "<a href=\"", "<a href='x", "<script>", "<style>a", "<", "<a b=", "<a / = ", "<!-- -", "&", "<title>"])
+def test_unclosed_markup_takes_linear_time(part):
+    began = time.time()
+    for end in ("", ">", "-->", '">'):
+        html_extract.main_text("<p>Text before, of some length, with commas.</p>" + part * 100_000 + end)
+    assert time.time() - began < 8
+
+
+BESIDE = [
+    ("<article><div><p>LONG</p></div><p>See <a href=x>the earlier report on the reservoir levels</a> too.</p></article>", "LONG\nSee the earlier report on the reservoir levels too."),
+    ('<main><p>LONG</p><blockquote><a href=x>Quoted, from another page</a></blockquote></main>', "LONG\nQuoted, from another page"),
+    ('<div class="post"><div class="text"><p>LONG</p></div><div class="text"><p>See <a href=x>the earlier report</a> on it, too.</p></div></div>', "LONG\nSee the earlier report on it, too."),
+    ('<div class="post"><div class="text"><p>LONG</p></div><div class="more"><a href=x>One</a> <a href=y>Two</a></div></div>', "LONG"),
+]
+
+
+@pytest.mark.parametrize("html,want", BESIDE)
+def test_paragraphs_stay_whatever_their_links(html, want):
+    long = "A long paragraph of the article, with commas, words, and enough of them to score well above all else here. " * 3
+    assert html_extract.main_text(html.replace("LONG", long)) == want.replace("LONG", long.strip())
+
+
 @pytest.mark.parametrize("part", ["<center>|</zz>", "<b><div>|</b>", "<div><i>|</b><hr>", "<article>|</p>", "<li><i>|<li>"])
 def test_parsing_is_linear(part):
     open_, close = part.split("|")
