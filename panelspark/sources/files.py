@@ -120,6 +120,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written to a new path of the shared folder and read back: cuts lineage, and a lost executor costs nothing that is written."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_documents(df: DataFrame, path: str, state: str, year: str) -> None:
     """JSON documents by state and year; pruning by folder needs no index."""
     df.write.partitionBy(state, year).json(path)

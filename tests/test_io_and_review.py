@@ -1,3 +1,4 @@
+import shutil
 import json
 
 from pyspark.sql import functions as F
@@ -86,17 +87,35 @@ def test_section_and_packing(spark):
 
 
 def test_decision_stream(spark, tmp_path):
-    log, target = str(tmp_path / "log"), str(tmp_path / "out")
+    log, target, checkpoint = (str(tmp_path / x) for x in ("log", "out", "cp"))
     schema = "id string, t string, n int, decision string"
-    for batch in ([("1", "2020", 1, "a"), ("2", "2020", 2, "b")], [("1", "2021", 3, "c")]):
-        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(log)
-        q = decisions.keep_latest(decisions.read_log(spark, log, schema), target, str(tmp_path / "cp"), "id", "t", "n")
-        q.awaitTermination()
-    assert {r.id: r.decision for r in spark.read.parquet(f"{target}/v1").collect()} == {"1": "c", "2": "b"}
+    assert decisions.current(spark, target, schema).count() == 0
+
+    def take(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(log)
+        decisions.keep_latest(decisions.read_log(spark, log, schema), target, checkpoint, "id", "t", "n", parts=8).awaitTermination()
+        return {r.id: r.decision for r in decisions.current(spark, target, schema).collect()}
+
+    assert take([(None, "2030", 0, "x"), ("", "2030", 0, "x")]) == {}
+    many = [(str(i), "2020", i, "a") for i in range(40)]
+    assert take(many) == {str(i): "a" for i in range(40)}
+    # later, earlier than what is known, a tie of time, twice in a batch
+    assert take([("1", "2021", 3, "c"), ("2", "2019", 99, "late"), ("3", "2020", 50, "tie"), ("4", "2021", 1, "p"), ("4", "2021", 2, "q")]) == {str(i): "a" for i in range(40)} | {"1": "c", "3": "tie", "4": "q"}
+    before = {p.name for p in (tmp_path / "out/rows").iterdir()}
+    assert take([("7", "2022", 0, "z")])["7"] == "z"
+    (number,) = {p.name for p in (tmp_path / "out/rows").iterdir()} - before
+    assert len([p for p in (tmp_path / "out/rows" / number).iterdir() if p.name.startswith("part=")]) == 1
+    # a batch whose note is missing doesn't count, and is made again alike
+    known = {r.id: r.decision for r in decisions.current(spark, target, schema).collect()}
+    shutil.rmtree(tmp_path / "out/notes" / number)
+    assert {r.id: r.decision for r in decisions.current(spark, target, schema).collect()} == known | {"7": "a"}
+    (tmp_path / "cp/commits" / number).unlink()
+    (tmp_path / f"cp/commits/.{number}.crc").unlink(missing_ok=True)
+    assert take([("8", "2022", 0, "y")]) == known | {"8": "y"}
     stream = decisions.latest_stream(decisions.read_log(spark, log, schema), "id", "t", "n")
     q = stream.writeStream.outputMode("complete").format("memory").queryName("latest_decisions").trigger(availableNow=True).start()
     q.awaitTermination()
-    assert {r.id: r.decision for r in spark.table("latest_decisions").collect()} == {"1": "c", "2": "b"}
+    assert {r.id: r.decision for r in spark.table("latest_decisions").collect()} == known | {"8": "y"}
 
 
 def test_reports(spark):
