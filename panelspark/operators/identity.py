@@ -1,8 +1,10 @@
 """Resolving names to a catalog in stages: exact, alias, suffix, words in common, similarity.
 
 Each stage works on the distinct names that no stage before matched, inside a block (a state), so a name is scored once and
-only against its block. The last stages need a ratio that Spark doesn't have; it is worked out for the pairs of a block
-in Arrow batches.
+only against candidates of its block. Candidates of the last stages come from equi-joins on what a match must share:
+words of which one name's are all among the other's share the rarest of the smaller set, and names of a sequence ratio share one
+of their rarest pairs of letters (or letters, where names are short). The ratio itself, which Spark lacks, is worked out in
+Arrow batches for what is left.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from panelspark.sources.files import stored
+
 #: Scores below which a stage doesn't match, that of a name without its suffix, those of hints, and the suffixes; fixed values.
 LEAST_WORDS, LEAST_RATIO, SUFFIX_SCORE, LEAST_HINT = 0.5, 0.85, 0.95, 0.55
 SUFFIXES = ("_de", "_del", "_la", "_el", "_las", "_los")
@@ -41,6 +45,67 @@ def words_contained(a: Column, b: Column) -> Column:
     return (F.size(F.array_except(x, y)) == 0) | (F.size(F.array_except(y, x)) == 0)
 
 
+def grams(c: Column, n: int) -> Column:
+    """Runs of ``n`` letters of a text, each with its number among equal ones: a set as large as the text has runs."""
+    runs = F.transform(F.when(F.length(c) >= n, F.sequence(F.lit(1), F.length(c) - n + 1)).otherwise(F.array().cast("array<int>")), lambda i: F.substring(c, i, F.lit(n)))
+    return F.transform(runs, lambda x, i: F.concat(x, F.lit("\t"), F.size(F.filter(F.slice(runs, F.lit(1), i), lambda y: y == x)).cast("string")))
+
+
+def rarest(df: DataFrame, keys: list[str], block: str, tokens: str, keep: Column, often: DataFrame) -> DataFrame:
+    """keys and _t: of each row's tokens the ``keep`` rarest in its block, by ``often`` (block, _t, _n); unknown ones are the rarest."""
+    each = df.select(*keys, keep.alias("_keep"), F.explode(tokens).alias("_t")).join(often, [block, "_t"], "left")
+    order = F.sort_array(F.collect_list(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_t")))
+    return each.groupBy(*keys).agg(order.alias("_o"), F.first("_keep").alias("_keep")).select(*keys, F.explode(F.slice("_o", F.lit(1), F.col("_keep").cast("int"))).alias("_o")).select(*keys, F.col("_o._t").alias("_t"))
+
+
+def _frequencies(df: DataFrame, block: str, tokens: Column) -> DataFrame:
+    return df.select(block, F.explode(tokens).alias("_t")).groupBy(block, "_t").agg(F.count("*").alias("_n"))
+
+
+def contained_pairs(names: DataFrame, catalog: DataFrame, block: str, a: str, b: str) -> DataFrame:
+    """Pairs (block, a, b) of one block where the words of one are all among the other's. Each side's rarest word must be a word of the other."""
+    split = lambda c: F.array_distinct(F.split(c, "_"))
+    often = _frequencies(catalog, block, split(b))
+    words = lambda df, c: df.select(block, c, split(c).alias("_w"))
+    one = lambda df, c: rarest(words(df, c), [block, c], block, "_w", F.lit(1), often)
+    every = lambda df, c: words(df, c).select(block, c, F.explode("_w").alias("_t"))
+    pairs = one(names, a).join(every(catalog, b), [block, "_t"]).unionByName(every(names, a).join(one(catalog, b), [block, "_t"]))
+    return pairs.select(block, a, b).distinct().filter(words_contained(F.col(a), F.col(b)))
+
+
+def alike_pairs(names: DataFrame, catalog: DataFrame, block: str, a: str, b: str, least: float) -> DataFrame:
+    """Pairs (block, a, b) of one block that may have a sequence ratio of ``least`` or more; no such pair is missed.
+
+    With M letters in matching runs, the ratio is 2M / T, T the letters of both. Runs are at most one more than the letters left over, so the
+    pair shares 3M - T - 1 pairs of letters or more, and M letters. As sets of n tokens that share k, both hold one of the shared tokens among their
+    n - k + 1 rarest. Lengths bound k: with a ratio of r, the shorter has r / (2 - r) of the longer at least.
+    """
+    share, gain = least / (2 - least), 1.5 * least - 1
+    few = 2 / gain if gain > 0 else float("inf")  # below it in sum, two names may share no pair of letters
+
+    def tokens(df: DataFrame, c: str, often: DataFrame | None, n: int) -> DataFrame:
+        size = F.length(c)
+        rows = df.select(block, c, grams(F.col(c), n).alias("_g"))
+        if n == 1:
+            rows = rows.filter(size * (1 + share) < few)
+            shared = F.ceil(size * share - 1e-9)
+        else:
+            shared = F.ceil(gain * size * (1 + share) - 1 - 1e-9)
+        keep = F.size("_g") - F.greatest(shared, F.lit(1)) + 1
+        return rarest(rows, [block, c], block, "_g", keep, often)
+
+    pairs = None
+    for n in (1, 2) if gain > 0 else (1,):
+        often = _frequencies(catalog, block, grams(F.col(b), n))
+        found = tokens(names, a, often, n).join(tokens(catalog, b, often, n), [block, "_t"]).select(block, a, b)
+        pairs = found if pairs is None else pairs.unionByName(found)
+    total = F.length(a) + F.length(b)
+    # no more letters match than both have
+    most = 2 * F.size(F.array_intersect(grams(F.col(a), 1), grams(F.col(b), 1)))
+    fits = 2 * F.least(F.length(a), F.length(b)) >= least * total - 1e-9
+    return pairs.filter(fits).distinct().filter(most >= least * total - 1e-9)
+
+
 def match_names(names: DataFrame, catalog: DataFrame, block: str, name: str, key: str, aliases: DataFrame | None = None, suffixes: tuple[str, ...] = SUFFIXES, by_ratio: bool = True, least_ratio: float = LEAST_RATIO) -> DataFrame:
     """For each distinct (block, name): key, score, stage. names and catalog hold slugs; aliases: block, name, key.
 
@@ -65,25 +130,21 @@ def match_names(names: DataFrame, catalog: DataFrame, block: str, name: str, key
     plain = plain.unionByName(stage(cut.join(cat, [block, "_slug"]), F.lit(2) + F.col("_i"), "suffix", F.lit(SUFFIX_SCORE)))
     if aliases is not None:
         plain = plain.unionByName(stage(todo.join(aliases.select(block, name, key), [block, name]).withColumn("_slug", F.col(name)), F.lit(1), "alias", F.lit(1.0)))
-    found = best(plain)
-    rest = todo.join(found.select(block, name), [block, name], "left_anti")
-    # names that share a word with a catalog name: an equi-join on words, not on all pairs
-    word = lambda df, c: df.withColumn("_w", F.explode(F.array_distinct(F.split(c, "_"))))
-    pairs = word(rest, name).join(word(cat, "_slug"), [block, "_w"]).drop("_w").distinct()
-    contained = similarity(pairs.filter(words_contained(F.col(name), F.col("_slug"))), name, "_slug")
-    by_words = best(stage(contained, F.lit(10), "words", F.col("ratio")).filter(F.col("score") >= LEAST_WORDS))
-    done = found.unionByName(by_words)
+    found = stored(best(plain), "plain-names")
+    rest = stored(todo.join(found.select(block, name), [block, name], "left_anti").filter(F.length(name) > 0), "other-names")
+    # candidates of both stages are scored in one pass; the words of a name come before its letters
+    pairs = contained_pairs(rest, cat, block, name, "_slug").withColumn("_order", F.lit(10))
     if by_ratio:
-        last = rest.join(by_words.select(block, name), [block, name], "left_anti")
-        # twice the shorter length over both is the most that a ratio can be
-        near = last.join(cat, block).filter(2 * F.least(F.length(name), F.length("_slug")) >= least_ratio * (F.length(name) + F.length("_slug")))
-        done = done.unionByName(best(stage(similarity(near, name, "_slug").filter(F.col("ratio") >= least_ratio), F.lit(11), "ratio", F.col("ratio"))))
+        pairs = pairs.unionByName(alike_pairs(rest, cat, block, name, "_slug", least_ratio).withColumn("_order", F.lit(11)))
+    scored = similarity(pairs, name, "_slug").filter(F.col("ratio") >= F.when(F.col("_order") == 10, LEAST_WORDS).otherwise(least_ratio))
+    later = scored.join(cat, [block, "_slug"]).select(block, name, "_slug", key, F.col("ratio").alias("score"), F.when(F.col("_order") == 10, "words").otherwise("ratio").alias("stage"), "_order")
+    done = found.unionByName(best(later))
     return todo.join(done, [block, name], "left").select(block, name, key, F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("stage", F.lit("none")).alias("stage"))
 
 
 def with_floor(matches: DataFrame, key: str, floor: float = 0.85) -> DataFrame:
-    """Keys of matches under the floor become null."""
-    return matches.withColumn(key, F.when(F.col("score") >= floor, F.col(key)))
+    """Keys as text; those of matches under the floor become empty."""
+    return matches.withColumn(key, F.when(F.col("score") >= floor, F.col(key).cast("string")).otherwise(F.lit("")))
 
 
 def hints(names: DataFrame, catalog: DataFrame, block: str, name: str, key: str, cell: list[str], aliases: DataFrame | None = None) -> DataFrame:

@@ -39,7 +39,7 @@ def test_accepted_hits_are_a_fold(spark, sf):
 def test_fuzzy_cascade_stages(spark, sf):
     got = registry.queries()["fuzzy_cascade"](spark, sf).collect()
     assert {r.stage for r in got} - {"exact", "alias", "suffix", "words", "ratio", "none"} == set()
-    assert all((r.key is None) == (r.score < 0.85) for r in got)
+    assert all((r.key == "") == (r.score < 0.85) for r in got)
 
 
 def test_texts_are_read_whole(spark, tmp_path):
@@ -98,7 +98,7 @@ def test_names_against_brute_force(spark, sf):
     want = {}
     for r in names:
         key, score, stage = match(r.block, r.name, 0.85)
-        want[r.block, r.name] = (key if score >= 0.85 else None, score, stage)
+        want[r.block, r.name] = (str(key) if score >= 0.85 else "", score, stage)
     assert got == want and {x[2] for x in got.values()} == {"exact", "alias", "suffix", "words", "ratio", "none"}
     best = {}
     for r in names:
@@ -109,6 +109,35 @@ def test_names_against_brute_force(spark, sf):
     assert hints == best
 
 
+def test_pairs_that_may_be_alike_miss_none_and_are_few(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    from panelspark.operators import identity
+
+    rng = random.Random(7)
+    syllables = [c + v for c in "bcdfglmnprst" for v in "aeiou"]
+    counts = {}
+    for n in (300, 1200):
+        base = [("_" if rng.random() < 0.1 else "").join(rng.choice(syllables) for _ in range(rng.randrange(1, 8))) for _ in range(n)]
+
+        def typo(x):
+            for _ in range(rng.choice([0, 1, 1, 2])):
+                i = rng.randrange(len(x) + 1)
+                x = rng.choice([x[:i] + x[i + 1 :], x[:i] + rng.choice("aeiouxyz") + x[i:], x[:i] + rng.choice("aeiouxyz") + x[i + 1 :]])
+            return x or "a"
+
+        names, cat = sorted({typo(x) for x in base}), sorted(set(base) | {"a", "ab", "abc"})
+        df = lambda rows, c: spark.createDataFrame([("s", x) for x in rows], f"block string, {c} string")
+        pairs = {(r.name, r.slug) for r in identity.alike_pairs(df(names, "name"), df(cat, "slug"), "block", "name", "slug", 0.85).collect()}
+        if n == 300:
+            for least in (0.55, 0.7, 0.85, 0.95):
+                some = {(r.name, r.slug) for r in identity.alike_pairs(df(names, "name"), df(cat, "slug"), "block", "name", "slug", least).collect()}
+                assert {(x, y) for x in names for y in cat if SequenceMatcher(None, x, y).ratio() >= least} <= some
+        counts[n] = len(pairs)
+    assert counts[300] < 300 * 8 and counts[1200] < 1200 * 8  # of 90,000 and 1,440,000
+
+
 def test_hits_at_large_positions(spark):
     from pyspark.sql import functions as F
 
