@@ -28,9 +28,9 @@ class SectionPatterns:
     section_ok: Callable[[Column], Column] | None = None
 
 
-def match_sizes(text: Column, pattern: str) -> Column:
+def match_sizes(text: Column, pattern: str | Column) -> Column:
     """For each match of a pattern: gap (characters between the match before and this one) and size."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    matches = F.regexp_extract_all(text, pattern if isinstance(pattern, Column) else F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
     # an empty match at the very start splits nothing off
     pieces = F.when(F.size(pieces) == F.size(matches), F.concat(F.array(F.lit("")), pieces)).otherwise(pieces)
@@ -130,6 +130,66 @@ def accepted_apart(positions: Column, distance: int) -> Column:
     )
 
 
+def pattern_lists(patterns: DataFrame, state: str) -> DataFrame:
+    """Patterns as data, to one row for each state: arrays of starts (by rank), ends, blacklist and needs.
+
+    patterns: state, kind (start, end, blacklist), rank, name, pattern, confidence, needs (what must follow a start within 300 characters; null for nothing).
+    """
+    of = lambda kind: F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("rank", "name", "pattern", "confidence", "needs"))))
+    return patterns.groupBy(state).agg(of("start").alias("_starts"), of("end").alias("_ends"), of("blacklist").alias("_black"))
+
+
+def locate_by_lists(docs: DataFrame, patterns: DataFrame, state: str, pages: str, least: int = 50, most: int = 15_000, look_back: int = 800, fallback_pages: int = 4) -> DataFrame:
+    """``docs`` with a section each: found, method, start, end (characters from 0), page_start, page_end (from 0, exclusive), confidence.
+
+    pages: array of a document's page texts, which its text joins by line feeds. The patterns of a document's state are joined to it and
+    resolved in one pass over the row: starts by rank, each with all its matches in the first half of the text, refused behind a blacklisted
+    text or without what must follow; the nearest end closes the section. Where no start holds, the first ``fallback_pages`` pages are the section.
+    """
+    x = docs.join(pattern_lists(patterns, state), state, "left")
+    x = x.withColumns({"_text": F.array_join(F.transform(F.coalesce(pages, F.array().cast("array<string>")), lambda p: F.coalesce(p, F.lit(""))), "\n"), "_sizes": F.transform(F.coalesce(pages, F.array().cast("array<string>")), lambda p: F.length(F.coalesce(p, F.lit(""))) + 1)})
+    text, empty = F.col("_text"), F.array().cast("array<struct<rank:int,name:string,pattern:string,confidence:double,needs:string>>")
+    starts, ends, black = (F.coalesce(F.col(c).cast("array<struct<rank:int,name:string,pattern:string,confidence:double,needs:string>>"), empty) for c in ("_starts", "_ends", "_black"))
+
+    def hit(at: Column, size: Column, s: Column) -> Column:
+        before = F.substring(text, F.greatest(at - look_back, F.lit(1)), F.least(F.lit(look_back), at - 1))
+        ok = (at - 1 <= F.length(text) / 2) & ~F.exists(black, lambda b: F.rlike(before, b["pattern"]))
+        ok &= F.coalesce(F.rlike(F.substring(text, at + size, F.lit(300)), s["needs"]), F.lit(True))
+        tail = F.substring(text, at + least, F.length(text))
+        nearest = F.array_min(F.filter(F.transform(ends, lambda e: F.regexp_instr(tail, e["pattern"])), lambda i: i > 0))
+        last = F.coalesce(at - 1 + least + nearest - 1, F.least(at - 1 + most, F.length(text)))
+        confidence = F.when(nearest.isNotNull(), s["confidence"]).otherwise(F.round(s["confidence"] * 0.8, 4))
+        return F.when(ok, F.struct(s["name"].alias("method"), (at - 1).alias("start"), last.alias("end"), confidence.alias("confidence")))
+
+    kind = "struct<method:string,start:int,end:int,confidence:double>"
+
+    def by_pattern(acc: Column, s: Column) -> Column:
+        def step(a: Column, m: Column) -> Column:
+            at = a["next"] + m["gap"]
+            return F.when(a["hit"].isNotNull(), a).otherwise(F.struct((at + m["size"]).cast("int").alias("next"), hit(at, m["size"], s).cast(kind).alias("hit")))
+
+        first = F.aggregate(match_sizes(text, s["pattern"]), F.struct(F.lit(1).alias("next"), F.lit(None).cast(kind).alias("hit")), step, lambda a: a["hit"])
+        return F.when(acc.isNotNull(), acc).otherwise(first)
+
+    x = x.withColumn("_hit", F.aggregate(starts, F.lit(None).cast(kind), by_pattern))
+    total = lambda n: F.aggregate(F.slice("_sizes", F.lit(1), n), F.lit(0), lambda a, v: a + v)
+    some, first_pages = F.size("_sizes") > 0, F.least(F.lit(fallback_pages), F.size("_sizes"))
+    found = F.col("_hit").isNotNull()
+    begin, end = F.when(found, F.col("_hit.start")).when(some, 0), F.when(found, F.col("_hit.end")).when(some, F.least(total(first_pages) - 1, F.length(text)))
+    # the page of a character is how many pages end at or before it
+    page = lambda at: F.size(F.filter(F.sequence(F.lit(1), F.size("_sizes")), lambda n: total(n) <= at))
+    return x.select(
+        *docs.columns,
+        some.alias("found"),
+        F.when(found, F.col("_hit.method")).when(some, F.lit(f"fallback_{fallback_pages}pp")).otherwise("no_text").alias("method"),
+        begin.alias("start"),
+        end.alias("end"),
+        F.when(found, page(begin)).when(some, 0).alias("page_start"),
+        F.when(found, page(F.greatest(end - 1, begin)) + 1).when(some, first_pages).alias("page_end"),
+        F.when(found, F.col("_hit.confidence")).otherwise(0.0).alias("confidence"),
+    )
+
+
 def packed(sizes: DataFrame, group: str, order: str, size: str, limit: int, most: int) -> DataFrame:
     """Batch numbers by next-fit: a batch closes when the next item would pass the limit or the number of items.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.functions import text
-from panelspark.operators import documents, review, segment, variants
+from panelspark.operators import documents, review, segment, validation, variants
 from panelspark.plans import document_queries
 from panelspark.plans.tables import table
 
@@ -173,3 +173,31 @@ RULED_OUT = ["by the", "with"]
 def entities_by_patterns(spark: SparkSession, sf: str) -> DataFrame:
     """TXT10: names by several patterns, without those behind excluded words, each once with its first pattern and place."""
     return segment.entities(table(spark, sf, "documents"), "doc_id", "text", ENTITIES, RULED_OUT, 40)
+
+
+@query(f"""
+WITH s AS ({SQL["second_form_documents"]}),
+x AS (
+  SELECT o_custkey AS entity, year(o_orderdate)::BIGINT AS year, l_orderkey, 'doc_' || l_orderkey || '.json' AS path, scheme, scheme <> 'otro_no_clasificado' AS valid, coalesce(n_rows, 0) AS n, category,
+    ['progresivo', 'progresivo', 'tarifa_millar', 'tasa_unica', 'cuota_fija', 'mixto', 'progresivo'][l_orderkey % 7 + 1] AS declared FROM s JOIN orders ON o_orderkey = l_orderkey
+), p AS (
+  SELECT *, CASE WHEN scheme IN ('progresivo', 'tarifa_millar') THEN n ELSE 0 END AS m, lag(scheme) OVER w AS ps, lag(valid) OVER w AS pv, lag(year) OVER w AS py, lag(CASE WHEN scheme IN ('progresivo', 'tarifa_millar') THEN n ELSE 0 END) OVER w AS pm,
+    row_number() OVER w AS rn FROM x WINDOW w AS (PARTITION BY entity ORDER BY year, l_orderkey)
+), a AS (
+  SELECT *, list_sort(list_filter([CASE WHEN NOT valid THEN 'otro_no_clasificado_' || category WHEN declared <> scheme THEN 'reclasificado_de_' || declared || '_a_' || scheme END,
+    CASE WHEN valid AND pv AND scheme <> ps THEN 'cambio_esquema_' || ps || '_a_' || scheme || '_desde_' || py END, CASE WHEN pm > 0 AND m > 0 AND (m > 2 * pm OR 2 * m < pm) THEN 'cambio_brusco_n_filas_' || pm || '_a_' || m END], lambda t: t IS NOT NULL)) AS anomalies FROM p
+), years AS (SELECT DISTINCT entity, year FROM x), span AS (SELECT unnest(range(min(year), max(year) + 1)) AS year FROM x),
+grid AS (SELECT e.entity, span.year, years.year IS NOT NULL AS there FROM (SELECT DISTINCT entity FROM x) e CROSS JOIN span LEFT JOIN years ON years.entity = e.entity AND years.year = span.year)
+SELECT 'summary' AS output, entity, year, scheme AS value, array_to_string(anomalies, '|') AS detail, valid, path, NULL::INT AS n_years, NULL::INT AS n_missing, CASE WHEN scheme = 'tarifa_millar' THEN n ELSE 0 END::INT AS n_tarifa_rows,
+  CASE WHEN scheme = 'progresivo' THEN n ELSE 0 END::INT AS n_prog_rows, CASE WHEN scheme = 'tasa_unica' THEN n ELSE 0 END::INT AS n_tasa_unica_rows, CASE WHEN scheme IN ('cuota_fija_simple', 'cuota_fija_escalonada') THEN n ELSE 0 END::INT AS n_cuota_fija_rows, CASE WHEN scheme = 'mixto' THEN n ELSE 0 END::INT AS n_mixta_rows FROM a
+UNION ALL SELECT 'anomalies', entity, year, unnest(anomalies), NULL, NULL, path, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM a
+UNION ALL SELECT 'schema_timeline', entity, year, scheme, NULL, valid, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM a
+UNION ALL SELECT 'schema_switches', entity, year, ps, scheme, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM a WHERE valid AND pv AND ps <> scheme
+UNION ALL SELECT 'coverage_by_muni', entity, NULL, coalesce(string_agg(year, ';' ORDER BY year) FILTER (WHERE there), ''), coalesce(string_agg(year, ';' ORDER BY year) FILTER (WHERE NOT there), ''), NULL, NULL, count(*) FILTER (WHERE there), count(*) FILTER (WHERE NOT there), NULL, NULL, NULL, NULL, NULL FROM grid GROUP BY entity
+UNION ALL SELECT 'stability_flags', entity, year, CASE scheme WHEN 'progresivo' THEN 'prog' ELSE 'millar' END || '_rowcount_jump_' || pm || '_to_' || m, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM a WHERE ps = scheme AND m > 0 AND pm > 0 AND abs(m - pm) > 2
+""")
+def validation_run(spark: SparkSession, sf: str) -> DataFrame:
+    """NST05, NST04: every document brought to its variant and counted, rules between years, and all outputs of the run as one tagged table."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("entity"), F.year("o_orderdate").alias("year"))
+    docs = _first_form(spark, sf).join(o, "l_orderkey").withColumn("path", F.concat(F.lit("doc_"), F.col("l_orderkey").cast("string"), F.lit(".json")))
+    return validation.outputs(docs, "entity", "year", "l_orderkey", "path")
