@@ -38,7 +38,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from .arrowtext import NOT_SPACE, buffers, slices, words
 from .pretokens import PLAIN, PieceCache, byte_letters, byte_level_pieces, distinct, odd_rows, special_strings, tokenizer_of
-from .shared import checked
+from .shared import checked, tidy
 
 #: Bytes of a word whose ranks are scanned; longer words use a heap.
 SHORT = 48
@@ -295,7 +295,7 @@ def bpe_encoded(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col
                 more = [_on_worker(Decoder, shared.value)(ids).cast(pa.string())] if decoded_col else []
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids, *more], names=[f.name for f in fields])
 
-    return source.mapInArrow(run, StructType(fields))
+    return source.mapInArrow(tidy(run), StructType(fields))
 
 
 def bpe_decoded(rows: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -313,4 +313,4 @@ def bpe_decoded(rows: DataFrame, tokenizer: str, ids_col: str = "ids", text_col:
                 part = batch.slice(i, 512)
                 yield pa.RecordBatch.from_arrays([*part.columns, decode(part.column(at)).cast(pa.string())], names=[*kept, text_col])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrowtext import ALNUM, buffers, hashes, slices, words
-from .shared import checked, packed, stored
+from .shared import checked, packed, stored, tidy
 
 BLOCK_BYTES = 32 << 20
 #: Bytes of documents in an array.
@@ -294,7 +294,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     sha = {k: _names_sha(x) for k, x in names.items()}
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array(m.count), pa.array(n_hit), pa.array([len(names[k]) for k in rows], pa.int64()), pa.array([sha[k] for k in rows], pa.string()), pa.array(n_hit > 0), *m.places(test)], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def _in_passes(docs: DataFrame, blocks: Iterator[TestSuffixes], id_col: str, text_col: str, clean_rows: bool) -> DataFrame:
@@ -317,7 +317,7 @@ def _in_passes(docs: DataFrame, blocks: Iterator[TestSuffixes], id_col: str, tex
                     out = [part.column(0), part.column(1), pa.array(m.count), pa.array(bits, pa.binary()), pa.array([names[k] for k in rows], pa.list_(pa.string())), *m.places(test)]
                     yield pa.RecordBatch.from_arrays(out, names=["_id", "_h", "n_words", "bits", "names", "longest", "longest_item", "longest_at"])
 
-        one = stored(slim.mapInArrow(run, f"_id {kind}, _h long, n_words long, bits binary, names array<string>, longest long, longest_item string, longest_at long"), "hits")
+        one = stored(slim.mapInArrow(tidy(run), f"_id {kind}, _h long, n_words long, bits binary, names array<string>, longest long, longest_item string, longest_at long"), "hits")
         shared.destroy()
         found = one if found is None else found.unionByName(one)
         last = one
@@ -378,7 +378,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
                     if len(found):
                         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.full(len(found), i))), pa.array([test.names[j] for j in found[:, 0]], pa.string()), pa.array(found[:, 1]), pa.array(found[:, 2])], names=schema.names)
 
-        found = stored(source.mapInArrow(run, schema), "longest")
+        found = stored(source.mapInArrow(tidy(run), schema), "longest")
         shared.destroy()
         out = found if out is None else out.unionByName(found)
     return out

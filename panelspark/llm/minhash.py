@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .arrowtext import NOT_SPACE, buffers, hashes, mix, shingles, slices, words
 from .components import components
-from .shared import checked, drop_stored, packed, stored
+from .shared import checked, drop_stored, packed, stored, tidy
 from .sketch import band_keys, bands_for, sketch
 
 ROWS, MISS = 4, 1e-7
@@ -78,7 +78,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, similarity:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(b) + 1) * bands, pa.int32()), pa.array(b.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(offsets)), pa.array(k1), pa.array(k2), lists], names=["id", "n", "k1", "k2", "bands"])
 
-    return source.mapInArrow(run, "id long, n long, k1 long, k2 long, bands array<long>")
+    return source.mapInArrow(tidy(run), "id long, n long, k1 long, k2 long, bands array<long>")
 
 
 def _small(stored_rows: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ def _candidate_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col:
                 data = keys.tobytes()
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(k1), pa.array([data[8 * a : 8 * b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())], names=["rep", "k1", "set"])
 
-    return source.mapInArrow(run, "rep long, k1 long, set binary").dropDuplicates(["rep", "k1"])
+    return source.mapInArrow(tidy(run), "rep long, k1 long, set binary").dropDuplicates(["rep", "k1"])
 
 
 def forest(left: list[np.ndarray], right: list[np.ndarray], names_left: np.ndarray, names_right: np.ndarray, comp_left: np.ndarray, comp_right: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -175,7 +175,7 @@ def _verify(groups: DataFrame, percent: int) -> DataFrame:
         if found:
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found]), pa.array([x[1] for x in found])], names=["a", "b"])
 
-    return ordered.mapInArrow(run, "a long, b long")
+    return ordered.mapInArrow(tidy(run), "a long, b long")
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
@@ -226,7 +226,7 @@ def _hopeless(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 row = pa.array(np.repeat(np.arange(part.num_rows), np.diff(offsets) // 8))
                 yield pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), pa.array(np.frombuffer(raw.tobytes(), np.int64))], names=["rep", "k1", "e"])
 
-    each = alive.join(sets, ["rep", "k1"]).select("rep", "k1", "set").mapInArrow(elements, "rep long, k1 long, e long")
+    each = alive.join(sets, ["rep", "k1"]).select("rep", "k1", "set").mapInArrow(tidy(elements), "rep long, k1 long, e long")
     # of an element that one class holds, the least class is that class
     alone = each.groupBy("e").agg(F.count("*").alias("classes"), F.min("rep").alias("rep"), F.min("k1").alias("k1")).filter("classes = 1").groupBy("rep", "k1").agg(F.count("*").alias("alone"))
     # what is shared is n - alone at most, and the union n at least

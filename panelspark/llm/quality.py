@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrowtext import NOT_SPACE, buffers, hashes, mix, slices, words
-from .shared import checked, hash_share
+from .shared import checked, hash_share, tidy
 
 TRAIN_DOCS = 3000
 BUCKETS, DIMENSIONS, RATE, STEP = 1 << 18, 8, 0.5, 20
@@ -193,7 +193,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                 else:
                     yield pa.RecordBatch.from_arrays([columns[c] for c in kept], names=kept).filter(pa.array(scores >= least))
 
-    out = source.mapInArrow(run, schema)
+    out = source.mapInArrow(tidy(run), schema)
     if least is not None:
         return out
     return out.withColumn("held_out", held_out(id_col)).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

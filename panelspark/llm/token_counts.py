@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .arrowtext import Words, buffers, hashes, slices
 from .pretokens import PieceCache, PieceEncoder, byte_letters, byte_level_pieces, odd_rows, special_strings, tokenizer_of
-from .shared import checked
+from .shared import checked, tidy
 
 _WORKER: dict = {}
 
@@ -111,4 +111,4 @@ def token_counts(docs: DataFrame, tokenizer: str, text_col: str = "text", limit:
                 _, offsets = buffers(part.column(len(kept)))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(np.diff(offsets)), pa.array(n)], names=[*kept, "n_bytes", "n_tokens"])
 
-    return source.mapInArrow(run, schema).withColumn("over_limit", F.col("n_tokens") > limit)
+    return source.mapInArrow(tidy(run), schema).withColumn("over_limit", F.col("n_tokens") > limit)

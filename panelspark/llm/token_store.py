@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .arrowtext import NOT_SPACE, buffers, slices, words
 from .pretokens import PieceCache, PieceEncoder, distinct, tokenizer_of
-from .shared import checked, hash_share
+from .shared import checked, hash_share, tidy
 
 TRAIN_DOCS, TRAIN_BYTES, DICTIONARY_BYTES = 400, 50_000, 32_768
 BLOCK_IDS = 2_000_000
@@ -152,7 +152,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
             yield out()
 
     ordered = source.withColumn("_tie", F.xxhash64(f"`{text_col}`")).repartitionByRange(F.col(f"`{id_col}`").asc_nulls_first(), "_tie").sortWithinPartitions(F.col(f"`{id_col}`").asc_nulls_first(), "_tie")
-    ordered.select(id_col, text_col).mapInArrow(run, schema).write.option("compression", "none").parquet(f"{path}/blocks")
+    ordered.select(id_col, text_col).mapInArrow(tidy(run), schema).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 def _dictionary(spark: SparkSession, path: str) -> tuple[str, bytes, int]:
@@ -194,7 +194,7 @@ def read_digests(spark: SparkSession, path: str, id_col: str = "doc_id") -> Data
 
     # a row for each block, so blocks themselves need not move
     starts = F.broadcast(starts) if totals.count() <= BROADCAST_BLOCKS else starts
-    return blocks.join(starts, ["part", "block"]).select("dict_hash", "doc_ids", "offsets", "frames", "start").mapInArrow(run, schema)
+    return blocks.join(starts, ["part", "block"]).select("dict_hash", "doc_ids", "offsets", "frames", "start").mapInArrow(tidy(run), schema)
 
 
 def read_one(spark: SparkSession, path: str, doc_id) -> list[list[int]]:
