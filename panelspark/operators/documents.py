@@ -69,6 +69,19 @@ def table_detectors(rows: str = "rows", scheme: str = "scheme", description: str
     return found
 
 
+def declared_detectors(rows: str = "rows", scheme: str = "scheme") -> list[Detector]:
+    """The rules on a table as it is declared. Only brackets of a progressive table must not fall; bands of fixed amounts may."""
+    t, s = F.col(rows), F.col(scheme)
+    fall = nested.first_drop(F.transform(t, lambda r: r["fixed"]))
+    top = F.array_max(F.filter(F.transform(t, lambda r: r["rate"]), lambda x: x.isNotNull() & (x != 0)))
+    kept = {"tabla_vacia", "otro_no_clasificado", "progresivo_tasa_cero"}
+    return [
+        *[d for d in table_detectors(rows, scheme) if d.name in kept],
+        Detector("rangos_no_monotonos", "SEV2", lambda: (s == "progresivo") & fall.isNotNull(), lambda: fall.cast("string")),
+        Detector("tarifa_millar_factor", "SEV2", lambda: (s == "tarifa_millar") & (top < 0.5), lambda: F.format_string("%.2f", top)),
+    ]
+
+
 #: Words of passing provisions, which show that a description comes from the wrong section; fixed values.
 PASSING = r"(?i)\b(transitor|abrog|salario\s*m[ií]nim|d[ií]as?\s+de\s+salario|vsm\b|vigencia|publicaci[oó]n\s+oficial)"
 

@@ -174,12 +174,12 @@ def fragmentation_topn(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH c(concept, a, b) AS (VALUES ('brass', 'brass', ''), ('small tin', 'small', 'tin'), ('steel', 'steel', '')), x AS (SELECT concept, p_brand FROM part JOIN c ON contains(lower(p_type), a) AND contains(lower(p_type), b))
+WITH c(concept, a, b) AS (VALUES ('ring', 'ring', ''), ('small gear', 'small', 'gear'), ('red', 'red', '')), x AS (SELECT concept, p_brand FROM part JOIN c ON contains(lower(p_name), a) AND contains(lower(p_name), b))
 SELECT concept, count(*)::BIGINT AS n, count(DISTINCT p_brand)::BIGINT AS groups FROM x GROUP BY concept
 """)
 def concept_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    """AGG23."""
-    return aggregates.concept_overlap(table(spark, sf, "part"), "p_type", "p_brand", {"brass": ["brass"], "small tin": ["small", "tin"], "steel": ["steel"]})
+    """AGG23: rows that hold all words of a concept, and the groups they are in."""
+    return aggregates.concept_overlap(table(spark, sf, "part"), "p_name", "p_brand", {"ring": ["ring"], "small gear": ["small", "gear"], "red": ["red"]})
 
 
 def _priority_rank(c: Column) -> Column:
@@ -423,7 +423,7 @@ SELECT l_orderkey, 'otro_no_clasificado' AS detector, 'SEV1' AS severity, '' AS
 UNION ALL SELECT l_orderkey, 'rangos_no_monotonos', 'SEV2', drop_at::VARCHAR FROM tops WHERE drop_at IS NOT NULL
 UNION ALL SELECT l_orderkey, 'progresivo_tasa_cero', 'SEV1', size::VARCHAR FROM done WHERE scheme = 'progresivo' AND zero""")
 def document_detectors(spark: SparkSession, sf: str) -> DataFrame:
-    """DET06, DET07, DET08, DET10, UDX03: a registry of rules over each document's table, in one pass."""
+    """DET07, DET10, UDX03: a registry of rules over each document's table, in one pass."""
     return documents.detect(_classified(spark, sf), ["l_orderkey"], documents.table_detectors())
 
 

@@ -106,7 +106,7 @@ def nearest_year_fill(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {OBS} SELECT a.entity, a.year, a.tipo, b.tipo AS adj_tipo FROM obs a LEFT JOIN obs b ON b.entity = a.entity AND b.year = a.year - 1")
 def adjacent_year_join(spark: SparkSession, sf: str) -> DataFrame:
-    """SRC08, HIL07: exactly the year before, not the row before."""
+    """SRC08: exactly the year before, not the row before."""
     return joins.adjacent(observations(spark, sf).select("entity", "year", "tipo"), -1, ["tipo"])
 
 
@@ -205,7 +205,7 @@ def impute_tipo_only(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {IMPUTED} SELECT gap_reason, year, count(*)::BIGINT AS n FROM imputed WHERE gap_reason IS NOT NULL GROUP BY 1, 2")
 def gap_reasons(spark: SparkSession, sf: str) -> DataFrame:
-    """IMP07, DET18: what is left, and why."""
+    """IMP07: what is left, and why."""
     return aggregates.counts(_imputed(spark, sf).filter("gap_reason IS NOT NULL"), "gap_reason", "year")
 
 

@@ -258,7 +258,7 @@ def adapted_tables(spark: SparkSession, sf: str) -> DataFrame:
 @query("""WITH m AS (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, lag(l_quantity) OVER w AS q, lag(l_discount) OVER w AS d, lag(l_tax) OVER w AS t, row_number() OVER w AS i FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_discount, l_tax))
 SELECT l_orderkey, l_linenumber, concat_ws(',', CASE WHEN l_quantity IS DISTINCT FROM q THEN 'l_quantity' END, CASE WHEN l_discount IS DISTINCT FROM d THEN 'l_discount' END, CASE WHEN l_tax IS DISTINCT FROM t THEN 'l_tax' END) AS changed FROM m WHERE i > 1""")
 def struct_differences(spark: SparkSession, sf: str) -> DataFrame:
-    """NST12, NST13, DET17: fields that differ from the row before."""
+    """NST13: fields that differ from the row before."""
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_quantity", "l_discount", "l_tax")
     cur = F.struct("l_quantity", "l_discount", "l_tax")
     x = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", cur.alias("a"), F.lag(cur).over(w).alias("b"), F.row_number().over(w).alias("i")).filter("i > 1")
@@ -268,7 +268,7 @@ def struct_differences(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT doc_id, CASE WHEN n_chars < 100 THEN 'frontera_sin_verificar' WHEN label IS NULL THEN 'cobertura_incompleta' WHEN label = 0 THEN 'extraccion_fallida' END AS detector, CASE WHEN n_chars < 100 THEN 'SEV1-H' WHEN label IS NULL THEN 'SEV2' ELSE 'SEV1' END AS severity
 FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS label FROM labels GROUP BY doc_id) USING (doc_id) WHERE n_chars < 100 OR label IS NULL OR label = 0""")
 def coverage_detectors(spark: SparkSession, sf: str) -> DataFrame:
-    """DET01, DET04, HIL06: unverified boundaries, placeholders and failed extractions."""
+    """Three labels of documents by length and review, each with its severity."""
     lab = table(spark, sf, "labels").groupBy("doc_id").agg(F.max("quality").alias("label"))
     x = table(spark, sf, "documents").select("doc_id", "n_chars").join(lab, "doc_id", "left")
     found = F.when(F.col("n_chars") < 100, F.struct(F.lit("frontera_sin_verificar").alias("detector"), F.lit("SEV1-H").alias("severity"))).when(F.col("label").isNull(), F.struct(F.lit("cobertura_incompleta").alias("detector"), F.lit("SEV2").alias("severity"))).when(F.col("label") == 0, F.struct(F.lit("extraccion_fallida").alias("detector"), F.lit("SEV1").alias("severity")))
@@ -330,7 +330,7 @@ def article_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT o_custkey, string_agg(DISTINCT year(o_orderdate)::VARCHAR, ',' ORDER BY year(o_orderdate)::VARCHAR) AS years, count(DISTINCT year(o_orderdate))::BIGINT AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey")
 def failures_by_entity(spark: SparkSession, sf: str) -> DataFrame:
-    """OTH11, OTH12, OTH42: an entity's failing years, sorted."""
+    """OTH11: an entity's failing years, sorted."""
     x = table(spark, sf, "orders").filter("o_orderstatus = 'O'").groupBy("o_custkey").agg(F.sort_array(F.collect_set(F.year("o_orderdate"))).alias("y"))
     return x.select("o_custkey", F.array_join(F.transform("y", lambda y: y.cast("string")), ",").alias("years"), F.size("y").cast("long").alias("n"))
 
