@@ -130,16 +130,13 @@ def key_values(c: Column) -> Column:
 
 def money(c: Column) -> Column:
     """An amount in either style: 1,234.56 or 1.234,56; one comma before one or two digits is a decimal comma. No digit: null."""
-    # bound once: Spark would work the cleaned text out again at each use
-    return F.get(F.transform(F.array(F.regexp_replace(c, "[^0-9,.\\-]", "")), _amount), F.lit(0))
-
-
-def _amount(s: Column) -> Column:
-    commas = F.length(s) - F.length(F.replace(s, F.lit(","), F.lit("")))
-    has_dot, last_dot, last_comma = s.contains("."), F.length(F.substring_index(s, ".", -1)), F.length(F.substring_index(s, ",", -1))
+    s = F.regexp_replace(c, "[^0-9,.\\-]", "")
+    # the cleaned text stands twice in what is always worked out, so that generated code keeps it for all other uses
+    digits = F.length(s) - F.length(F.translate(s, "0123456789", ""))
+    commas = F.length(s) - F.length(F.translate(s, ",", ""))
+    has_dot, last_dot, last_comma = F.contains(s, F.lit(".")), F.length(F.substring_index(s, ".", -1)), F.length(F.substring_index(s, ",", -1))
     european = F.when((commas > 0) & has_dot, last_comma < last_dot).otherwise((commas > 1) | (commas == 1) & last_comma.between(1, 2))
-    picked = F.when(european, F.translate(F.replace(s, F.lit("."), F.lit("")), ",", ".")).otherwise(F.replace(s, F.lit(","), F.lit("")))
-    return F.when(s.rlike("\\d"), picked.try_cast("double"))
+    return F.when(digits > 0, F.when(european, F.translate(s, ",.", ".")).otherwise(F.translate(s, ",", "")).try_cast("double"))
 
 
 def lenient_number(c: Column) -> Column:

@@ -69,6 +69,21 @@ def outputs(routes: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def output_names() -> Column:
+    """For a row of ``routed``, which of ``outputs`` take it: an array of names, so that all are made in one pass."""
+    done = F.col("outcome") == "done"
+    rules = {
+        "log": done,
+        "copies": done & F.col("copy_to").isNotNull(),
+        "edits": done & F.col("minor"),
+        "overrides": done & F.col("pages").isNotNull(),
+        "queue": done & F.col("decision").isin("reextraer", "re_segmentar"),
+        "closed": done & F.col("closes"),
+        "failures": F.col("outcome").isin("error", "invalid"),
+    }
+    return F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]))
+
+
 def audit_result(decision: Column, right_type: Column, pdf: Column, pages: Column, notes: Column, known: Column) -> Column:
     """What an audit's decision leads to; ``known`` says whether the row names its cell."""
     there = lambda c: F.coalesce(F.trim(c) != "", F.lit(False))

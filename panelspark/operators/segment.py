@@ -38,9 +38,19 @@ def match_sizes(text: Column, pattern: str | Column) -> Column:
     return F.filter(both, lambda x: x["size"].isNotNull())
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body has it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _first_hit(text: Column, p: SectionPatterns, name: str, pattern: str, confidence: float) -> Column:
     """The section at the first match of a start pattern that holds, or null."""
 
+    def section(at: Column, last: Column, closed: Column) -> Column:
+        ok = p.section_ok(F.substring(text, at, last - at + 1)) if p.section_ok else F.lit(True)
+        sure = F.when(closed, F.lit(confidence)).otherwise(F.lit(round(confidence * 0.8, 4)))
+        return F.when(ok, F.struct(F.lit(True).alias("found"), F.lit(name).alias("method"), (at - 1).alias("start"), last.alias("end"), sure.alias("confidence")))
+
     def hit_at(at: Column) -> Column:
         before = F.substring(text, F.greatest(at - p.look_back, F.lit(1)), F.least(F.lit(p.look_back), at - 1))
         ok = F.lit(True)
@@ -49,20 +59,17 @@ def _first_hit(text: Column, p: SectionPatterns, name: str, pattern: str, confid
         if p.context_ok:
             ok = ok & p.context_ok(before)
         tail = F.substring(text, at + p.least, F.length(text))
-        ends = [F.when(F.regexp_instr(tail, F.lit(e)) > 0, F.regexp_instr(tail, F.lit(e))) for e in p.ends]
-        nearest = F.least(*ends) if len(ends) > 1 else ends[0]
-        last = F.coalesce(at - 1 + p.least + nearest - 1, F.least(at - 1 + p.most, F.length(text)))
-        if p.section_ok:
-            ok = ok & p.section_ok(F.substring(text, at, last - at + 1))
-        hit = F.struct(F.lit(True).alias("found"), F.lit(name).alias("method"), (at - 1).alias("start"), last.alias("end"), F.when(nearest.isNotNull(), F.lit(confidence)).otherwise(F.lit(round(confidence * 0.8, 4))).alias("confidence"))
-        return F.when(ok, hit)
+        nearest = F.array_min(F.filter(F.array(*[F.regexp_instr(tail, F.lit(e)) for e in p.ends]), lambda i: i > 0))
+        return F.when(ok, _bound(nearest, lambda n: section(at, F.coalesce(at - 1 + p.least + n - 1, F.least(at - 1 + p.most, F.length(text))), n.isNotNull())))
 
     def step(acc: Column, m: Column) -> Column:
         at = acc["next"] + m["gap"]
         return F.when(acc["hit"].isNotNull(), acc).otherwise(F.struct((at + m["size"]).alias("next"), hit_at(at).alias("hit")))
 
     state = F.struct(F.lit(1).alias("next"), F.lit(None).cast("struct<found:boolean,method:string,start:int,end:int,confidence:double>").alias("hit"))
-    return F.aggregate(match_sizes(text, pattern), state, step, lambda acc: acc["hit"])
+    every = F.aggregate(match_sizes(text, pattern), state, step, lambda acc: acc["hit"])
+    # most texts have their section at the first match; only where that is refused are all matches taken apart
+    return _bound(F.regexp_instr(text, F.lit(pattern)), lambda at: F.when(at > 0, F.coalesce(hit_at(at), every)))
 
 
 def locate(text: Column, p: SectionPatterns) -> Column:

@@ -144,7 +144,7 @@ def two_column_bracket_tax(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT doc_id, (length(text) // 2)::BIGINT AS at, greatest(1, len(list_filter(list_transform(range(0, 40), lambda i: i * 700), lambda s: s <= length(text) // 2)))::BIGINT AS page FROM documents
+SELECT doc_id, (length(text) // 2)::BIGINT AS at, greatest(1, len(list_filter(list_transform(range(0, length(text) // 700 + 1), lambda i: i * 700), lambda s: s <= length(text) // 2)))::BIGINT AS page FROM documents
 """)
 def offset_to_page(spark: SparkSession, sf: str) -> DataFrame:
     """JON16: the page of a character offset."""
