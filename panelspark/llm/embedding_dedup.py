@@ -9,7 +9,7 @@ again by intervals, with products of double-precision matrices.
 Equal vectors are one class first, so a vector that a third of all rows repeat costs nothing. A task returns how many
 links each vector has and a spanning forest of its links, never the links themselves, so output stays linear.
 
-Blocks hold ``BLOCK`` vectors whatever the size of the table. Their boxes are broadcast in runs of ``BOXES``, one at a time, so
+Blocks hold ``BLOCK`` vectors, or fewer wide ones (``BLOCK_BYTES``), whatever the size of the table. Their boxes are broadcast in runs of ``BOXES``, one at a time, so
 neither the driver nor a task holds more of them. The axes come from sums of products of all components, d x d numbers, which
 tasks add up in a tree.
 
@@ -17,7 +17,7 @@ Defined results: components are scaled by the largest of a vector before they ar
 vectors count like others. Vectors that are null, empty or zero, or hold null or non-finite components, link with nothing: n_links 0,
 component_id their own id, kept true. Vectors of different lengths don't link; each length is
 a join of its own. Rows that share a vec_id are one node, and their links add up. A null vec_id links with
-nothing and has component_id null, kept true. An empty table gives an empty table; other columns are left out.
+nothing and has component_id null, kept true. Ids that are not whole numbers are numbered in their order first. An empty table gives an empty table; other columns are left out.
 """
 
 from __future__ import annotations
@@ -30,10 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import checked, stored
+from .shared import by_numbers, checked, stored
 
 #: Axes of the grid, axes of the boxes, vectors of a block, boxes broadcast at a time (some 50 MB), vectors of an interval inside a task.
 GRID_AXES, BOX_AXES, BLOCK, BOXES, INTERVAL = 4, 16, 8192, 200_000, 256
+#: Bytes of a block in double precision at most, however wide its vectors are.
+BLOCK_BYTES = 32 << 20
 #: Parts of a table of blocks at most, and sums of the axes in the middle of their tree.
 PARTS, SUMS = 4096, 32
 #: Partner blocks that share one copy of a block.
@@ -175,7 +177,7 @@ def _links(vectors: DataFrame, d: int, cosine: float) -> DataFrame:
     kind = np.dtype("<f4" if element == "float" else "<f8")
     turned = stored(vectors.select("rep", "m", "embedding").mapInArrow(turn, f"rep long, m long, x array<{element}>, y array<double>, cell array<int>"), "turned")
     n = turned.count()
-    size = BLOCK
+    size = max(1, min(BLOCK, BLOCK_BYTES // (8 * d)))
     n_parts = max(1, min(PARTS, -(-n // size)))
     order = [*[F.get("cell", F.lit(i)) for i in range(grid)], *[F.get("y", F.lit(i)) for i in range(min(2, d))], F.col("rep")]
 
@@ -274,6 +276,10 @@ def _box_runs(blocks: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """For each row: id, n_links, component_id, kept."""
+    return by_numbers(checked(vectors, id_col, vector_col), id_col, lambda rows: _near_vectors(rows, cosine, id_col, vector_col), "component_id")
+
+
+def _near_vectors(vectors: DataFrame, cosine: float, id_col: str, vector_col: str) -> DataFrame:
     single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
     source = checked(vectors, id_col, vector_col).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<float>" if single else "array<double>").alias("embedding"))
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("embedding", lambda x: x != 0)

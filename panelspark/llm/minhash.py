@@ -20,7 +20,7 @@ shingles: there blocks meet blocks.
 Defined results
 * fewer words than a shingle: the whole sequence is the one shingle. No words (null too): an empty set, linked with nothing.
 * rows that share a doc_id are one node: what links one of them links the other. Null doc_id: linked with nothing,
-  component_id null, kept true. An empty table gives an empty table. Other columns are left out (``near_deduplicated`` keeps them,
+  component_id null, kept true. Ids that are not whole numbers are numbered in their order first. An empty table gives an empty table. Other columns are left out (``near_deduplicated`` keeps them,
   whatever their names). A very long text is a row like others; a task holds its hashes, some 20 bytes for each of its letters.
 """
 
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .arrowtext import NOT_SPACE, buffers, hashes, mix, shingles, slices, words
 from .components import components
-from .shared import checked, drop_stored, packed, stored, tidy
+from .shared import by_numbers, checked, drop_stored, packed, stored, tidy
 from .sketch import band_keys, bands_for, sketch
 
 ROWS, MISS = 4, 1e-7
@@ -269,6 +269,10 @@ def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """For each row: id, n_shingles, component_id, kept. Links need 100 * intersection >= percent * union."""
+    return by_numbers(checked(docs, id_col, text_col), id_col, lambda rows: _near_duplicates(rows, id_col, text_col, k, percent), "component_id")
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     sig = stored(signatures(docs, id_col, text_col, k, percent / 100), "signatures")
     # stored, so that the join of rows to classes has plain exchanges on both sides and a class of very many copies is split
@@ -284,7 +288,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         members = stored(_still_open(members, comps), "open")
         done += [comps, members]
     left = stored(_still_open(members.join(_hopeless(members, sets, percent), ["rep", "k1"], "left_anti")), "open")
-    rest = stored(_rest(left, sets, percent), "rest")
+    rest = stored(_rest(left, sets, percent), "rest") if left.limit(1).count() else spark.createDataFrame([], "a long, b long")
 
     named = classes.select("n", "k1", "k2", "rep")
     # an id with several texts links the classes of these
@@ -306,4 +310,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def near_deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without those whose component has a smaller id; all columns are kept."""
     gone = near_duplicates(docs, id_col, text_col, k, percent).filter(~F.col("kept")).select(F.col(f"`{id_col}`").alias("_gone")).distinct()
-    return packed(docs, _id=F.col(f"`{id_col}`").cast("long")).join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("_row.*")
+    return packed(docs, _id=F.col(f"`{id_col}`")).join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("_row.*")

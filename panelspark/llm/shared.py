@@ -109,6 +109,26 @@ def packed(df: DataFrame, **keys: Column) -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[c.alias(k) for k, c in keys.items()])
 
 
+INTEGERS = ("byte", "short", "integer", "long")
+
+
+def by_numbers(rows: DataFrame, id_col: str, results: Callable[[DataFrame], DataFrame], *more: str) -> DataFrame:
+    """``results`` of rows whose ids are whole numbers. Ids of another type are numbered in their order, and numbers in id_col and ``more`` named again."""
+    if rows.schema[id_col].dataType.typeName() in INTEGERS:
+        return results(rows)
+    from panelspark.operators.batches import numbered
+
+    names = stored(numbered(rows.select(F.col(f"`{id_col}`").alias("_name")).filter("_name IS NOT NULL").distinct(), ["_name"], "_number"), "names")
+    known = names.select("_name", "_number")
+    inside = rows.withColumnRenamed(id_col, "_name").join(known, "_name", "left").drop("_name").withColumnRenamed("_number", id_col)
+    out = results(inside)
+    for c in (id_col, *more):
+        named = known.withColumnRenamed("_number", c).withColumnRenamed("_name", f"_named_{c}")
+        columns = out.columns
+        out = out.join(named, c, "left").select(*[F.col(f"_named_{c}").alias(c) if x == c else F.col(f"`{x}`") for x in columns])
+    return out
+
+
 def hash_share(h: Column, wanted: int, rows: int) -> Column:
     """Whether a 64-bit hash is among about ``wanted`` of ``rows``: under a bound, so nothing is sorted or gathered to draw them."""
     if rows <= wanted:

@@ -134,3 +134,22 @@ def test_shared_folder_must_be_set_on_a_cluster(spark):
     cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(ValueError):
         shared_folder(cluster)
+
+
+def test_ids_that_are_no_numbers(spark):
+    rows = [("b", "one two three four five six"), ("a", "one two three four five six"), ("c", "quite another text of six words"), ("Z", None), (None, "x y"), ("b", "one two three four five six")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = sorted((tuple(r) for r in minhash.near_duplicates(df).collect()), key=str)
+    assert got == sorted([("b", 2, "a", False), ("a", 2, "a", True), ("c", 2, "c", True), ("Z", 0, "Z", True), (None, 1, None, True), ("b", 2, "a", False)], key=str)
+    assert sorted((r.doc_id or "" for r in minhash.near_deduplicated(df).collect())) == ["", "Z", "a", "c"]
+    vectors = spark.createDataFrame([("y", [1.0, 0.0]), ("x", [2.0, 0.1]), ("w", [0.0, 1.0]), (None, [1.0, 0.0])], "vec_id string, embedding array<double>")
+    got = sorted((tuple(r) for r in embedding_dedup.near_vectors(vectors).collect()), key=str)
+    assert got == sorted([("y", 1, "x", False), ("x", 1, "x", True), ("w", 0, "w", True), (None, 0, None, True)], key=str)
+
+
+def test_wide_vectors_make_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK_BYTES", 8 * 16 * 10)
+    rng = np.random.default_rng(5)
+    rows = [(i, (np.eye(16)[i % 5] + 0.01 * rng.normal(size=16)).tolist()) for i in range(90)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {i: (17, i % 5) for i in range(90)}
