@@ -9,15 +9,23 @@ from pyspark.sql import functions as F
 
 
 
-def _decomposed(last: int = 0x3000) -> dict[str, str]:
-    """Characters whose compatibility decomposition, without combining marks, is one other character."""
-    plain = {c: "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)) for c in map(chr, range(0xA0, last))}
-    return {c: d for c, d in plain.items() if len(d) == 1 and d != c}
+#: Code points whose compatibility decomposition is looked up: up to CJK, ligatures, and full- and half-width forms.
+RANGES = ((0xA0, 0x3000), (0xFB00, 0xFB07), (0xFF01, 0xFFEF))
 
 
-DECOMPOSED = _decomposed()
+def _decomposed() -> dict[str, str]:
+    """Characters and their compatibility decomposition without combining marks, where it is another text; by rule, not by list."""
+    plain = {c: "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)) for first, last in RANGES for c in map(chr, range(first, last))}
+    return {c: d for c, d in plain.items() if d != c}
+
+
+DECOMPOSED = {c: d for c, d in _decomposed().items() if len(d) == 1}
+#: Combining marks.
+MARKS = "".join(c for c, d in _decomposed().items() if not d)
+#: Ligatures, fractions and the like, which decompose into several characters.
+SEVERAL = {c: d for c, d in _decomposed().items() if len(d) > 1}
 #: Letters that decompose into nothing simpler and their usual Latin spelling; fixed values.
-SPELLED = {"Ø": "O", "ø": "o", "Ł": "L", "ł": "l", "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "Ħ": "H", "ħ": "h", "ı": "i", "ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Þ": "Th", "þ": "th"}
+SPELLED = {"Ø": "O", "ø": "o", "Ł": "L", "ł": "l", "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "Ħ": "H", "ħ": "h", "ı": "i", "ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Þ": "Th", "þ": "th", "\u2044": "/"}
 #: Small words that stay in lower case inside a name; fixed values.
 CONNECTORS = ("de", "del", "la", "las", "los", "el", "y")
 #: Month names; fixed values.
@@ -25,8 +33,11 @@ MONTHS = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agost
 
 
 def without_accents(c: Column) -> Column:
-    """Characters decomposed and combining marks left out; ligatures and fractions, which decompose into several, stay."""
-    return F.regexp_replace(F.translate(c, "".join(DECOMPOSED), "".join(DECOMPOSED.values())), "[\u0300-\u036f]", "")
+    """Characters decomposed (compatibility forms too) and combining marks left out. Texts without a ligature or the like are not taken apart."""
+    names = F.create_map(*[F.lit(x) for kv in SEVERAL.items() for x in kv])
+    spelled = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(names, x), x)), "")
+    whole = F.when(c.rlike("[" + "".join(SEVERAL) + "]"), spelled).otherwise(c)
+    return F.regexp_replace(F.translate(whole, "".join(DECOMPOSED), "".join(DECOMPOSED.values())), f"[{MARKS}]", "")
 
 
 def _in_latin(c: Column) -> Column:

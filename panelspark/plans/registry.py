@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelspark.plans import coverage_queries, document_queries, index_queries, panel_queries, review_queries, source_queries, stream_queries, variant_queries
+from panelspark.plans import coverage_queries, document_queries, index_queries, panel_queries, report_queries, review_queries, source_queries, stream_queries, variant_queries
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,8 +18,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return panel_queries.QUERIES | document_queries.QUERIES | source_queries.QUERIES | variant_queries.QUERIES | review_queries.QUERIES | stream_queries.QUERIES | index_queries.QUERIES | coverage_queries.QUERIES
+    return panel_queries.QUERIES | document_queries.QUERIES | source_queries.QUERIES | variant_queries.QUERIES | review_queries.QUERIES | stream_queries.QUERIES | index_queries.QUERIES | coverage_queries.QUERIES | report_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return panel_queries.SQL | document_queries.SQL | source_queries.SQL | variant_queries.SQL | review_queries.SQL | stream_queries.SQL | index_queries.SQL | coverage_queries.SQL
+    return panel_queries.SQL | document_queries.SQL | source_queries.SQL | variant_queries.SQL | review_queries.SQL | stream_queries.SQL | index_queries.SQL | coverage_queries.SQL | report_queries.SQL
