@@ -334,14 +334,14 @@ def kv_notes(spark: SparkSession, sf: str) -> DataFrame:
 @query(r"""WITH x AS (SELECT doc_id, text, instr(text, '. ') AS a FROM documents), y AS (SELECT *, CASE WHEN a > 0 THEN substr(text, a + 20) END AS tail FROM x), z AS (SELECT *, CASE WHEN instr(tail, chr(10)) > 0 THEN instr(tail, chr(10)) END AS e FROM y)
 SELECT doc_id, a > 0 AS found, CASE WHEN a > 0 THEN 'period' ELSE 'none' END AS method, CASE WHEN a > 0 THEN a - 1 END::INT AS "start", CASE WHEN a > 0 THEN least(coalesce(a - 1 + 20 + e - 1, a - 1 + 2000), a - 1 + 2000, length(text)) END::INT AS "end", CASE WHEN a > 0 THEN CASE WHEN e IS NULL THEN 0.72 ELSE 0.9 END ELSE 0.0 END::DOUBLE AS confidence FROM z""")
 def section_locator(spark: SparkSession, sf: str) -> DataFrame:
-    """TXT01, TXT07, TXT18, OTH09, OTH25: start and end patterns with distances and confidence."""
+    """TXT01, TXT07, OTH09: start and end patterns with distances and confidence."""
     p = segment.SectionPatterns(starts=[("period", "\\. ", 0.9)], ends=["\n"], least=20, most=2000)
     return table(spark, sf, "documents").select("doc_id", segment.locate(F.col("text"), p).alias("s")).select("doc_id", "s.*")
 
 
 @query(r"SELECT doc_id, (regexp_matches(text, '[0-9]')::INT + regexp_matches(text, '(?i)the ')::INT + regexp_matches(text, '@')::INT)::BIGINT AS signals, CASE WHEN regexp_matches(text, '@') THEN 'mail' WHEN regexp_matches(text, '[0-9]{4}') THEN 'number' WHEN regexp_matches(text, '(?i)licen') THEN 'license' ELSE 'other' END AS tag FROM documents")
 def signal_counter(spark: SparkSession, sf: str) -> DataFrame:
-    """TXT02, TXT13, TXT14, TXT15: how many patterns hold, and the first that does."""
+    """TXT02, TXT13: how many patterns hold, and the first that does."""
     tag = text.first_pattern(F.col("text"), [("mail", "@"), ("number", "[0-9]{4}"), ("license", "(?i)licen")], "other")
     return table(spark, sf, "documents").select("doc_id", text.signals(F.col("text"), ["[0-9]", "(?i)the ", "@"]).cast("long").alias("signals"), tag.alias("tag"))
 
@@ -364,14 +364,14 @@ def spanish_dates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""SELECT page_id, len(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1))::BIGINT AS links, array_to_string(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1), ' ') AS targets FROM pages""")
 def html_links(spark: SparkSession, sf: str) -> DataFrame:
-    """TXT17, OTH19."""
+    """OTH19: the links of a page in order."""
     found = F.regexp_extract_all("html", F.lit('<a [^>]*href="([^"]*)"'), F.lit(1))
     return table(spark, sf, "pages").select("page_id", F.size(found).cast("long").alias("links"), F.array_join(found, " ").alias("targets"))
 
 
 @query(r"""SELECT page_id, CASE WHEN regexp_matches(url, '^https?://m\.') THEN 'mobile' WHEN regexp_matches(url, 'page=') THEN 'paged' WHEN regexp_matches(url, '#') THEN 'anchor' ELSE 'plain' END AS era, try_cast(nullif(regexp_extract(url, '/([0-9]+)', 1), '') AS BIGINT) AS number FROM pages""")
 def url_classify(spark: SparkSession, sf: str) -> DataFrame:
-    """TXT12, OTH20."""
+    """TXT12: what kind of address a page has, and the first number in it."""
     era = text.first_pattern(F.col("url"), [("mobile", "^https?://m\\."), ("paged", "page="), ("anchor", "#")], "plain")
     return table(spark, sf, "pages").select("page_id", era.alias("era"), F.nullif(F.regexp_extract("url", "/([0-9]+)", 1), F.lit("")).try_cast("long").alias("number"))
 
@@ -414,7 +414,7 @@ def _classified(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_CLASSED} SELECT l_orderkey, declared, scheme, scheme = declared AS valid, concat_ws('; ', CASE WHEN broken THEN 'rangos_discontinuos' END, CASE WHEN zero THEN 'tasas_cero' END) AS problems FROM done")
 def variant_reclassify(spark: SparkSession, sf: str) -> DataFrame:
-    """NST04, UDX06: the declared variant if it holds, else the first that does, else the escape hatch."""
+    """UDX06: the declared variant if it holds, else the first that does, else the escape hatch."""
     return _classified(spark, sf).select("l_orderkey", "declared", "scheme", "valid", "problems")
 
 
@@ -450,7 +450,7 @@ SELECT 'tasa_cero' AS detector, count(*)::BIGINT AS denominator, count(*) FILTER
 UNION ALL SELECT 'devuelto_alto', count(*) FILTER (WHERE l_returnflag = 'R'), count(*) FILTER (WHERE l_returnflag = 'R' AND l_quantity > 40), round(100.0 * count(*) FILTER (WHERE l_returnflag = 'R' AND l_quantity > 40) / count(*) FILTER (WHERE l_returnflag = 'R'), 4) FROM p
 """)
 def detector_prevalence(spark: SparkSession, sf: str) -> DataFrame:
-    """AGG19: each detector against the rows to which it applies."""
+    """Each rule against the rows to which it applies."""
     return aggregates.prevalence(table(spark, sf, "lineitem"), {"tasa_cero": (F.lit(True), F.col("l_tax") == 0), "devuelto_alto": (F.col("l_returnflag") == "R", F.col("l_quantity") > 40)})
 
 

@@ -126,7 +126,7 @@ def canonical_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {OBS} SELECT entity, year, tipo, monto FROM obs WHERE year BETWEEN 1996 AND 2000 AND trim(tipo) <> '' AND tipo IN ('F', 'P') AND monto > 50000")
 def composed_filters(spark: SparkSession, sf: str) -> DataFrame:
-    """PRJ03, PRJ04, PRJ10, OTH38: year range, filled values, composed filters; all reach the scan."""
+    """PRJ03, PRJ04, PRJ10: year range, filled values, composed filters; all reach the scan."""
     x = observations(spark, sf).filter(F.col("year").between(1996, 2000) & (F.trim("tipo") != ""))
     return x.filter(F.col("tipo").isin("F", "P") & (F.col("monto") > 50000)).select("entity", "year", "tipo", "monto")
 
@@ -217,13 +217,13 @@ def preserved_keys(spark: SparkSession, sf: str) -> DataFrame:
 '[POS 0]' || substr(p_type, 1, 10) || CASE WHEN length(p_type) > 10 THEN '[POS 10]' || substr(p_type, 11, 10) ELSE '' END || CASE WHEN length(p_type) > 20 THEN '[POS 20]' || substr(p_type, 21, 10) ELSE '' END || CASE WHEN length(p_type) > 30 THEN '[POS 30]' || substr(p_type, 31, 10) ELSE '' END AS marked,
 CASE WHEN length(p_type) > 12 THEN substr(p_type, 1, 9) || '...' ELSE p_type END AS short, replace(p_brand, '#', '\#') AS latex FROM part""")
 def title_marks_escape(spark: SparkSession, sf: str) -> DataFrame:
-    """STR06, STR09, STR15, STR17, STR20."""
+    """STR06, STR09, STR15, STR17."""
     return table(spark, sf, "part").select("p_partkey", text.pretty_title(F.col("p_name")).alias("title"), text.with_marks(F.col("p_type"), 10).alias("marked"), text.shorten(F.col("p_type"), 12).alias("short"), text.escaped_latex(F.col("p_brand")).alias("latex"))
 
 
 @query(r"SELECT doc_id, (length(text) - length(regexp_replace(text, '[\p{L}\p{N}]', '', 'g')))::BIGINT AS quality, len(list_filter(list_transform(string_split(regexp_replace(text, '\s+y\s+', ',', 'g'), ','), lambda x: trim(x)), lambda x: length(x) >= 3))::BIGINT AS names FROM documents")
 def text_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """STR07, STR08, STR14: quality score of the repaired text, and how many names the whole text lists."""
+    """STR07, STR08: quality score of the repaired text, and how many names the whole text lists."""
     quality = text.text_quality(text.mojibake_repaired(F.col("text")))
     return table(spark, sf, "documents").select("doc_id", quality.cast("long").alias("quality"), F.size(text.split_names(F.col("text"), 3)).cast("long").alias("names"))
 
@@ -238,7 +238,7 @@ def listed_names(spark: SparkSession, sf: str) -> DataFrame:
 h AS (SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id) - 1 AS total FROM o)
 SELECT doc_id, n::INT AS line_no, start, coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY n), total)::BIGINT AS "end" FROM h WHERE regexp_matches(line, '^[A-Z][a-z]+ [a-z]') QUALIFY true""")
 def header_spans(spark: SparkSession, sf: str) -> DataFrame:
-    """TXT04, OTH26: headers by pattern; each span ends at the next header or the text's end."""
+    """TXT04: headers by pattern; each span ends at the next header or the text's end."""
     x = segment.lines(table(spark, sf, "documents"), "doc_id", "text")
     total = F.sum(F.length("line") + 1).over(Window.partitionBy("doc_id")) - 1
     h = x.withColumn("total", total).filter(F.col("line").rlike("^[A-Z][a-z]+ [a-z]")).withColumnRenamed("offset", "start")
@@ -248,7 +248,7 @@ def header_spans(spark: SparkSession, sf: str) -> DataFrame:
 @query("""WITH r AS (SELECT l_orderkey, l_linenumber AS n, l_quantity AS lower, l_extendedprice / 1000 AS fixed, l_discount * 1000 AS rate, lead(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_extendedprice) AS upper FROM lineitem)
 SELECT l_orderkey, count(*)::BIGINT AS n, round(sum(fixed), 7) AS fixed, round(max(rate), 4) AS rate, count(upper)::BIGINT AS closed FROM r GROUP BY l_orderkey""")
 def adapted_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """NUM11, NST08, UDX05: hard-coded tables in the library's units."""
+    """NUM11, UDX05: hard-coded tables in the library's units."""
     rows = F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_quantity").alias("lower"), F.lit(None).cast("double").alias("upper"), F.col("l_extendedprice").alias("fixed"), F.col("l_discount").alias("rate"))))
     t = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(documents.adapted(rows, 0.001, 1000.0).alias("t"))
     total = F.aggregate("t", F.lit(0.0), lambda a, r: a + r["fixed"])
@@ -320,11 +320,18 @@ def cover_pages(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", segment.skipped_pages(pages, "SUMARIO|INDICE|LICEN").alias("skipped"))
 
 
-@query()
+@query("""
+WITH d AS (SELECT doc_id, len(string_split(coalesce(text, ''), chr(10))) AS n FROM documents)
+SELECT doc_id, (10 + doc_id % 11)::INT AS article, 1::INT AS "first", (CASE WHEN doc_id % 3 = 0 THEN n + 1 ELSE n + 2 END)::INT AS "last" FROM d
+""")
 def article_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """TXT08: the property-tax article of a text, up to the article with the next number."""
+    """TXT08: the property-tax article of a text, up to the article with the next number, passing provisions or an annex."""
     lead = "(?i)^\\s*Art[ií]culo\\s+(%s)\\s*[.\\-–:]\\s*(?:El\\s+)?Imp[uú]esto%s\\b"
-    x = segment.lines(table(spark, sf, "documents"), "doc_id", "text")
+    n, t = F.col("doc_id") % 11 + 10, F.coalesce("text", F.lit(""))
+    article = F.concat(F.lit("\nArtículo "), n.cast("string"), F.lit(". El Impuesto Predial se causa"))
+    end = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("\nArtículo "), (n + 1).cast("string"), F.lit(": Impuesto de otra clase"))).when(F.col("doc_id") % 3 == 1, "\nTransitorios").otherwise("\nAnexo uno")
+    whole = F.concat(F.lit("Ley "), F.substring_index(t, "\n", 1), article, F.when(F.contains(t, F.lit("\n")), F.substring(t, F.instr(t, "\n"), F.length(t))).otherwise(F.lit("")), F.lit("\nsigue"), end, F.lit("\nfin"))
+    x = segment.lines(table(spark, sf, "documents").select("doc_id", whole.alias("text")), "doc_id", "text")
     return segment.article_ranges(x, "doc_id", lead % ("1[0-9]|20", "\\s+Predial"), lead % ("\\d+", ""), "(?i)^\\s*(criterios|anexos?)\\b", "(?i)^\\s*transitorios?\\b")
 
 
@@ -337,13 +344,13 @@ def failures_by_entity(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""WITH g AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey FROM lineitem) SELECT l_suppkey, l_partkey, min(l_orderkey) AS first_order, count(*)::BIGINT AS n FROM g GROUP BY 1, 2""")
 def flattened_records_deduped(spark: SparkSession, sf: str) -> DataFrame:
-    """OTH21, OTH19, TXT17: records of an API answer, deduplicated by natural key; lineitem has them flat."""
+    """Pairs of keys once, with the least order and how many there are."""
     return table(spark, sf, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.min("l_orderkey").alias("first_order"), F.count("*").alias("n"))
 
 
 @query("SELECT p_partkey, replace(p_name, ' ', '_') || CASE WHEN count(*) OVER w > 1 AND row_number() OVER w2 > 1 THEN '__' || p_partkey ELSE '' END AS slug, count(*) OVER w > 1 AS homonym FROM part WINDOW w AS (PARTITION BY p_name), w2 AS (PARTITION BY p_name ORDER BY p_partkey)")
 def homonym_slugs(spark: SparkSession, sf: str) -> DataFrame:
-    """OTH30, OTH23: the lowest code keeps the plain slug, the others get theirs."""
+    """OTH30: the lowest code keeps the plain slug, the others get theirs."""
     w = Window.partitionBy("p_name")
     first = F.row_number().over(w.orderBy("p_partkey"))
     n = F.count("*").over(w)
@@ -359,7 +366,7 @@ def kth_delimited_part(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders WHERE month(o_orderdate) IN (11, 12, 1)")
 def relevant_months(spark: SparkSession, sf: str) -> DataFrame:
-    """OTH29, PRJ18."""
+    """PRJ18: the months in which a year's laws appear."""
     return table(spark, sf, "orders").filter(F.month("o_orderdate").isin(11, 12, 1)).select("o_orderkey", F.to_date("o_orderdate").alias("day"))
 
 
