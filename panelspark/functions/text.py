@@ -33,11 +33,16 @@ MONTHS = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agost
 
 
 def without_accents(c: Column) -> Column:
-    """Characters decomposed (compatibility forms too) and combining marks left out. Texts without a ligature or the like are not taken apart."""
+    """Characters decomposed (compatibility forms too) and combining marks left out.
+
+    Classes of hundreds of characters are slow to look for, so a text is taken apart only if it has a character of a few ranges that hold them all.
+    """
     names = F.create_map(*[F.lit(x) for kv in SEVERAL.items() for x in kv])
     spelled = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(names, x), x)), "")
-    whole = F.when(c.rlike("[" + "".join(SEVERAL) + "]"), spelled).otherwise(c)
-    return F.regexp_replace(F.translate(whole, "".join(DECOMPOSED), "".join(DECOMPOSED.values())), f"[{MARKS}]", "")
+    near = "".join(x for x in SEVERAL if x < "\u0250")
+    one = F.translate(F.when(c.rlike(f"[{near}\u0250-\uffff]"), spelled).otherwise(c), "".join(DECOMPOSED), "".join(DECOMPOSED.values()))
+    plain = F.regexp_replace(one, "[\u0300-\u036f]", "")
+    return F.when(c.rlike("[\u0370-\uffff]"), F.regexp_replace(plain, f"[{MARKS}]", "")).otherwise(plain)
 
 
 def _in_latin(c: Column) -> Column:
