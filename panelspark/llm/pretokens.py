@@ -18,7 +18,7 @@ import numpy as np
 from .arrowtext import NOT_SPACE, Words, hashes, words
 
 #: Entries of a generation of a worker's cache; two generations are held at most.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 400_000
 #: Bare words whose ids are held while the same word stands with different marks.
 KNOWN_WORDS = 200_000
 
