@@ -24,8 +24,9 @@ BLOCK = 1 << 17
 
 
 def numbered(rows: DataFrame, order: list[str], name: str = "position") -> DataFrame:
-    """Rows numbered from 0 in an order, by the numbers of rows of range partitions. The order must tell all rows apart."""
-    placed = stored(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    """Rows numbered from 0 in an order, nulls last, by the numbers of rows of range partitions. The order must tell all rows apart."""
+    by = [F.col(c).asc_nulls_last() for c in order]
+    placed = stored(rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_id", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright("_id", 33)
     # a row for each partition
     sizes = sorted((r.p, r.n) for r in placed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
@@ -113,6 +114,7 @@ def batched(rows: DataFrame, order: list[str], size: str, limit: int, most: int,
             batch = before + np.searchsorted(np.array(begins, np.int64), np.arange(len(own_rows)), "right") - 1
             yield pa.RecordBatch.from_arrays([pa.array(own_rows + b * block), pa.array(batch.astype(np.int64))], names=["_position", "batch"])
 
-    entries = reached.select(F.floor(F.col("entry") / block).alias("_block"), F.col("entry").alias("_entry"), F.col("before").alias("_before"))
+    # the exit of the last block is no entry, though it may lie in that block
+    entries = reached.filter(F.col("entry") <= F.lit(last)).select(F.floor(F.col("entry") / block).alias("_block"), F.col("entry").alias("_entry"), F.col("before").alias("_before"))
     numbers = in_blocks(own.unionByName(ahead).join(entries, "_block"), "_entry", "_before").mapInArrow(number, "_position long, batch long")
     return placed.join(numbers, "_position").select(*rows.columns, "batch")

@@ -25,6 +25,14 @@ def test_batches_over_one_stream(spark, limit, most, kind):
     assert got == brute(sizes, limit, most)
 
 
+@pytest.mark.parametrize("n", [150, 330, 513])
+def test_the_end_of_the_stream_is_no_entry_of_its_last_block(spark, n):
+    sizes = [i * 37 % 90 for i in range(n)]
+    df = spark.createDataFrame(list(enumerate(sizes)), "i long, s long").repartition(3)
+    got = [r.batch for r in sorted(batches.batched(df, ["i"], "s", 100, 4, block=64).collect(), key=lambda r: r.i)]
+    assert got == brute(sizes, 100, 4)
+
+
 def test_batches_of_few_and_odd_rows(spark):
     none = spark.createDataFrame([], "i long, s long")
     assert batches.batched(none, ["i"], "s", 10, 3).count() == 0
@@ -35,3 +43,8 @@ def test_batches_of_few_and_odd_rows(spark):
 def test_rows_are_numbered_in_order(spark):
     df = spark.range(1000).withColumn("s", F.lit(3).cast("long"))
     assert batches.numbered(df.repartition(5), ["id"]).filter("position <> id").count() == 0
+
+
+def test_null_keys_stand_last(spark):
+    rows = spark.createDataFrame([(None, 5), (3, 6), (1, 6)], "i long, s long")
+    assert {(r.i, r.batch) for r in batches.batched(rows, ["i"], "s", 11, 3).collect()} == {(1, 0), (3, 1), (None, 1)}
