@@ -36,6 +36,13 @@ def rounded(x: Column, digits: int = 2) -> Column:
     return F.bround(x.cast("decimal(38,18)"), digits).cast("double")
 
 
+def rounded_as_sql(x: Column, digits: int = 2) -> Column:
+    """SQL's round of a double: the value times a power of ten to the nearest whole number, halves away from zero; a value too large for that stays."""
+    scaled = x * 10.0**digits
+    whole = F.when(scaled < 0, -F.round(-scaled, 0)).otherwise(F.round(scaled, 0))  # a small negative value keeps its sign
+    return F.when(F.abs(scaled) < float("inf"), whole / 10.0**digits).otherwise(x)
+
+
 def index_fold(rates: Column) -> Column:
     """Growth of an ordered array of percent rates: the product of 1 + rate / 100, minus 1."""
     return F.aggregate(rates, F.lit(1.0), lambda a, r: a * (1 + r / 100)) - 1

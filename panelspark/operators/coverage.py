@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelspark.functions.numeric import rounded_as_sql
 from panelspark.functions.text import short_id
 
 #: Reasons of documents, the longest text of a hint and the longest reason in a signal; fixed values of the queue.
@@ -27,7 +28,7 @@ def empty_cells(entities: DataFrame, years: tuple[int, int], documents: DataFram
     empty = spine.join(documents.select("entity", F.col("year").cast("long").alias("year")), ["entity", "year"], "left_anti")
     if hints is None:
         return empty.withColumn("hint", F.lit(None).cast("struct<raw:string,score:double,source:string>"))
-    told = F.struct(F.substring(F.regexp_replace(F.btrim("raw"), r"\s+", " "), 1, HINT_CHARS).alias("raw"), F.round("score", 2).alias("score"), "source")
+    told = F.struct(F.substring(F.regexp_replace(F.btrim("raw"), r"\s+", " "), 1, HINT_CHARS).alias("raw"), rounded_as_sql(F.col("score")).alias("score"), "source")
     best = hints.groupBy("entity", F.col("year").cast("long").alias("year")).agg(F.min_by(told, F.struct(-F.col("score"), "raw")).alias("hint"))
     return empty.join(best, ["entity", "year"], "left")
 

@@ -1,3 +1,4 @@
+import duckdb
 from pyspark.sql import functions as F
 
 from panelspark.operators import coverage
@@ -17,6 +18,15 @@ def test_placeholders_and_hints(spark):
     assert rows["b", 2001][1] == "SEV1" and "y" * 120 + ". " in rows["b", 2001][2] and "null): ?." in rows["b", 2002][2]
 
 
+def test_scores_of_hints_are_rounded_as_the_sql_does(spark):
+    scores = [1.015, 0.285, 1.005, 2.675, 0.125, 7.0, None, 1e300, 1e307, -0.001, -0.125]
+    entities = spark.createDataFrame([(i,) for i in range(len(scores))], "entity long")
+    hints = spark.createDataFrame([(i, 2000, "x", s, "t") for i, s in enumerate(scores)], "entity long, year int, raw string, score double, source string")
+    got = {r.entity: r.hint.score for r in coverage.empty_cells(entities, (2000, 2000), hints.select("entity", "year").limit(0), hints).collect()}
+    con = duckdb.connect()
+    assert {i: repr(s) for i, s in got.items()} == {i: repr(con.execute("SELECT round(?::DOUBLE, 2)", [s]).fetchone()[0]) for i, s in enumerate(scores)} and got[0] == 1.01
+
+
 def test_hints_of_unplaced_names_against_the_names_themselves(spark, sf):
     got = coverage_queries.QUERIES["coverage_hints"](spark, sf).collect()
     names, catalog, _ = document_queries._raw_names(spark, sf)
