@@ -23,6 +23,9 @@ class SectionPatterns:
     least: int = 50
     most: int = 20_000
     signals: list[str] = field(default_factory=list)
+    #: Whether ``most`` holds for sections with an end too, and whether a refused start ends its pattern.
+    capped: bool = False
+    first_only: bool = False
     #: Hooks: whether the text before a start will do, and whether a section will do; a refused start leaves the next match its turn, then the next pattern.
     context_ok: Callable[[Column], Column] | None = None
     section_ok: Callable[[Column], Column] | None = None
@@ -38,6 +41,13 @@ def match_sizes(text: Column, pattern: str | Column) -> Column:
     return F.filter(both, lambda x: x["size"].isNotNull())
 
 
+def place_of(text: Column, pattern: str | Column) -> Column:
+    """Where a pattern first matches, in characters from 1; 0 without a match. ``regexp_instr`` counts characters outside the basic plane twice."""
+    p = pattern if isinstance(pattern, Column) else F.lit(pattern)
+    at = F.regexp_instr(text, p)
+    return F.when(at > 1, F.length(F.get(F.split(text, p, 2), F.lit(0))) + 1).otherwise(at)
+
+
 def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is worked out once, however often the body has it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -59,24 +69,26 @@ def _first_hit(text: Column, p: SectionPatterns, name: str, pattern: str, confid
         if p.context_ok:
             ok = ok & p.context_ok(before)
         tail = F.substring(text, at + p.least, F.length(text))
-        nearest = F.array_min(F.filter(F.array(*[F.regexp_instr(tail, F.lit(e)) for e in p.ends]), lambda i: i > 0))
-        return F.when(ok, _bound(nearest, lambda n: section(at, F.coalesce(at - 1 + p.least + n - 1, F.least(at - 1 + p.most, F.length(text))), n.isNotNull())))
+        nearest = F.array_min(F.filter(F.array(*[place_of(tail, e) for e in p.ends]), lambda i: i > 0))
+        most = F.least(at - 1 + p.most, F.length(text))
+        last = lambda n: F.least(at - 1 + p.least + n - 1, most) if p.capped else F.coalesce(at - 1 + p.least + n - 1, most)
+        return F.when(ok, _bound(nearest, lambda n: section(at, last(n), n.isNotNull())))
 
     def step(acc: Column, m: Column) -> Column:
         at = acc["next"] + m["gap"]
         return F.when(acc["hit"].isNotNull(), acc).otherwise(F.struct((at + m["size"]).alias("next"), hit_at(at).alias("hit")))
 
     state = F.struct(F.lit(1).alias("next"), F.lit(None).cast("struct<found:boolean,method:string,start:int,end:int,confidence:double>").alias("hit"))
-    every = F.aggregate(match_sizes(text, pattern), state, step, lambda acc: acc["hit"])
+    every = F.lit(None) if p.first_only else F.aggregate(match_sizes(text, pattern), state, step, lambda acc: acc["hit"])
     # most texts have their section at the first match; only where that is refused are all matches taken apart
-    return _bound(F.regexp_instr(text, F.lit(pattern)), lambda at: F.when(at > 0, F.coalesce(hit_at(at), every)))
+    return _bound(place_of(text, pattern), lambda at: F.when(at > 0, F.coalesce(hit_at(at), every)))
 
 
 def locate(text: Column, p: SectionPatterns) -> Column:
     """Struct found, method, start, end, confidence (characters from 0).
 
     Patterns are tried in order, and all matches of a pattern in theirs; the first that holds is the start. The nearest end
-    ``least`` or more after it closes the section; ``most`` is its size only where there is no end.
+    ``least`` or more after it closes the section; ``most`` is its size only where there is no end, or the most of any if it is ``capped``.
     """
     none = F.struct(F.lit(False).alias("found"), F.lit("none").alias("method"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"), F.lit(0.0).alias("confidence"))
     return F.coalesce(*[_first_hit(text, p, name, pattern, confidence) for name, pattern, confidence in p.starts], none)
@@ -163,7 +175,7 @@ def locate_by_lists(docs: DataFrame, patterns: DataFrame, state: str, pages: str
         ok = (at - 1 <= F.length(text) / 2) & ~F.exists(black, lambda b: F.rlike(before, b["pattern"]))
         ok &= F.coalesce(F.rlike(F.substring(text, at + size, F.lit(300)), s["needs"]), F.lit(True))
         tail = F.substring(text, at + least, F.length(text))
-        nearest = F.array_min(F.filter(F.transform(ends, lambda e: F.regexp_instr(tail, e["pattern"])), lambda i: i > 0))
+        nearest = F.array_min(F.filter(F.transform(ends, lambda e: place_of(tail, e["pattern"])), lambda i: i > 0))
         last = F.coalesce(at - 1 + least + nearest - 1, F.least(at - 1 + most, F.length(text)))
         confidence = F.when(nearest.isNotNull(), s["confidence"]).otherwise(F.round(s["confidence"] * 0.8, 4))
         return F.when(ok, F.struct(s["name"].alias("method"), (at - 1).alias("start"), last.alias("end"), confidence.alias("confidence")))

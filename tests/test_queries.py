@@ -1,3 +1,4 @@
+import duckdb
 import pytest
 
 from panelspark.operators import joins
@@ -221,3 +222,16 @@ def test_products_are_dealt_in_cells(spark, monkeypatch):
     assert sorted(map(tuple, out.collect())) == sorted((k, x, y) for k, x in left for c, y in right if k and k == c)
     none = joins.product_join(spark.createDataFrame([], "k string, x long"), spark.createDataFrame(right, "k string, y long"), ["k"])
     assert none.count() == 0
+
+
+SECTIONS = [("ab. cd" + "e" * 30 + "\n", 1), ("😀 ab. 😀" + "e" * 30 + "\n end", 2), ("x. " + "y" * 2500 + "\na", 3), ("no end. " + "z" * 2500, 4), ("Der. Und. Für.\nZu engen tag\n", 5), (". a", 6), ("none", 7), (None, 8), ("b. " + "c" * 600 + "a\n", 9)]
+
+
+@pytest.mark.parametrize("name", ["section_locator"])
+def test_sections_of_odd_texts_are_those_of_the_sql(spark, tmp_path, name):
+    spark.createDataFrame(SECTIONS, "text string, doc_id long").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    found = con.execute(registry.oracle_sql()[name])
+    columns = [c[0] for c in found.description]
+    assert sorted(map(tuple, registry.queries()[name](spark, str(tmp_path)).select(*columns).collect())) == sorted(found.fetchall())
