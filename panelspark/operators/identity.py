@@ -9,6 +9,7 @@ Arrow batches for what is left.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,25 +21,46 @@ from panelspark.sources.files import stored
 
 #: Scores below which a stage doesn't match, that of a name without its suffix, those of hints, and the suffixes; fixed values.
 LEAST_WORDS, LEAST_RATIO, SUFFIX_SCORE, LEAST_HINT = 0.5, 0.85, 0.95, 0.55
+#: Names, and pairs of them, that a task remembers; results don't depend on it.
+REMEMBERED = 1 << 16
 SUFFIXES = ("_de", "_del", "_la", "_el", "_las", "_los")
 
 
 def similarity(pairs: DataFrame, a: str, b: str, name: str = "ratio") -> DataFrame:
-    """Adds the Ratcliff-Obershelp ratio of two columns."""
+    """Adds the Ratcliff-Obershelp ratio of two columns. A pair of names that several blocks have is worked out once in a task."""
     cols = pairs.columns
     schema = StructType([*pairs.schema.fields, StructField(name, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from difflib import SequenceMatcher
+        from functools import lru_cache
 
+        ratio = lru_cache(REMEMBERED)(lambda p, q: None if p is None or q is None else SequenceMatcher(None, p, q).ratio())
         for batch in batches:
-            x, y = batch.column(cols.index(a)).to_pylist(), batch.column(cols.index(b)).to_pylist()
-            r = [None if p is None or q is None else SequenceMatcher(None, p, q).ratio() for p, q in zip(x, y, strict=True)]
+            r = list(map(ratio, batch.column(cols.index(a)).to_pylist(), batch.column(cols.index(b)).to_pylist()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(r, pa.float64())], names=[*cols, name])
 
     return pairs.mapInArrow(run, schema)
 
 
+def letters_fit(pairs: DataFrame, a: str, b: str, least: float) -> DataFrame:
+    """Pairs whose sequence ratio may be ``least`` or more, by the letters that both have: no more than these can match.
+
+    In Arrow batches, so that it runs once for each pair where the optimizer would move an expression before the step that makes pairs distinct.
+    """
+    cols = pairs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from functools import lru_cache
+
+        letters = lru_cache(REMEMBERED)(lambda x: frozenset((c, i) for c, n in Counter(x).items() for i in range(n)))
+        for batch in batches:
+            x, y = batch.column(cols.index(a)).to_pylist(), batch.column(cols.index(b)).to_pylist()
+            yield batch.filter(pa.array([2 * len(letters(p) & letters(q)) >= least * (len(p) + len(q)) - 1e-9 for p, q in zip(x, y, strict=True)], pa.bool_()))
+
+    return pairs.mapInArrow(run, pairs.schema)
+
+
 def words_contained(a: Column, b: Column) -> Column:
     """Whether one name's words are all among the other's."""
     x, y = F.split(a, "_"), F.split(b, "_")
@@ -100,10 +122,8 @@ def alike_pairs(names: DataFrame, catalog: DataFrame, block: str, a: str, b: str
         found = tokens(names, a, often, n).join(tokens(catalog, b, often, n), [block, "_t"]).select(block, a, b)
         pairs = found if pairs is None else pairs.unionByName(found)
     total = F.length(a) + F.length(b)
-    # no more letters match than both have
-    most = 2 * F.size(F.array_intersect(grams(F.col(a), 1), grams(F.col(b), 1)))
     fits = 2 * F.least(F.length(a), F.length(b)) >= least * total - 1e-9
-    return pairs.filter(fits).distinct().filter(most >= least * total - 1e-9)
+    return letters_fit(pairs.filter(fits).distinct(), a, b, least)
 
 
 def match_names(names: DataFrame, catalog: DataFrame, block: str, name: str, key: str, aliases: DataFrame | None = None, suffixes: tuple[str, ...] = SUFFIXES, by_ratio: bool = True, least_ratio: float = LEAST_RATIO) -> DataFrame:
@@ -112,8 +132,9 @@ def match_names(names: DataFrame, catalog: DataFrame, block: str, name: str, key
     Names whose words contain the catalog's, or the reverse, and names that are only alike are scored by their sequence ratio;
     of equal scores the least catalog name is taken.
     """
-    todo = names.select(block, name).distinct()
-    cat = catalog.groupBy(block, F.col(name).alias("_slug")).agg(F.min(key).alias(key))
+    # stored, since every stage reads them, and what makes a slug may cost more than the stages do
+    todo = stored(names.select(block, name).distinct(), "names")
+    cat = stored(catalog.groupBy(block, F.col(name).alias("_slug")).agg(F.min(key).alias(key)), "catalog")
 
     def best(found: DataFrame) -> DataFrame:
         """The first stage that matches a name, its best score, the least catalog name."""

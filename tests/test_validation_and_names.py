@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from panelspark.operators import naming, segment, validation
+from panelspark.operators import identity, naming, segment, validation
 from panelspark.plans import variant_queries
 
 
@@ -65,3 +65,18 @@ def test_headings(spark):
         5: ("", "", None, ""),
         6: ("LA CIUDAD DE", "PORFIRIO DIAZ", 2021, "PORFIRIO DIAZ"),
     }
+
+
+def test_names_and_catalog_are_worked_out_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def slug(x):
+        calls.add(1)
+        return x
+
+    made = F.udf(slug, "string")
+    cat = spark.createDataFrame([("s", n, i) for i, n in enumerate(("saltillo", "valle_de_bravo", "guadalajara", "torreon"))], "block string, name string, key long").withColumn("name", made("name"))
+    names = spark.createDataFrame([("s", n) for n in ("saltillo", "valle_bravo", "guadalajra", "toreon", "qqq")], "block string, name string").withColumn("name", made("name"))
+    got = {r.name: (r.key, r.stage) for r in identity.match_names(names, cat, "block", "name", "key", least_ratio=0.55).collect()}
+    assert got == {"saltillo": (0, "exact"), "valle_bravo": (1, "words"), "guadalajra": (2, "ratio"), "toreon": (3, "ratio"), "qqq": (None, "none")}
+    assert calls.value == 9
