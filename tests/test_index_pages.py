@@ -1,3 +1,4 @@
+import pytest
 import random
 from html.parser import HTMLParser
 
@@ -101,3 +102,25 @@ def test_search_terms(spark):
 def test_every_status_occurs(spark, sf):
     got = index_queries.QUERIES["expected_against_found"](spark, sf)
     assert {r.status for r in got.select("status").distinct().collect()} == {"ok", "partial", "mismatch", "no_text", "missing_file"}
+
+
+def test_pages_in_parts_are_read_as_whole_ones(spark):
+    head = "</ul><!-- <table> --><table><tr><th>Ver<th>Fecha</tr>"
+    pages = {
+        1: [head, "<tr><td><a href='/a?x=1&amp;y'>uno</a><td>dos<ul><li>p<li>q</ul>&eacute;</tr>", "<tr><td>tres</tr></table>", "</table><ul><li>r</li></ul><ol><li>x"],
+        2: ["<ul>", "<li>a</li><li>b</li>", "</ul><table>", "</table></table>", "<table><td>before any row</td>", "<tr><td>c"],
+        3: ["text only"],
+        4: ["<table><tr><td>o</td>", "<td>next<br>cell</td><table>", "<tr><td>inner</td></tr></table>", "</tr><tr><td>last</td></tr></table> end"],
+    }
+    whole = spark.createDataFrame([(k, "".join(x)) for k, x in pages.items()], "k long, html string")
+    parts = spark.createDataFrame([(k, i, x) for k, xs in pages.items() for i, x in enumerate(xs)], "k long, n int, html string").repartition(5)
+    got = lambda df: sorted(tuple("" if v is None else v for v in r) for r in df.collect())
+    want = got(markup.cells(whole, "k", "html"))
+    assert got(markup.cells(parts, "k", "html", "n")) == want and len(want) == 17
+    assert (1, "table", 1, 1, 2, 2, "dosé", "") in want and (1, "table", 1, 1, 2, 1, "uno", "/a?x=1&y") in want and (2, "table", 3, 1, 0, 1, "before any row", "") in want
+
+
+def test_a_page_cut_inside_a_cell_is_refused(spark):
+    parts = spark.createDataFrame([(1, 1, "<table><tr><td>a"), (1, 2, "b</td></tr></table>")], "k long, n int, html string")
+    with pytest.raises(Exception, match="cut inside a cell"):
+        markup.cells(parts, "k", "html", "n").collect()
