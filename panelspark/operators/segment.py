@@ -110,7 +110,9 @@ def entities(df: DataFrame, key: str, text: str, patterns: list[tuple[str, str]]
     """
     guard = "|".join(f"{re.escape(w)}[\\s\\S]{{0,{before - len(w)}}}" for w in excluded if len(w) <= before)
     guard = f"(?<!{guard})" if guard else ""
-    found = F.array(*[F.regexp_extract_all(F.col(text), F.lit(f"(?m){guard}(?:{p})"), F.lit(1)) for _, p in patterns])
+    # what stands in front is looked at only where a pattern holds: looking ahead for it first leaves the matches as they are
+    ahead = [f"(?={p})" if guard else "" for _, p in patterns]
+    found = F.array(*[F.regexp_extract_all(F.col(text), F.lit(f"(?m){a}{guard}(?:{p})"), F.lit(1)) for a, (_, p) in zip(ahead, patterns, strict=True)])
     x = df.select(key, F.posexplode(found).alias("p", "_names")).select(key, "p", F.posexplode("_names").alias("ordinal", "entity")).filter("entity <> ''")
     first = x.groupBy(key, F.lower("entity").alias("_e")).agg(F.min_by(F.struct("entity", "p", "ordinal"), F.struct("p", "ordinal")).alias("f"))
     names = F.array(*[F.lit(n) for n, _ in patterns])

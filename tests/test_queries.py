@@ -1,7 +1,7 @@
 import duckdb
 import pytest
 
-from panelspark.operators import joins
+from panelspark.operators import joins, segment
 from panelspark.plans import registry
 from tests.sqlcheck import same_rows
 
@@ -235,3 +235,16 @@ def test_sections_of_odd_texts_are_those_of_the_sql(spark, tmp_path, name):
     found = con.execute(registry.oracle_sql()[name])
     columns = [c[0] for c in found.description]
     assert sorted(map(tuple, registry.queries()[name](spark, str(tmp_path)).select(*columns).collect())) == sorted(found.fetchall())
+
+
+def test_entities_look_behind_only_where_a_pattern_holds(spark):
+    from pyspark.sql import functions as F
+
+    text = "and so by the of which they with of one; THE two of three. " * 10
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    pattern = r"\b(?:of|de|the)\s+([a-z]+)"
+    got = segment.entities(df, "doc_id", "text", [("plain", pattern)], ["by the", "with"], 40)
+    assert "(?m)(?=" + pattern + ")(?<!" in got._jdf.queryExecution().optimizedPlan().toString()
+    # the form without looking ahead
+    plain = F.regexp_extract_all("text", F.lit(r"(?m)(?<!by\ the[\s\S]{0,34}|with[\s\S]{0,36})(?:" + pattern + ")"), F.lit(1))
+    assert {r.entity for r in got.collect()} == set(df.select(plain.alias("x")).first().x)
